@@ -11,10 +11,13 @@ from tallyport.sources.schemas import SERVING_TABLES
 
 KEY_BUCKETS = 16
 WRITE_ORDER = ["write_id", "log_offset"]
-PARTITIONS = {
-    "trips_by_id": ["key_bucket"],
-    "trips_by_driver_day": ["event_date"],
-    "trips_by_city_hour": ["event_hour"],
+# Folder column of each table, and the order of rows inside its files. Hours are found
+# by day folder and by the row-group statistics of the sorted hour; a folder per hour
+# would leave a stream with a great many tiny files.
+LAYOUT = {
+    "trips_by_id": ("key_bucket", ["trip_id"]),
+    "trips_by_driver_day": ("event_date", ["driver_id", "event_time desc", "trip_id"]),
+    "trips_by_city_hour": ("event_date", ["event_hour", "city_id", "trip_id"]),
 }
 
 
@@ -50,20 +53,17 @@ def fanout(
 
 def write_serving(tables: dict[str, DataFrame], root: str, write_id: int) -> None:
     for name, rows in tables.items():
+        folder, order = LAYOUT[name]
         if name == "trips_by_id":
-            rows = rows.withColumn("key_bucket", key_bucket(F.col("trip_id")))
+            rows = rows.withColumn(folder, key_bucket(F.col("trip_id")))
         if name == "trips_by_city_hour":
-            # Folder names are text; an ISO hour keeps its order and reads back unambiguously.
-            rows = rows.withColumn("event_hour", F.date_format("event_hour", "yyyy-MM-dd'T'HH"))
-        write_delta(rows, f"{root}/{name}", write_id, PARTITIONS[name])
+            rows = rows.withColumn(folder, F.to_date("event_hour"))
+        write_delta(rows, f"{root}/{name}", write_id, folder, order)
 
 
 def read_serving(spark: SparkSession, root: str, name: str) -> DataFrame:
     columns, keys = SERVING_TABLES[name]
-    rows = read_latest(spark, f"{root}/{name}", keys, WRITE_ORDER)
-    if name == "trips_by_city_hour":
-        rows = rows.withColumn("event_hour", F.to_timestamp("event_hour", "yyyy-MM-dd'T'HH"))
-    return rows.select(*columns)
+    return read_latest(spark, f"{root}/{name}", keys, WRITE_ORDER).select(*columns)
 
 
 def trip_lookup(spark: SparkSession, root: str, trip_ids: DataFrame) -> DataFrame:
@@ -90,14 +90,10 @@ def driver_day(spark: SparkSession, root: str, driver_id: str | None = None, day
 
 
 def city_hour(spark: SparkSession, root: str, city_id: str, hour: str) -> DataFrame:
-    """Trips of one city and hour ('2024-01-08T13'): one folder per delta is read."""
+    """Trips of one city and hour ('2024-01-08 13:00:00')."""
     columns, keys = SERVING_TABLES["trips_by_city_hour"]
     path = f"{root}/trips_by_city_hour"
+    at = F.lit(hour).cast("timestamp")
     rows = spark.read.option("basePath", path).parquet(path)
-    rows = rows.where((F.col("event_hour") == hour) & (F.col("city_id") == city_id))
-    return (
-        latest_per_key(rows, keys, WRITE_ORDER)
-        .withColumn("event_hour", F.to_timestamp("event_hour", "yyyy-MM-dd'T'HH"))
-        .select(*columns)
-        .orderBy("trip_id")
-    )
+    rows = rows.where((F.col("event_date") == F.to_date(at)) & (F.col("event_hour") == at) & (F.col("city_id") == city_id))
+    return latest_per_key(rows, keys, WRITE_ORDER).select(*columns).orderBy("trip_id")

@@ -23,11 +23,21 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop("_rank")
 
 
-def write_delta(df: DataFrame, path: str, write_id: int, partition_by: list[str] | None = None) -> None:
-    """Write one batch of a serving table; re-running it replaces the same folder."""
-    partition_by = partition_by or []
-    rows = df.hint("rebalance", *partition_by) if partition_by else df
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/write_id={write_id}")
+def write_delta(
+    df: DataFrame, path: str, write_id: int, folder: str | None = None, order: list[str] | None = None
+) -> None:
+    """Write one batch of a serving table; re-running it replaces the same folder.
+
+    With `folder` the batch is split into folders by that column; a folder with very
+    many rows is shared out over several tasks.
+    """
+    if folder:
+        columns = [F.desc(o.removesuffix(" desc")) if o.endswith(" desc") else F.col(o) for o in order or []]
+        df = df.hint("rebalance", folder).sortWithinPartitions(folder, *columns)
+    writer = df.write.mode("overwrite")
+    if folder:
+        writer = writer.partitionBy(folder)
+    writer.parquet(f"{path}/write_id={write_id}")
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
@@ -36,7 +46,7 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], order: list[str
 
 
 def compact(
-    spark: SparkSession, path: str, keys: list[str], order: list[str], into: str, partition_by: list[str]
+    spark: SparkSession, path: str, keys: list[str], order: list[str], into: str, folder: str, sort: list[str]
 ) -> None:
     """Fold all deltas of a table into one delta of a new table folder.
 
@@ -44,7 +54,7 @@ def compact(
     """
     deltas = spark.read.option("basePath", path).parquet(path)
     newest = deltas.agg(F.max("write_id")).first()[0]
-    write_delta(latest_per_key(deltas, keys, order).drop("write_id"), into, newest, partition_by)
+    write_delta(latest_per_key(deltas, keys, order).drop("write_id"), into, newest, folder, sort)
 
 
 def partial_upsert(old: DataFrame, new: DataFrame, keys: list[str], update: dict[str, Column | None]) -> DataFrame:

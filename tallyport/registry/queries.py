@@ -166,12 +166,12 @@ def dedup_events(spark, sf_dir):
 
 @query
 def log_end_offsets(spark, sf_dir):
-    return raw_log.end_offsets(adapters.raw_events(spark, sf_dir))
+    return raw_log.end_offsets(runs.raw_log(spark, sf_dir))
 
 
 @query
 def partition_observed(spark, sf_dir):
-    return skew.partition_observed(adapters.raw_events(spark, sf_dir))
+    return skew.partition_observed(runs.raw_log(spark, sf_dir))
 
 
 @query
@@ -582,7 +582,7 @@ def alert_intervals(spark, sf_dir):
 
 @query
 def lag_samples(spark, sf_dir):
-    counts = adapters.raw_events(spark, sf_dir).groupBy("topic", "partition", F.col("batch_no").alias("batch_id")).agg(
+    counts = runs.raw_log(spark, sf_dir).groupBy("topic", "partition", F.col("batch_no").alias("batch_id")).agg(
         F.count(F.lit(1)).alias("rows")
     )
     return telemetry.lag_samples(counts, ["topic"])

@@ -81,8 +81,19 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> IngestRun:
     return _once(spark, sf_dir, "ingest", run)
 
 
+def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log as its producer left it: a table that is written once."""
+
+    def write() -> str:
+        path = new_folder(spark, "log")
+        adapters.raw_events(spark, sf_dir).write.parquet(path)
+        return path
+
+    return spark.read.parquet(_once(spark, sf_dir, "log", write))
+
+
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse.parse(adapters.raw_events(spark, sf_dir))
+    return parse.parse(raw_log(spark, sf_dir))
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ def build_session(app: str = "tallyport", cores: int | str = "*", shuffle_partit
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
