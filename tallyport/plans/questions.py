@@ -2,13 +2,12 @@
 
 Every pair returns the same rows. Windows are half open and in UTC. The star forms
 repeat the window on the fact's own date key, which follows from the join with
-dim_date, so that the scan skips months and row groups.
+dim_date, so that the scan skips row groups.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,19 +29,11 @@ def mean(column: str, digits: int) -> Column:
 
 def completed(wide: DataFrame, start: str, end: str) -> DataFrame:
     """Completed trips of a window of the wide table."""
-    rows = wide.where(
+    return wide.where(
         (F.col("status") == "completed")
         & (F.col("event_time") >= F.lit(start).cast("timestamp"))
         & (F.col("event_time") < F.lit(end).cast("timestamp"))
     )
-    if "month" in wide.columns:
-        rows = rows.where(F.col("month").between(*_months(start, end)))
-    return rows
-
-
-def _months(start: str, end: str) -> tuple[int, int]:
-    first, last = date.fromisoformat(start), date.fromisoformat(end)
-    return first.year * 100 + first.month, last.year * 100 + last.month
 
 
 def _key(day: str) -> int:
@@ -51,14 +42,11 @@ def _key(day: str) -> int:
 
 def completed_facts(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str, *names: str) -> DataFrame:
     """Completed facts of a window, joined with dim_date and the named dimensions."""
-    rows = fact.where("is_completed").where(
-        F.col("date_key").between(_key(start), _key(end) - 1)
-        & F.col("month").between(*_months(start, end))
-    )
+    rows = fact.where(F.col("is_completed") & (F.col("date_key") >= _key(start)) & (F.col("date_key") < _key(end)))
     days = dims["dim_date"].where(
         (F.col("full_date") >= F.lit(start).cast("date")) & (F.col("full_date") < F.lit(end).cast("date"))
     )
-    rows = rows.join(days.drop("month"), "date_key")
+    rows = rows.join(days, "date_key")
     for name in names:
         rows = rows.join(dims[name], name.replace("dim_", "") + "_key")
     return rows

@@ -1,13 +1,14 @@
 """Wide table and star schema from the same trips.
 
-Both forms are partitioned by month and sorted by time inside their files, so that a
-window reads only its months and its row groups. Dimensions are a few files of a few
+Both forms are kept in folders by period and sorted by time inside their files, so that
+a window reads only its folders and its row groups. Dimensions are a few files of a few
 rows; Spark broadcasts them by their size on disk and would shuffle one that grew.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -122,25 +123,47 @@ def fact(trips: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def write_by_month(df: DataFrame, month: Column, order: str, path: str) -> None:
-    """Folder per month; a month with very many rows is split over several tasks."""
+# Days a folder of a large table covers, finest first, and the rows it should hold.
+GRAINS = {"day": ("yyyyMMdd", 1), "month": ("yyyyMM01", 30), "year": ("yyyy0101", 365)}
+ROWS_PER_FOLDER = 2_000_000
+
+
+def grain_for(rows: int, start: str, end: str) -> str:
+    """Finest folder that still holds enough rows, so small data is not cut to pieces."""
+    days = (date.fromisoformat(end) - date.fromisoformat(start)).days
+    per_day = rows / max(days, 1)
+    return next((g for g, (_, covers) in GRAINS.items() if per_day * covers >= ROWS_PER_FOLDER), "year")
+
+
+def period(day: Column, grain: str) -> Column:
+    """Date key of the first day of the folder a day belongs to."""
+    return F.date_format(day, GRAINS[grain][0]).cast("int")
+
+
+def write_by_period(df: DataFrame, period_key: Column, order: str, path: str) -> None:
+    """Folder per period, rows in time order; a very large folder is split over tasks."""
     (
-        df.withColumn("month", month.cast("int"))
-        .hint("rebalance", "month")
-        .sortWithinPartitions("month", order)
+        df.withColumn("period", period_key)
+        .hint("rebalance", "period")
+        .sortWithinPartitions("period", order)
         .write.mode("overwrite")
-        .partitionBy("month")
+        .partitionBy("period")
         .parquet(path)
     )
 
 
-@dataclass(frozen=True)
+@dataclass
 class Warehouse:
     spark: SparkSession
     root: str
+    grain: str
+    _tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        """A table of the warehouse; its files are listed once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}")
+        return self._tables[name]
 
     @property
     def wide(self) -> DataFrame:
@@ -153,13 +176,21 @@ class Warehouse:
     def dims(self) -> dict[str, DataFrame]:
         return {n: self.read(n) for n in ("dim_date", "dim_city", "dim_driver", "dim_vehicle", "dim_payment")}
 
-
-def load(spark: SparkSession, trips: DataFrame, labels: Labels, start: str, end: str, name: str) -> Warehouse:
-    """Write both forms of a corpus. The fact is built from the written wide rows, so
-    the source is read and joined once."""
-    house = Warehouse(spark, new_folder(spark, f"warehouse-{name}"))
-    write_by_month(
-        trips.select(*WIDE_COLUMNS), F.date_format("event_time", "yyyyMM"), "event_time", f"{house.root}/trips_wide"
+    def window(self, name: str, start: str, end: str) -> DataFrame:
+        """The folders of a table that can hold rows of [start, end)."""
+        first = period(F.lit(start).cast("date"), self.grain)
+        last = period(F.lit(end).cast("date"), self.grain)
+        return self.read(name).where(F.col("period").between(first, last)).drop("period")
+
+
+def load(
+    spark: SparkSession, trips: DataFrame, rows: int, labels: Labels, start: str, end: str, name: str
+) -> Warehouse:
+    """Write both forms of a corpus of about `rows` trips. The fact is built from the
+    written wide rows, so the source is read and joined once."""
+    house = Warehouse(spark, new_folder(spark, f"warehouse-{name}"), grain_for(rows, start, end))
+    write_by_period(
+        trips.select(*WIDE_COLUMNS), period(F.col("event_time"), house.grain), "event_time", f"{house.root}/trips_wide"
     )
     wide = house.wide
     made = {
@@ -169,11 +200,10 @@ def load(spark: SparkSession, trips: DataFrame, labels: Labels, start: str, end:
         "dim_vehicle": dim_vehicle(wide, labels),
         "dim_payment": dim_payment(wide, labels),
     }
-    for dim, rows in made.items():
-        rows.write.mode("overwrite").parquet(f"{house.root}/{dim}")
-    write_by_month(
-        fact(wide, house.dims()), F.floor(F.col("date_key") / 100), "date_key", f"{house.root}/fact_trip"
-    )
+    for dim, rows_of_dim in made.items():
+        rows_of_dim.write.mode("overwrite").parquet(f"{house.root}/{dim}")
+    day = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
+    write_by_period(fact(wide, house.dims()), period(day, house.grain), "date_key", f"{house.root}/fact_trip")
     return house
 
 

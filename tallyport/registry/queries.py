@@ -63,7 +63,9 @@ def _question(name: str, on_star: bool):
         house = (runs.ride_house if on_rides else runs.trip_house)(spark, sf_dir)
         window = runs.RIDE_WINDOW if on_rides else runs.TRIP_WINDOW
         wide, starred = questions.PAIRS[name]
-        return starred(house.fact, house.dims(), *window) if on_star else wide(house.wide, *window)
+        if on_star:
+            return starred(house.window("fact_trip", *window), house.dims(), *window)
+        return wide(house.window("trips_wide", *window), *window)
 
     run.__name__ = f"{name}_{'star' if on_star else 'wide'}"
     return run
@@ -112,7 +114,7 @@ def dim_driver(spark, sf_dir):
 
 @query
 def star_fact(spark, sf_dir):
-    return runs.trip_house(spark, sf_dir).fact.drop("month")
+    return runs.trip_house(spark, sf_dir).fact.drop("period")
 
 
 @query

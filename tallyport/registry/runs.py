@@ -13,6 +13,7 @@ from tallyport.session import configure, new_folder
 from tallyport.sources import adapters
 from tallyport.sources.raw_log import publish_files, read_raw_stream
 from tallyport.sources.schemas import SERVING_TABLES
+from tallyport.sources.tables import table
 from tallyport.streaming.ingest import IngestJob
 
 TRIP_WINDOW = ("1995-01-01", "2002-01-01")
@@ -30,26 +31,24 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make):
 
 
 def trip_house(spark: SparkSession, sf_dir: str) -> star.Warehouse:
-    return _once(
-        spark,
-        sf_dir,
-        "trips",
-        lambda: star.load(spark, adapters.trips(spark, sf_dir), star.TRIP_LABELS, *TRIP_WINDOW, "trips"),
-    )
+    def load() -> star.Warehouse:
+        rows = table(spark, sf_dir, "lineitem").count()
+        return star.load(spark, adapters.trips(spark, sf_dir), rows, star.TRIP_LABELS, *TRIP_WINDOW, "trips")
+
+    return _once(spark, sf_dir, "trips", load)
 
 
 def ride_house(spark: SparkSession, sf_dir: str) -> star.Warehouse:
-    return _once(
-        spark,
-        sf_dir,
-        "rides",
-        lambda: star.load(spark, adapters.rides(spark, sf_dir), star.RIDE_LABELS, *RIDE_WINDOW, "rides"),
-    )
+    def load() -> star.Warehouse:
+        rows = table(spark, sf_dir, "events").count()
+        return star.load(spark, adapters.rides(spark, sf_dir), rows, star.RIDE_LABELS, *RIDE_WINDOW, "rides")
+
+    return _once(spark, sf_dir, "rides", load)
 
 
 def slices(spark: SparkSession, sf_dir: str) -> int:
     """Number of arrival slices of the log."""
-    last = adapters.table(spark, sf_dir, "events").agg(F.max(F.col("ts").cast("timestamp")).alias("t"))
+    last = table(spark, sf_dir, "events").agg(F.max(F.col("ts").cast("timestamp")).alias("t"))
     return last.select(adapters.slice_of(F.col("t"))).first()[0] + 1
 
 

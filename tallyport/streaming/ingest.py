@@ -9,13 +9,17 @@ whether it runs for the first time or again after a restart.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
 
 from tallyport.functions.timing import lateness_seconds
@@ -110,18 +114,24 @@ class IngestJob:
         ]
 
     def _write(self, classified: DataFrame, batch_id: int, started: float) -> None:
+        """Submit the writes side by side: a batch takes as long as its longest write."""
         now = F.lit(int(started * 1000)).cast("bigint")
         sound = classified.where(F.col("route") == parse.OK)
         envelopes = quarantine.from_classified(classified, now)
         if self.external_write:
             envelopes = envelopes.unionByName(self._deliver(sound, batch_id, now))
-        quarantine.append_quarantine(envelopes, self.path("quarantine"), batch_id)
-        write_serving(fanout(sound, now, self.tables, latest=False), self.root, batch_id)
+        writes = [partial(quarantine.append_quarantine, envelopes, self.path("quarantine"), batch_id)]
+        for name, rows in fanout(sound, now, self.tables, latest=False).items():
+            writes.append(partial(write_serving, {name: rows}, self.root, batch_id))
         if self.sample_rate > 0:
             samples = latency.latency_samples(
                 sound, F.lit(self.run_id), F.lit(batch_id).cast("bigint"), self.sample_rate
             )
-            latency.write_samples(samples, self.path("latency_samples"), batch_id)
+            writes.append(partial(latency.write_samples, samples, self.path("latency_samples"), batch_id))
+        with ThreadPoolExecutor(len(writes)) as pool:
+            started_writes = [pool.submit(inheritable_thread_target(self.spark)(w)) for w in writes]
+        for write in started_writes:
+            write.result()
 
     def _deliver(self, sound: DataFrame, batch_id: int, now) -> DataFrame:
         """Write to the external store; outcomes are stored before they are used, so
@@ -149,12 +159,11 @@ class IngestJob:
             "retried_writes_retries": 0,
             "failures_exhausted": 0,
             "max_event_time": max(marks) if marks else None,
-            "failure_reasons": {},
         }
         if self.external_write and counts["input_rows"]:
             row |= self._delivery_counts(batch_id)
-        columns = [part.split()[0] for part in BATCH_REPORT_SCHEMA.replace("map<string, bigint>", "map").split(",")]
-        report = self.spark.createDataFrame([tuple(row[c] for c in columns)], BATCH_REPORT_SCHEMA)
+        kinds = [(f.name, f.dataType) for f in StructType.fromDDL(BATCH_REPORT_SCHEMA)]
+        report = self.spark.range(1).select(*[F.lit(row.get(n)).cast(t).alias(n) for n, t in kinds])
         report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(
             f"{self.path('reports')}/batch_id={batch_id}"
         )
