@@ -37,8 +37,9 @@ def murmur2(key: Column) -> Column:
         return x.bitwiseXOR(F.shiftrightunsigned(x, bits))
 
     def little_endian(start: Column, width: Column | int) -> Column:
-        piece = F.reverse(F.substring(data, start, width if isinstance(width, Column) else F.lit(width)))
-        return F.conv(F.hex(piece), 16, 10).cast("bigint")
+        piece = F.rpad(F.hex(F.substring(data, start, width if isinstance(width, Column) else F.lit(width))), 8, "0")
+        turned = F.concat(*[F.substring(piece, at, 2) for at in (7, 5, 3, 1)])
+        return F.conv(turned, 16, 10).cast("bigint")
 
     def step(h: Column, i: Column) -> Column:
         word = times_m(fold(times_m(little_endian(i * 4 + 1, 4)), 24))

@@ -48,6 +48,11 @@ def unexpired(samples: DataFrame, now_ms: Column) -> DataFrame:
     return samples.where(F.col("minute_bucket") >= F.floor(oldest))
 
 
+def _tenths(name: str) -> Column:
+    """One decimal, half up; noise behind the sixth decimal must not decide a tie."""
+    return F.round(F.round(name, 6), 1)
+
+
 def latency_report(samples: DataFrame, by: list[str]) -> DataFrame:
     """Exact percentiles, extremes, mean and shares under one second and half a second."""
     totals = samples.groupBy(*by).agg(
@@ -72,9 +77,9 @@ def latency_report(samples: DataFrame, by: list[str]) -> DataFrame:
         *by,
         "samples",
         "min_ms",
-        *[F.round(p, 1).alias(f"{p}_ms") for p in ("p50", "p90", "p95", "p99", "p999")],
+        *[_tenths(p).alias(f"{p}_ms") for p in ("p50", "p90", "p95", "p99", "p999")],
         "max_ms",
-        F.round("_mean", 1).alias("mean_ms"),
+        _tenths("_mean").alias("mean_ms"),
         best.alias("sub_second_at"),
         share("_under_1s").alias("pct_under_1s"),
         share("_under_500").alias("pct_under_500ms"),

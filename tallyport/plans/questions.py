@@ -1,8 +1,9 @@
 """The five analytical questions, on the wide table and on the star schema.
 
-Every pair returns the same rows. Windows are half open and in UTC. The star forms
-repeat the window on the fact's own date key, which follows from the join with
-dim_date, so that the scan skips row groups.
+Every pair returns the same rows. Windows are half open and in UTC. A window of the
+star is a range of date keys on the fact itself, so that the scan skips row groups;
+dim_date is joined where its attributes are asked for. Spark broadcasts a dimension
+because its files are small, and would shuffle one that is not.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def trip_count() -> Column:
 
 
 def mean(column: str, digits: int) -> Column:
-    return F.round(F.avg(F.col(column).cast("double")), digits)
+    return F.round(F.sum(column).cast("double") / F.count(column), digits)
 
 
 def completed(wide: DataFrame, start: str, end: str) -> DataFrame:
@@ -40,16 +41,9 @@ def _key(day: str) -> int:
     return int(day.replace("-", ""))
 
 
-def completed_facts(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str, *names: str) -> DataFrame:
-    """Completed facts of a window, joined with dim_date and the named dimensions."""
-    rows = fact.where(F.col("is_completed") & (F.col("date_key") >= _key(start)) & (F.col("date_key") < _key(end)))
-    days = dims["dim_date"].where(
-        (F.col("full_date") >= F.lit(start).cast("date")) & (F.col("full_date") < F.lit(end).cast("date"))
-    )
-    rows = rows.join(days, "date_key")
-    for name in names:
-        rows = rows.join(dims[name], name.replace("dim_", "") + "_key")
-    return rows
+def completed_facts(fact: DataFrame, start: str, end: str) -> DataFrame:
+    """Completed facts of a window, as a range of date keys."""
+    return fact.where(F.col("is_completed") & (F.col("date_key") >= _key(start)) & (F.col("date_key") < _key(end)))
 
 
 def q1_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
@@ -64,7 +58,9 @@ def q1_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
 
 def q1_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
     return (
-        completed_facts(fact, dims, start, end, "dim_city")
+        completed_facts(fact, start, end)
+        .join(dims["dim_city"], "city_key")
+        .join(dims["dim_date"], "date_key")
         .groupBy("region", F.col("full_date").alias("day"))
         .agg(trip_count(), revenue())
         .orderBy("region", "day")
@@ -84,7 +80,8 @@ def q2_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
 
 def q2_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
     return (
-        completed_facts(fact, dims, start, end, "dim_driver")
+        completed_facts(fact, start, end)
+        .join(dims["dim_driver"], "driver_key")
         .groupBy("driver_id")
         .agg(trip_count(), revenue())
         .orderBy(F.desc("revenue"), "driver_id")
@@ -104,7 +101,9 @@ def q3_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
 
 def q3_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
     return (
-        completed_facts(fact, dims, start, end, "dim_vehicle")
+        completed_facts(fact, start, end)
+        .join(dims["dim_vehicle"], "vehicle_key")
+        .join(dims["dim_date"], "date_key")
         .groupBy("vehicle_class", "is_weekend")
         .agg(trip_count(), revenue(), mean("fare_amount", 2).alias("avg_fare"))
         .orderBy("vehicle_class", "is_weekend")
@@ -123,34 +122,38 @@ def q4_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
 
 def q4_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
     return (
-        completed_facts(fact, dims, start, end, "dim_city")
+        completed_facts(fact, start, end)
+        .join(dims["dim_city"], "city_key")
         .groupBy("city_name", "hour_of_day")
         .agg(trip_count(), mean("distance_km", 3).alias("avg_distance"), revenue())
         .orderBy("city_name", "hour_of_day")
     )
 
 
-def _surge(surged: Column) -> list[Column]:
-    share = F.round(F.lit(100.0) * F.count_if(surged) / F.nullif(F.count(F.lit(1)), F.lit(0)), 2)
-    return [trip_count(), F.count_if(surged).alias("surged_trips"), share.alias("surge_pct"), revenue()]
+def _share(part: Column, whole: Column) -> Column:
+    return F.round(F.lit(100.0) * part / F.nullif(whole, F.lit(0)), 2).alias("surge_pct")
 
 
 def q5_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
     """Share of surged trips by city by ISO week."""
     year = F.extract(F.lit("YEAROFWEEK"), F.col("event_time")).cast("int")
+    surged = F.count_if(F.col("surge_multiplier") > 1.0)
     return (
         completed(wide, start, end)
         .groupBy("city_name", year.alias("iso_year"), F.weekofyear("event_time").alias("iso_week"))
-        .agg(*_surge(F.col("surge_multiplier") > 1.0))
+        .agg(trip_count(), surged.alias("surged_trips"), _share(surged, F.count(F.lit(1))), revenue())
         .orderBy("city_name", "iso_year", "iso_week")
     )
 
 
 def q5_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
+    surged = F.count_if(F.col("is_surged"))
     return (
-        completed_facts(fact, dims, start, end, "dim_city")
+        completed_facts(fact, start, end)
+        .join(dims["dim_city"], "city_key")
+        .join(dims["dim_date"], "date_key")
         .groupBy("city_name", "iso_year", "iso_week")
-        .agg(*_surge(F.col("is_surged")))
+        .agg(trip_count(), surged.alias("surged_trips"), _share(surged, F.count(F.lit(1))), revenue())
         .orderBy("city_name", "iso_year", "iso_week")
     )
 

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyport.session import new_folder
+from tallyport.session import new_folder, together
 from tallyport.sources.adapters import WIDE_COLUMNS
 
 # Driver tenure bands, and days added to dim_date on either side.
@@ -200,8 +201,10 @@ def load(
         "dim_vehicle": dim_vehicle(wide, labels),
         "dim_payment": dim_payment(wide, labels),
     }
-    for dim, rows_of_dim in made.items():
-        rows_of_dim.write.mode("overwrite").parquet(f"{house.root}/{dim}")
+    together(
+        spark,
+        [partial(d.write.mode("overwrite").parquet, f"{house.root}/{dim_name}") for dim_name, d in made.items()],
+    )
     day = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
     write_by_period(fact(wide, house.dims()), period(day, house.grain), "date_key", f"{house.root}/fact_trip")
     return house

@@ -161,7 +161,7 @@ QUESTIONS = {
         FROM trips WHERE status = 'completed' AND event_time >= '1995-01-01' AND event_time < '2002-01-01'
         GROUP BY 1 ORDER BY revenue DESC, driver_id LIMIT 25"""),
     "q3": _with(TRIPS, f"""SELECT vehicle_class, dayofweek(event_time) IN (0, 6) AS is_weekend, count(*) AS trips, {REVENUE},
-        round(avg(CAST(fare_amount AS DOUBLE)), 2) AS avg_fare
+        round(CAST(sum(fare_amount) AS DOUBLE) / count(*), 2) AS avg_fare
         FROM trips WHERE status = 'completed' AND event_time >= '1995-01-01' AND event_time < '2002-01-01' GROUP BY 1, 2"""),
     "q4": _with(RIDES, """SELECT city_id AS city_name, CAST(hour(event_time) AS INTEGER) AS hour_of_day, count(*) AS trips,
         round(avg(distance_km), 3) AS avg_distance, CAST(round(sum(fare), 2) AS DOUBLE) AS revenue
@@ -438,9 +438,15 @@ latency AS (SELECT run_id, (epoch_us(ts) // 1000) AS produced_at_ms, (epoch_us(t
 ORACLE["latency_samples"] = _with(LATENCY, """SELECT run_id, produced_at_ms // 60000 AS minute_bucket, event_id, produced_at_ms,
     written_at_ms, latency_ms, batch_id FROM latency""")
 _Q = "quantile_cont(latency_ms, {})"
+
+
+def _tenths(x: str) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(18, 6)), 1) AS DOUBLE)"
+
+
 ORACLE["latency_percentiles"] = _with(LATENCY, f"""SELECT run_id, count(*) AS samples, min(latency_ms) AS min_ms,
-    {", ".join(f"round({_Q.format(q)}, 1) AS {n}_ms" for n, q in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99), ("p999", 0.999)))},
-    max(latency_ms) AS max_ms, round(avg(latency_ms), 1) AS mean_ms,
+    {", ".join(f"{_tenths(_Q.format(q))} AS {n}_ms" for n, q in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99), ("p999", 0.999)))},
+    max(latency_ms) AS max_ms, {_tenths('avg(latency_ms)')} AS mean_ms,
     CASE WHEN {_Q.format(0.99)} < 1000 THEN 'p99' WHEN {_Q.format(0.95)} < 1000 THEN 'p95' WHEN {_Q.format(0.5)} < 1000 THEN 'p50' ELSE 'none' END AS sub_second_at,
     round(100 * CAST(count(*) FILTER (WHERE latency_ms < 1000) AS DOUBLE) / count(*), 3) AS pct_under_1s,
     round(100 * CAST(count(*) FILTER (WHERE latency_ms < 500) AS DOUBLE) / count(*), 3) AS pct_under_500ms

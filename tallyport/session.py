@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -72,3 +75,11 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     if kept.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(kept)
     return kept
+
+
+def together(spark: SparkSession, actions: list[Callable[[], None]]) -> None:
+    """Submit independent actions side by side; raises the first error after all have ended."""
+    with ThreadPoolExecutor(max(len(actions), 1)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+    for action in running:
+        action.result()

@@ -9,12 +9,10 @@ whether it runs for the first time or again after a restart.
 from __future__ import annotations
 
 import time
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +24,7 @@ from tallyport.functions.timing import lateness_seconds
 from tallyport.operators import latency, parse, quarantine, retry
 from tallyport.operators.fanout import fanout, write_serving
 from tallyport.operators.telemetry import read_reports
+from tallyport.session import together
 from tallyport.sources.schemas import BATCH_REPORT_SCHEMA, SERVING_TABLES
 
 
@@ -128,10 +127,7 @@ class IngestJob:
                 sound, F.lit(self.run_id), F.lit(batch_id).cast("bigint"), self.sample_rate
             )
             writes.append(partial(latency.write_samples, samples, self.path("latency_samples"), batch_id))
-        with ThreadPoolExecutor(len(writes)) as pool:
-            started_writes = [pool.submit(inheritable_thread_target(self.spark)(w)) for w in writes]
-        for write in started_writes:
-            write.result()
+        together(self.spark, writes)
 
     def _deliver(self, sound: DataFrame, batch_id: int, now) -> DataFrame:
         """Write to the external store; outcomes are stored before they are used, so
