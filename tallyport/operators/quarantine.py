@@ -198,17 +198,18 @@ def pending(quarantine: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def identity() -> Column:
-    """Identity of a quarantined record across drains: origin, stage and replay round."""
-    origin = F.coalesce(
-        F.when(
-            F.col("source_offset").isNotNull(),
-            F.concat_ws(
-                "/", "source_topic", F.col("source_partition").cast("string"), F.col("source_offset").cast("string")
-            ),
-        ),
-        F.col("event_id"),
-        F.sha2("original_payload", 256),
+    """Identity of a quarantined record across drains: origin, stage and replay round.
+
+    A record that never had log coordinates is told from a later failure of the same
+    event by the time it first failed.
+    """
+    coordinates = F.concat_ws(
+        "/", "source_topic", F.col("source_partition").cast("string"), F.col("source_offset").cast("string")
+    )
+    unlogged = F.concat_ws(
+        "@", F.coalesce("event_id", F.sha2("original_payload", 256)), F.col("first_failed_at_ms").cast("string")
     )
+    origin = F.when(F.col("source_offset").isNotNull(), coordinates).otherwise(unlogged)
     return F.concat_ws("|", origin, "failure_stage", F.col("replay_count").cast("string"))
 
 

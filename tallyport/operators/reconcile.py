@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 
-def raw_identity(parsed: DataFrame) -> Column:
+def raw_identity() -> Column:
     """Event id, or the log coordinates of a record without one."""
     coordinates = F.concat_ws("/", "_topic", F.col("_partition").cast("string"), F.col("_offset").cast("string"))
     return F.coalesce("event_id", coordinates)
@@ -39,7 +39,7 @@ def follow(parsed: DataFrame, written: DataFrame, quarantined: DataFrame) -> Dat
         )
 
     sides = (
-        side(parsed, raw_identity(parsed), 1, 0, 0)
+        side(parsed, raw_identity(), 1, 0, 0)
         .unionByName(side(written, F.col("event_id"), 0, 1, 0))
         .unionByName(side(quarantined, quarantine_identity(), 0, 0, 1))
     )

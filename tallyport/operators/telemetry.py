@@ -235,12 +235,21 @@ def lag_samples(log_counts: DataFrame, by: list[str]) -> DataFrame:
     """Offsets behind the end of the log after each batch, from rows per batch and partition.
 
     For a source that reports no lag of its own: what the log holds at the end less
-    what had been read, per partition, then the extremes over partitions.
+    what had been read, per partition, then the extremes over partitions. Partitions
+    that a batch did not touch count as well.
     """
+    partitions = log_counts.groupBy(*by).agg(F.collect_set("partition").alias("_partitions"))
+    every = (
+        log_counts.select(*by, "batch_id")
+        .distinct()
+        .join(small_side(partitions), by)
+        .select(*by, "batch_id", F.explode("_partitions").alias("partition"))
+    )
+    filled = every.join(log_counts, [*by, "batch_id", "partition"], "left").fillna({"rows": 0})
     so_far = W.partitionBy(*by, "partition").orderBy("batch_id").rowsBetween(W.unboundedPreceding, 0)
     whole = W.partitionBy(*by, "partition")
     return (
-        log_counts.withColumn("_behind", F.sum("rows").over(whole) - F.sum("rows").over(so_far))
+        filled.withColumn("_behind", F.sum("rows").over(whole) - F.sum("rows").over(so_far))
         .groupBy(*by, "batch_id")
         .agg(
             F.max("_behind").alias("max_offsets_behind"),

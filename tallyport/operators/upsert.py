@@ -81,6 +81,20 @@ def partial_upsert(old: DataFrame, new: DataFrame, keys: list[str], update: dict
     return joined.select(*columns)
 
 
+def read_partial(spark: SparkSession, path: str, keys: list[str], update: list[str]) -> DataFrame:
+    """A table of deltas under the rule of `partial_upsert`, resolved on reading.
+
+    Each key has the row of its first delta with the `update` columns of its last, so
+    a load writes only its own rows and never the table.
+    """
+    rows = spark.read.option("basePath", path).parquet(path)
+    kept = [c for c in rows.columns if c not in (*keys, *update, "write_id")]
+    resolved = rows.groupBy(*keys).agg(
+        F.min_by(F.struct(*kept), "write_id").alias("_first"), F.max_by(F.struct(*update), "write_id").alias("_last")
+    )
+    return resolved.select(*keys, "_first.*", "_last.*")
+
+
 def upsert_partitions(
     spark: SparkSession, path: str, staging: str, new: DataFrame, keys: list[str], order: list[str], partition: str
 ) -> None:

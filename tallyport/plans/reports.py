@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyport.operators import parse
+from tallyport.operators.reconcile import raw_identity
 from tallyport.operators.retry import retry_outcomes
 
 
@@ -18,13 +19,19 @@ def batch_reports(classified: DataFrame, attempts: DataFrame, run_id: Column, la
         F.count_if(F.col("outcome") == "retried").alias("_retried"),
         F.count_if(F.col("outcome") == "exhausted").alias("_exhausted"),
     )
-    rows = classified.withColumn("run_id", run_id).withColumn("batch_id", F.col("batch_no"))
+    # Records without an event id join on their coordinates: as NULL keys they would all
+    # meet in one task.
+    rows = (
+        classified.withColumn("run_id", run_id)
+        .withColumn("batch_id", F.col("batch_no"))
+        .withColumn("_key", raw_identity())
+    )
     route = F.col("route")
     zero = F.lit(0).cast("bigint")
     waited = F.when((route == parse.OK) & (latency_ms >= 0), latency_ms)
     total = lambda c: F.coalesce(F.sum(c), zero)
     counted = (
-        rows.join(per_event, "event_id", "left")
+        rows.join(per_event.withColumnRenamed("event_id", "_key"), "_key", "left")
         .groupBy("run_id", "batch_id")
         .agg(
             F.count(F.lit(1)).alias("input_rows"),
@@ -47,8 +54,8 @@ def batch_reports(classified: DataFrame, attempts: DataFrame, run_id: Column, la
         F.count(F.lit(1)).alias("_count")
     )
     reasons = (
-        rows.select("run_id", "batch_id", "event_id")
-        .join(errors, "event_id")
+        rows.select("run_id", "batch_id", "_key")
+        .join(errors.withColumnRenamed("event_id", "_key"), "_key")
         .groupBy("run_id", "batch_id", "error")
         .agg(F.sum("_count").alias("_count"))
         .groupBy("run_id", "batch_id")

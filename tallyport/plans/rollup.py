@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.functions.timing import event_hour
-from tallyport.operators.upsert import latest_per_key, partial_upsert
+from tallyport.operators.upsert import latest_per_key, partial_upsert, read_partial, write_delta
 
 # Stage columns, columns a re-load may change, longest backfill in hours,
 # promised delay of a load after its hour has closed.
@@ -52,6 +52,16 @@ def load_window(stage: DataFrame, new: DataFrame) -> DataFrame:
     return partial_upsert(stage, new, ["trip_id"], {**{c: None for c in UPDATED}, "loaded_at": None})
 
 
+def write_load(rows: DataFrame, path: str, load_id: int) -> None:
+    """Store one load of the stage table; running it again replaces it."""
+    write_delta(rows, path, load_id)
+
+
+def read_stage(spark: SparkSession, path: str) -> DataFrame:
+    """Stage table over all loads so far, as `load_window` would leave it."""
+    return read_partial(spark, path, ["trip_id"], [*UPDATED, "loaded_at"]).select(*STAGE_COLUMNS, "loaded_at")
+
+
 def drift(extracted: DataFrame, stage: DataFrame) -> DataFrame:
     """Per hour of the source: what was extracted against what the stage holds.
 

@@ -399,6 +399,7 @@ earlier AS (SELECT trip_id, CASE WHEN payment_type = 'cash' THEN event_time + IN
 ORACLE["hourly_rollup_load"] = _with(STAGE, """SELECT c.trip_id, c.event_time, c.city_id,
     CASE WHEN e.trip_id IS NULL THEN c.vehicle_class ELSE 'unknown' END AS vehicle_class, c.fare_amount, c.surge_multiplier, c.status, c.loaded_at
     FROM city_hour c LEFT JOIN earlier e USING (trip_id)""")
+ORACLE["rollup_stage_reads"] = ORACLE["hourly_rollup_load"]
 ORACLE["rollup_drift"] = _with(STAGE, """SELECT coalesce(c.event_hour, date_trunc('hour', e.event_time)) AS event_hour,
     count(c.trip_id) AS extracted, count(e.trip_id) AS loaded, count(*) FILTER (WHERE e.trip_id IS NULL) AS missing,
     count(*) FILTER (WHERE c.trip_id IS NULL) AS unexpected,

@@ -386,6 +386,17 @@ def hourly_rollup_load(spark, sf_dir):
     )
 
 
+@query
+def rollup_stage_reads(spark, sf_dir):
+    """The same two loads stored as deltas and resolved on reading."""
+    city_hour, path = _fanout(spark, sf_dir, "trips_by_city_hour"), new_folder(spark, "stage")
+    rollup.write_load(_earlier_stage(city_hour), path, 0)
+    rollup.write_load(_stage_source(city_hour), path, 1)
+    return rollup.read_stage(spark, path).select(
+        "trip_id", "event_time", "city_id", "vehicle_class", "fare_amount", "surge_multiplier", "status", "loaded_at"
+    )
+
+
 @query
 def rollup_drift(spark, sf_dir):
     city_hour = _fanout(spark, sf_dir, "trips_by_city_hour")

@@ -268,3 +268,32 @@ def test_rollup_defaults(spark):
         "distance_km double, duration_sec int, fare_amount double, surge_multiplier double",
     )
     assert [tuple(r) for r in rollup.with_defaults(df).collect()] == [(0.0, 0, 0.0, 1.0), (1.0, 2, 3.0, 1.0)]
+
+
+def test_a_second_failure_of_an_event_is_not_taken_for_drained(spark, folder):
+    def failed(at):
+        df = spark.createDataFrame([(event(2), "trips.raw")], "value string, topic string")
+        return quarantine.from_producer(df, "KafkaException: gone", 4, F.lit(at))
+
+    assert run_drain(spark, folder, failed(1), 10)["reinjected"] == 1
+    assert run_drain(spark, folder, failed(1), 11)["records_read"] == 0
+    assert run_drain(spark, folder, failed(2), 12)["reinjected"] == 1
+
+
+def test_lag_counts_partitions_a_batch_left_alone(spark):
+    from tallyport.operators.telemetry import lag_samples
+
+    df = spark.createDataFrame(
+        [("t", 0, 0, 5), ("t", 1, 1, 7), ("t", 0, 2, 1)], "topic string, partition int, batch_id long, rows long"
+    )
+    got = {r["batch_id"]: (r["max_offsets_behind"], r["min_offsets_behind"]) for r in lag_samples(df, ["topic"]).collect()}
+    assert got == {0: (7, 1), 1: (1, 0), 2: (0, 0)}
+
+
+def test_bad_report_lines_are_skipped(spark, folder):
+    from tallyport.operators.telemetry import read_reports
+
+    lines = ['{"run_id": "r", "batch_id": 0, "input_rows": 3, "failure_reasons": {"E": 2}}', "{oops", '{"batch_id": "x"}']
+    spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.text(f"{folder}/reports")
+    rows = read_reports(spark, f"{folder}/reports").select("run_id", "batch_id", "input_rows", "failure_reasons").collect()
+    assert [tuple(r) for r in rows] == [("r", 0, 3, {"E": 2})]
