@@ -66,12 +66,18 @@ def read_serving(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_latest(spark, f"{root}/{name}", keys, WRITE_ORDER).select(*columns)
 
 
-def trip_lookup(spark: SparkSession, root: str, trip_ids: DataFrame) -> DataFrame:
-    """Trips by id: the join goes over bucket and id, so a few ids read a few buckets."""
+def trip_lookup(spark: SparkSession, root: str, trip_ids: DataFrame | list[str]) -> DataFrame:
+    """Trips by id. A list of ids becomes filters, which leave only their bucket folders
+    to read; a DataFrame of ids is joined on bucket and id."""
     columns, keys = SERVING_TABLES["trips_by_id"]
     path = f"{root}/trips_by_id"
-    wanted = trip_ids.select("trip_id", key_bucket(F.col("trip_id")).alias("key_bucket")).distinct()
-    found = spark.read.option("basePath", path).parquet(path).join(wanted, ["key_bucket", "trip_id"], "left_semi")
+    rows = spark.read.option("basePath", path).parquet(path)
+    if isinstance(trip_ids, list):
+        buckets = [key_bucket(F.lit(i)) for i in trip_ids]
+        found = rows.where(F.col("key_bucket").isin(*buckets) & F.col("trip_id").isin(*trip_ids))
+    else:
+        wanted = trip_ids.select("trip_id", key_bucket(F.col("trip_id")).alias("key_bucket")).distinct()
+        found = rows.join(wanted, ["key_bucket", "trip_id"], "left_semi")
     return latest_per_key(found, keys, WRITE_ORDER).select(*columns)
 
 

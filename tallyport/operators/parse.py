@@ -86,13 +86,18 @@ def late_reason(cutoff: Column) -> Column:
 
 
 def classify(parsed: DataFrame, cutoff: Column, policy: str = "dlq") -> DataFrame:
+    """Validates and routes parsed records, see `assign_route`."""
+    return assign_route(validate(parsed), cutoff, policy)
+
+
+def assign_route(validated: DataFrame, cutoff: Column, policy: str = "dlq") -> DataFrame:
     """Adds `route`, `failure_stage` and `failure_reason`.
 
     An event older than `cutoff` is late. Policies: 'process' ignores lateness, 'dlq'
     quarantines late events, anything else counts and drops them. A NULL cutoff (no
     batch before this one) makes nothing late.
     """
-    rows = validate(parsed).withColumn("_cutoff", cutoff)
+    rows = validated.withColumn("_cutoff", cutoff)
     is_late = F.lit(False) if policy == "process" else F.coalesce(F.col("event_time") < F.col("_cutoff"), F.lit(False))
     route = (
         F.when(F.col("_unparseable"), UNPARSEABLE)

@@ -248,6 +248,10 @@ def test_keyed_reads(spark, folder):
     land(IngestJob(spark, folder), f"{folder}/raw", [event(n, at=NOON + timedelta(minutes=40 * n)) for n in range(6)], 0)
     found = fanout.trip_lookup(spark, folder, spark.createDataFrame([(uid(1002),)], "trip_id string"))
     assert [r["event_id"] for r in found.collect()] == [uid(2)]
+    one = fanout.trip_lookup(spark, folder, [uid(1004)])
+    assert [r["event_id"] for r in one.collect()] == [uid(4)]
+    scan = one._jdf.queryExecution().executedPlan().toString()
+    assert "key_bucket#" in scan.split("PartitionFilters: [")[1].split("]")[0]
     mine = fanout.driver_day(spark, folder, "d-000000", "2024-05-01").collect()
     assert [r["event_id"] for r in mine] == [uid(3), uid(0)]
     hour = fanout.city_hour(spark, folder, "nyc", "2024-05-01 13:00:00").collect()
