@@ -55,6 +55,15 @@ def query(make):
     return make
 
 
+def named(name: str):
+    """`query` under another name than the function's."""
+    def register(make):
+        make.__name__ = name
+        return query(make)
+
+    return register
+
+
 # -- the five questions ------------------------------------------------------------
 
 def _question(name: str, on_star: bool):
@@ -482,14 +491,11 @@ def run_stats(spark, sf_dir):
     return telemetry.run_stats(rows, ["run_id"], "value", "recovered")
 
 
-@query
+@named("longest_rising_run")
 def longest_run_of_rising_lag(spark, sf_dir):
     return longest_rising_run(adapters.samples(spark, sf_dir), ["run_id"], "ts", "value", "event_id")
 
 
-QUERIES["longest_rising_run"] = QUERIES.pop("longest_run_of_rising_lag")
-
-
 @query
 def first_recovery(spark, sf_dir):
     batches = adapters.samples(spark, sf_dir).withColumn("batch_id", F.col("event_id"))
@@ -535,16 +541,13 @@ def _rates(spark, sf_dir):
     )
 
 
-@query
+@named("counter_rate")
 def counter_rates(spark, sf_dir):
     return _rates(spark, sf_dir).select(
         "run_id", "event_type", "event_id", "ts", "samples", "increase", F.round("rate", 9).alias("rate")
     )
 
 
-QUERIES["counter_rate"] = QUERIES.pop("counter_rates")
-
-
 @query
 def counter_rate_by_stage(spark, sf_dir):
     rows = telemetry.sum_by(_rates(spark, sf_dir), ["run_id", "event_type"], "event_type", "ts", "rate", STEP_SECONDS)
