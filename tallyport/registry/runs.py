@@ -120,16 +120,22 @@ def exhausted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelopes of all four producers."""
-    rows = classified(spark, sf_dir)
-    at_log_time = F.unix_millis("_log_time")
-    sound = parse.dedup(rows.where(F.col("route") == parse.OK))
-    return (
-        quarantine.from_classified(rows, at_log_time)
-        .unionByName(quarantine.from_sink(sound, exhausted(spark, sf_dir), at_log_time))
-        .unionByName(
-            quarantine.from_producer(
-                adapters.undelivered(spark, sf_dir), "KafkaException: delivery failed", 4, F.unix_millis("timestamp")
+    """Envelopes of all four producers, as the stored quarantine that replays start from."""
+
+    def write() -> str:
+        rows = classified(spark, sf_dir)
+        at_log_time = F.unix_millis("_log_time")
+        sound = parse.dedup(rows.where(F.col("route") == parse.OK))
+        lost = adapters.undelivered(spark, sf_dir)
+        path = new_folder(spark, "quarantine")
+        (
+            quarantine.from_classified(rows, at_log_time)
+            .unionByName(quarantine.from_sink(sound, exhausted(spark, sf_dir), at_log_time))
+            .unionByName(
+                quarantine.from_producer(lost, "KafkaException: delivery failed", 4, F.unix_millis("timestamp"))
             )
+            .write.parquet(path)
         )
-    )
+        return path
+
+    return spark.read.parquet(_once(spark, sf_dir, "quarantine", write))
