@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyport.llm import bpe_stream, rule_ledger, token_store, trie_counts
+from tallyport.llm import bpe_stream, minhash_dedup, rule_ledger, token_store, trie_counts
 from tallyport.llm.common import read
 
 
@@ -17,6 +17,10 @@ def public_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(read(spark, sf_dir, "documents"), public_file("word_bpe_49k.json"))
 
@@ -34,6 +38,7 @@ def op10_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_store": op2_token_store,
     "op7_bpe_stream": op7_bpe_stream,
     "op9_rule_ledger": op9_rule_ledger,
