@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyport.llm import bpe_stream, minhash_dedup, rule_ledger, token_store, trie_counts
+from tallyport.llm import bpe_stream, line_chunks, minhash_dedup, qgram_filter, quality_gam, rule_ledger, token_store, trie_counts
 from tallyport.llm.common import read
 
 
@@ -25,10 +25,23 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(read(spark, sf_dir, "documents"), public_file("word_bpe_49k.json"))
 
 
+def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_qgram_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, with the item and the edits."""
+    return qgram_filter.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.digest(read(spark, sf_dir, "documents"), public_file("word_bpe_49k.json"))
 
 
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.digest(read(spark, sf_dir, "documents"))
+
+
 def op9_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.digest(read(spark, sf_dir, "documents"))
 
@@ -40,7 +53,10 @@ def op10_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_store": op2_token_store,
+    "op3_quality_gam": op3_quality_gam,
+    "op6_qgram_filter": op6_qgram_filter,
     "op7_bpe_stream": op7_bpe_stream,
+    "op8_line_chunks": op8_line_chunks,
     "op9_rule_ledger": op9_rule_ledger,
     "op10_trie_counts": op10_trie_counts,
 }
