@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyport.llm import bpe_stream, line_chunks, minhash_dedup, qgram_filter, quality_gam, rule_ledger, token_store, trie_counts
+from tallyport.llm import bpe_stream, line_chunks, minhash_dedup, qgram_filter, quality_gam, rule_ledger, token_store, tool_calls, trie_counts, warc
 from tallyport.llm.common import read
 
 
@@ -29,6 +29,14 @@ def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.digest(read(spark, sf_dir, "conversations"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(read(spark, sf_dir, "pages"))
+
+
 def op6_qgram_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item, with the item and the edits."""
     return qgram_filter.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -54,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_store": op2_token_store,
     "op3_quality_gam": op3_quality_gam,
+    "op4_tool_calls": op4_tool_calls,
+    "op5_warc": op5_warc,
     "op6_qgram_filter": op6_qgram_filter,
     "op7_bpe_stream": op7_bpe_stream,
     "op8_line_chunks": op8_line_chunks,
