@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,8 @@ END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
-MEMO = 250_000
+MEMO = 300_000
+STOPS = b".,"
 LONG_PIECE = 256
 
 WRITE_OPTIONS = {
@@ -53,8 +55,9 @@ class LibraryEncoder:
     """The tokenizers library's ids of a text, as int32 bytes, asked once for each known word.
 
     Texts are cut at ASCII spaces, which no pattern or special token of the file reaches
-    over. Pieces that are long or may hold a special token go to the library whole; of
-    the others the words are looked up and only unknown words go to its BPE model.
+    over. A piece is looked up in lower case and without a full stop or comma behind its
+    last letter or digit, where the pattern cuts anyway. Pieces that are long or may hold
+    a special token go to the library whole; unknown words go to its BPE model.
     """
 
     def __init__(self, data: bytes):
@@ -64,31 +67,39 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.alphabet = byte_alphabet()
-        self.words = Memo(MEMO)
-        self.pieces = Memo(MEMO)
+        self.memo = Memo(MEMO)
+        self.stops = {c: self.word(chr(c)) for c in STOPS}
 
     def word(self, word: str) -> bytes:
-        known = self.words.get(word)
+        key = word.encode()
+        known = self.memo.get(key)
         if known is None:
             plain = word.isascii() and word.isprintable()
-            shown = word if plain else "".join(map(self.alphabet.__getitem__, word.encode()))
-            known = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<i4").tobytes()
-            self.words.put(word, known)
+            shown = word if plain else "".join(map(self.alphabet.__getitem__, key))
+            known = array("i", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+            self.memo.put(key, known)
         return known
 
     def piece(self, piece: bytes) -> bytes:
-        known = self.pieces.get(piece)
-        if known is not None:
-            return known
-        text = piece.decode()
-        if len(text) > LONG_PIECE or "<|" in text:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
-        known = b"".join([self.word(w) for w in WORD.findall(normal(text))])
-        self.pieces.put(piece, known)
-        return known
+        """Ids of a piece that the young generation of the memo does not have."""
+        if len(piece) > LONG_PIECE or b"<|" in piece:
+            return array("i", self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids).tobytes()
+        key, tail = piece, b""
+        if piece.isascii():
+            key = piece.lower()
+            if key[-1] in STOPS and key[-2:-1].isalnum():
+                key, tail = key[:-1], self.stops[key[-1]]
+        known = self.memo.young.get(key)
+        if known is None:
+            known = self.memo.old.get(key)
+            if known is None:
+                words = WORD.findall(normal(key.decode()))
+                known = self.word(words[0]) if len(words) == 1 else b"".join([self.word(w) for w in words])
+            self.memo.put(key, known)
+        return known + tail
 
     def text(self, text: str) -> bytes:
-        known, piece = self.pieces.young.get, self.piece
+        known, piece = self.memo.young.get, self.piece
         return b"".join([known(raw) or piece(raw) for raw in text.encode().split()])
 
 
