@@ -41,7 +41,7 @@ def main() -> None:
     arms = {}
     for name, (wide, starred) in questions.PAIRS.items():
         house = (runs.ride_house if name == "q4" else runs.trip_house)(spark, SF_DIR)
-        window = runs.RIDE_WINDOW if name == "q4" else runs.TRIP_WINDOW
+        window = (runs.ride_window if name == "q4" else runs.trip_window)(spark, SF_DIR)
         arms[name] = (
             lambda w=wide, h=house, p=window: w(h.window("trips_wide", *p), *p),
             lambda s=starred, h=house, p=window: s(h.window("fact_trip", *p), h.dims(), *p),

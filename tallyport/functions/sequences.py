@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyport.functions.timing import time_bucket
+from tallyport.session import new_folder
 
 DAY = 86_400
 
@@ -93,6 +94,26 @@ def trailing(
     return spread, frame
 
 
+def numbered(df: DataFrame, order: list[str], out: str, first: int = 1) -> DataFrame:
+    """Rows of `df` with consecutive numbers in `order`, without ordering them in one task.
+
+    Ranges of the order are stored sorted; a row's number is its place in its range plus
+    the rows of the ranges before, of which there is one count a range.
+    """
+    path = new_folder(df.sparkSession, "numbered")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns(
+        {"_range": F.spark_partition_id(), "_place": place}
+    ).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    starts = counts.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    return rows.join(starts, "_range").withColumn(out, F.col("_before") + F.col("_place") + first).drop(
+        "_range", "_place", "_before"
+    )
+
+
 def longest_rising_run(df: DataFrame, by: list[str], ts: str, value: str, tie: str) -> DataFrame:
     """Length of the longest strictly rising run (n rises count n, none counts 0)."""
     order = [ts, tie]

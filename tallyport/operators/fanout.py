@@ -10,7 +10,8 @@ from tallyport.operators.upsert import latest_per_key, read_latest, write_delta
 from tallyport.sources.schemas import SERVING_TABLES
 
 KEY_BUCKETS = 16
-WRITE_ORDER = ["write_id", "log_offset"]
+# Writes of several writers are comparable by the time of ingest, and in one batch by log order.
+WRITE_ORDER = ["ingested_at_ms", "log_offset"]
 # Folder column of each table, and the order of rows inside its files. Hours are found
 # by day folder and by the row-group statistics of the sorted hour; a folder per hour
 # would leave a stream with a great many tiny files.
@@ -51,14 +52,15 @@ def fanout(
     return out
 
 
-def write_serving(tables: dict[str, DataFrame], root: str, write_id: int) -> None:
+def write_serving(tables: dict[str, DataFrame], root: str, write_id: int, writer: str = "stream") -> None:
+    """Write one batch of each table; every writer has folders, and so write ids, of its own."""
     for name, rows in tables.items():
         folder, order = LAYOUT[name]
         if name == "trips_by_id":
             rows = rows.withColumn(folder, key_bucket(F.col("trip_id")))
         if name == "trips_by_city_hour":
             rows = rows.withColumn(folder, F.to_date("event_hour"))
-        write_delta(rows, f"{root}/{name}", write_id, folder, order)
+        write_delta(rows, f"{root}/{name}/writer={writer}", write_id, folder, order)
 
 
 def read_serving(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -31,7 +31,7 @@ OK, UNPARSEABLE, LATE, INVALID, DROPPED = "ok", "unparseable", "late", "invalid"
 
 def parse(raw: DataFrame) -> DataFrame:
     """Event fields beside the verbatim record and its coordinates (underscored)."""
-    carried = [c for c in ("batch_no",) if c in raw.columns]
+    carried = [c for c in ("batch_no", "_record") if c in raw.columns]
     return (
         raw.select(
             F.col("value").alias("_raw"),

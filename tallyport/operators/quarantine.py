@@ -6,16 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.operators.parse import (
-    OK, STAGE_LATE, STAGE_PARSE, STAGE_PRODUCER, STAGE_SINK, UNPARSEABLE, parse, validate,
+    OK, STAGE_LATE, STAGE_PARSE, STAGE_PRODUCER, STAGE_SINK, UNPARSEABLE, UNPARSEABLE_REASON, parse, validate,
 )
 from tallyport.sources.schemas import ENVELOPE_SCHEMA
 
-# Envelope version, longest reason kept, replay ceiling, breaker ceiling,
-# and which stages are replayed how.
+# Envelope version, replay ceiling, and which stages are replayed how.
 ENVELOPE_VERSION = 1
-REASON_LIMIT = 2000
 MAX_REPLAYS = 3
-BREAKER_RECORDS = 20_000
 REINJECT_STAGES = [STAGE_SINK, STAGE_PRODUCER]
 DIRECT_STAGES = [STAGE_LATE]
 UNREADABLE_STAGE = "unreadable_dlq_record"
@@ -49,7 +46,7 @@ def envelope(
     none = F.lit(None)
     return rows.select(
         payload.alias("original_payload"),
-        F.left(reason, F.lit(REASON_LIMIT)).alias("failure_reason"),
+        reason.alias("failure_reason"),
         stage.alias("failure_stage"),
         retry_count.cast("int").alias("retry_count"),
         at_ms.cast("bigint").alias("first_failed_at_ms"),
@@ -213,12 +210,12 @@ def identity() -> Column:
     return F.concat_ws("|", origin, "failure_stage", F.col("replay_count").cast("string"))
 
 
-def ledger_rows(drained: DataFrame) -> DataFrame:
-    return drained.select(identity().alias("_identity"), "action")
+def ledger_rows(settled: DataFrame) -> DataFrame:
+    return settled.select(identity().alias("_identity"), "outcome")
 
 
 def route(quarantine: DataFrame, max_replays: int = MAX_REPLAYS) -> DataFrame:
-    """Adds `action` (reinject, direct_write, park) and `park_reason`."""
+    """Adds `action` (reinject, direct_write, park) and `park_reason`: what is to be done."""
     stage = F.col("failure_stage")
     spent = F.col("replay_count") >= max_replays
     action = (
@@ -233,6 +230,45 @@ def route(quarantine: DataFrame, max_replays: int = MAX_REPLAYS) -> DataFrame:
     return quarantine.withColumn("action", action).withColumn("park_reason", F.when(F.col("action") == "park", why))
 
 
+def settle(routed: DataFrame) -> DataFrame:
+    """Adds `outcome` and `why`: what can be done with each record.
+
+    A record to re-inject needs a readable payload and one to write a sound event; what
+    fails there is parked with its reason, so every record ends in exactly one place.
+    """
+    message = F.from_json("original_payload", "event_id string, trip_id string")
+    readable = message["event_id"].isNotNull() | message["trip_id"].isNotNull()
+    checked = validate(parse(as_log(routed)))
+    action, unsound = F.col("action"), F.col("_unparseable") | F.col("defect").isNotNull()
+    outcome = (
+        F.when((action == "reinject") & ~F.coalesce(readable, F.lit(False)), "reinject_failed")
+        .when(action == "reinject", "reinjected")
+        .when((action == "direct_write") & unsound, "direct_write_failed")
+        .when(action == "direct_write", "direct_written")
+        .otherwise("parked")
+    )
+    why = (
+        F.when(F.col("outcome") == "reinject_failed", "payload is not readable")
+        .when(F.col("outcome") == "direct_write_failed", F.coalesce("defect", F.lit(UNPARSEABLE_REASON)))
+        .otherwise(F.col("park_reason"))
+    )
+    record = checked.select("_unparseable", "defect", *(F.col(f"_record.{c}").alias(c) for c in routed.columns))
+    return record.withColumn("outcome", outcome).select(*routed.columns, "outcome", why.alias("why"))
+
+
+def as_log(routed: DataFrame) -> DataFrame:
+    """Records in the shape of the raw log, the record itself beside them."""
+    return routed.select(
+        F.col("original_payload").alias("value"),
+        F.col("source_topic").alias("topic"),
+        F.col("source_partition").alias("partition"),
+        F.col("source_offset").alias("offset"),
+        F.timestamp_millis("first_failed_at_ms").alias("timestamp"),
+        "replay_count",
+        F.struct(*routed.columns).alias("_record"),
+    )
+
+
 def reinject(routed: DataFrame, topic: str) -> DataFrame:
     """Messages for the raw log: verbatim payload, key trip id, one replay more."""
     trip = F.from_json("original_payload", "trip_id string")["trip_id"]
@@ -250,52 +286,25 @@ def direct_events(routed: DataFrame) -> DataFrame:
 
     `defect` tells why a record still cannot be written.
     """
-    as_log = routed.where(F.col("action") == "direct_write").select(
-        F.col("original_payload").alias("value"),
-        F.col("source_topic").alias("topic"),
-        F.col("source_partition").alias("partition"),
-        F.col("source_offset").alias("offset"),
-        F.timestamp_millis("first_failed_at_ms").alias("timestamp"),
-        "replay_count",
-    )
-    return validate(parse(as_log))
+    return validate(parse(as_log(routed.where(F.col("action") == "direct_write")))).drop("_record")
 
 
 def writable(events: DataFrame) -> DataFrame:
     return events.where(~F.col("_unparseable") & F.col("defect").isNull()).withColumn("route", F.lit(OK))
 
 
-def drain_totals(routed: DataFrame) -> DataFrame:
-    """What a drain read against what it accounted for.
+OUTCOMES = ["reinjected", "reinject_failed", "direct_written", "direct_write_failed", "parked"]
 
-    Re-injecting needs a readable payload and a direct write a sound event; records
-    that fail there are counted as failed and so stay unaccounted.
-    """
-    event = F.from_json("original_payload", "event_id string, trip_id string")
-    readable = event["event_id"].isNotNull() | event["trip_id"].isNotNull()
-    direct = direct_events(routed)
-    failed_direct = direct.where(F.col("_unparseable") | F.col("defect").isNotNull())
-    counted = routed.select(
-        F.col("action"), (F.col("action") == "reinject").alias("_re"), readable.alias("_ok"), F.lit(0).alias("_bad")
-    ).unionByName(
-        failed_direct.select(
-            F.lit("failed").alias("action"), F.lit(False).alias("_re"), F.lit(False).alias("_ok"), F.lit(1).alias("_bad")
-        )
-    )
-    real = F.col("action") != "failed"
-    totals = counted.agg(
-        F.count_if(real).alias("records_read"),
-        F.count_if(F.col("_re") & F.col("_ok")).alias("reinjected"),
-        F.count_if(F.col("_re") & ~F.col("_ok")).alias("reinject_failed"),
-        (F.count_if(F.col("action") == "direct_write") - F.sum("_bad")).alias("direct_written"),
-        F.sum("_bad").alias("direct_write_failed"),
-        F.count_if(F.col("action") == "park").alias("parked"),
-    )
+
+def drain_totals(settled: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """What a drain read against what it accounted for; failed records are parked, but count as open."""
+    counts = [F.count_if(F.col("outcome") == name).alias(name) for name in OUTCOMES]
+    totals = settled.groupBy(*by or []).agg(F.count(F.lit(1)).alias("records_read"), *counts)
     done = F.col("reinjected") + F.col("direct_written") + F.col("parked")
     return totals.withColumn("accounted_for", done).withColumn("unaccounted", F.col("records_read") - done)
 
 
-def breaker_alert(quarantine: DataFrame, ceiling: int = BREAKER_RECORDS) -> DataFrame:
+def breaker_alert(quarantine: DataFrame, ceiling: int) -> DataFrame:
     """An alert row when there are too many records to drain without a person looking."""
     return (
         quarantine.agg(F.count(F.lit(1)).alias("records"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -111,22 +112,40 @@ def reasons_text(reasons: Column) -> Column:
     return F.coalesce(F.array_join(parts, ","), F.lit(""))
 
 
+# A write function takes a batch of rows and returns one error per row: None for a
+# row that was written, 'Name: text' for a passing failure, '!Name: text' for one
+# that would fail for ever.
+WriteFn = Callable[[pd.DataFrame], "list[str | None]"]
+
+
 @dataclass(frozen=True)
 class RetryPolicy:
+    """`permanent` names the exceptions of a write that would be raised for ever."""
+
     max_attempts: int = MAX_ATTEMPTS
     schedule_ms: tuple[int, ...] = tuple(SCHEDULE_MS)
     jitter_ratio: float = JITTER_RATIO
+    permanent: tuple[type[Exception], ...] = (ValueError, TypeError, KeyError)
 
-    def delay_ms(self, retry_index: int) -> float:
-        if not self.schedule_ms:
-            return 0.0
-        return float(self.schedule_ms[min(retry_index, len(self.schedule_ms) - 1)])
+    def waits(self, batch_key: str) -> list[float]:
+        """All waits between the attempts of one batch, in milliseconds.
 
+        The schedule's last step repeats as often as needed. Jitter is a hash of the
+        batch and the round: batches spread out, and a task run again waits the same.
+        """
+        rounds = max(self.max_attempts - 1, 0)
+        steps = [*self.schedule_ms[:rounds], *self.schedule_ms[-1:] * (rounds - len(self.schedule_ms))]
+        spread = [zlib.crc32(f"{batch_key}/{n}".encode()) / 2**31 - 1 for n in range(len(steps))]
+        return [max(0.0, step * (1 + self.jitter_ratio * s)) for step, s in zip(steps, spread)] or [0.0] * rounds
+
+    def attempt(self, write: WriteFn, batch: pd.DataFrame) -> list[str | None]:
+        """Errors of one write; an exception counts for every row of its batch."""
+        try:
+            return list(write(batch))
+        except Exception as error:
+            text = f"{'!' * isinstance(error, self.permanent)}{type(error).__name__}: {error}"
+            return [text] * len(batch)
 
-# A write function takes a batch of rows and returns one error per row: None for a
-# row that was written, 'Name: text' for a passing failure, '!Name: text' for one
-# that would fail for ever.
-WriteFn = Callable[[pd.DataFrame], "list[str | None]"]
 
 DELIVERY_SCHEMA = "event_id string, attempts int, succeeded boolean, last_error string, backoff_ms double"
 
@@ -146,8 +165,9 @@ def deliver(rows: DataFrame, write: WriteFn, policy: RetryPolicy = RetryPolicy()
                 {"event_id": batch["event_id"], "attempts": 0, "succeeded": False, "last_error": None, "backoff_ms": 0.0}
             )
             left = batch.index
+            waits = policy.waits(str(batch["event_id"].iloc[0]) if len(batch) else "")
             for attempt in range(1, policy.max_attempts + 1):
-                errors = pd.Series(write(batch.loc[left]), index=left, dtype=object)
+                errors = pd.Series(policy.attempt(write, batch.loc[left]), index=left, dtype=object)
                 failed = errors.notna()
                 result.loc[left, "attempts"] = attempt
                 result.loc[left[~failed], "succeeded"] = True
@@ -155,7 +175,7 @@ def deliver(rows: DataFrame, write: WriteFn, policy: RetryPolicy = RetryPolicy()
                 left = left[failed & ~errors.fillna("").str.startswith("!")]
                 if left.empty or attempt == policy.max_attempts:
                     break
-                wait = policy.delay_ms(attempt - 1)
+                wait = waits[attempt - 1]
                 result.loc[left, "backoff_ms"] += wait
                 sleep(wait / 1000)
             yield result

@@ -12,9 +12,9 @@ from datetime import date
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyport.functions.sequences import numbered
 from tallyport.session import new_folder, together
 from tallyport.sources.adapters import WIDE_COLUMNS
 
@@ -22,10 +22,6 @@ from tallyport.sources.adapters import WIDE_COLUMNS
 TENURE_BANDS = ["new", "established", "veteran"]
 DATE_PADDING = 2
 
-# Most distinct values an enumerated dimension may have; beyond it, keys must come
-# from the natural id (as for drivers), since numbering them takes one ordered task.
-MAX_ENUMERATED = 100_000
-
 FACT_COLUMNS = [
     "trip_id", "date_key", "driver_key", "duration_sec", "pickup_zone_id", "fare_amount", "distance_km",
     "surge_multiplier", "city_key", "vehicle_key", "payment_key", "hour_of_day", "is_completed", "is_surged",
@@ -74,11 +70,7 @@ def enumerated(df: DataFrame, natural: str, key: str, attributes: list[str]) ->
     values = df.groupBy(natural).agg(*[F.max(a).alias(a) for a in attributes]) if attributes else df.select(
         natural
     ).distinct()
-    number = F.row_number().over(W.orderBy(natural))
-    bounded = F.when(number <= MAX_ENUMERATED, number).otherwise(
-        F.raise_error(F.lit(f"{natural} has too many values to enumerate")).cast("int")
-    )
-    return values.select(bounded.alias(key), natural, *attributes)
+    return numbered(values, [natural], key).select(F.col(key).cast("int").alias(key), natural, *attributes)
 
 
 def dim_city(trips: DataFrame) -> DataFrame:
@@ -100,12 +92,12 @@ def dim_payment(trips: DataFrame, labels: Labels) -> DataFrame:
 
 def driver_key(driver_id: Column) -> Column:
     """The number inside a driver id ('d-000042' is 42): no lookup, no numbering."""
-    return F.split_part(driver_id, F.lit("-"), F.lit(2)).cast("int")
+    return F.split_part(driver_id, F.lit("-"), F.lit(2)).cast("bigint")
 
 
 def dim_driver(trips: DataFrame) -> DataFrame:
     key = driver_key(F.col("driver_id"))
-    band = F.element_at(F.array(*map(F.lit, TENURE_BANDS)), key % len(TENURE_BANDS) + 1)
+    band = F.element_at(F.array(*map(F.lit, TENURE_BANDS)), (key % len(TENURE_BANDS) + 1).cast("int"))
     return trips.select("driver_id").distinct().select(key.alias("driver_key"), "driver_id", band.alias("tenure_band"))
 
 

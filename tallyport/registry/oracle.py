@@ -11,7 +11,7 @@ trips AS (
   SELECT l_orderkey || '-' || l_linenumber AS trip_id,
          l_shipdate AS event_time,
          CAST(c_nationkey AS VARCHAR) AS city_id, n_name AS city_name, r_name AS region,
-         l_suppkey AS driver_no, 'd-' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS driver_id,
+         l_suppkey AS driver_no, 'd-' || lpad(CAST(l_suppkey AS VARCHAR), CAST(greatest(length(CAST(l_suppkey AS VARCHAR)), 6) AS INTEGER), '0') AS driver_id,
          l_linenumber AS pickup_zone_id,
          o_orderpriority AS vehicle_class, l_returnflag AS payment_type,
          l_quantity AS distance_km, CAST(trunc(l_quantity * 60) AS INTEGER) AS duration_sec,
@@ -28,10 +28,10 @@ FIELDS = """
 fields AS (
   SELECT event_id AS id, user_id, ts, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
          event_type AS city_id,
-         '00000000-0000-4000-8000-' || lpad(lower(to_hex(event_id)), 12, '0') AS event_id,
-         lpad(lower(to_hex(user_id)), 8, '0') || '-0000-4000-8000-' || lpad(lower(to_hex(event_id)), 12, '0') AS trip_id,
-         'd-' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS driver_id,
-         'r-' || lpad(CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR), 6, '0') AS rider_id,
+         '00000000-0000-4000-8000-' || lpad(lower(to_hex(event_id)), CAST(greatest(length(lower(to_hex(event_id))), 12) AS INTEGER), '0') AS event_id,
+         lpad(lower(to_hex(user_id)), CAST(greatest(length(lower(to_hex(user_id))), 8) AS INTEGER), '0') || '-0000-4000-8000-' || lpad(lower(to_hex(event_id)), CAST(greatest(length(lower(to_hex(event_id))), 12) AS INTEGER), '0') AS trip_id,
+         'd-' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(length(CAST(user_id AS VARCHAR)), 6) AS INTEGER), '0') AS driver_id,
+         'r-' || lpad(CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR), CAST(greatest(length(CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR)), 6) AS INTEGER), '0') AS rider_id,
          CAST(json_extract_string(props, '$.k') AS INTEGER) % 40 AS pickup_zone_id,
          CAST(user_id % 40 AS INTEGER) AS dropoff_zone_id,
          ['economy', 'comfort', 'xl', 'black'][CAST(user_id % 4 + 1 AS INTEGER)] AS vehicle_class,
@@ -95,7 +95,7 @@ sound AS (SELECT * FROM routed WHERE route = 'ok' QUALIFY row_number() OVER (PAR
 
 ATTEMPTS = """
 failing AS (
-  SELECT event_id AS id, '00000000-0000-4000-8000-' || lpad(lower(to_hex(event_id)), 12, '0') AS event_id,
+  SELECT event_id AS id, '00000000-0000-4000-8000-' || lpad(lower(to_hex(event_id)), CAST(greatest(length(lower(to_hex(event_id))), 12) AS INTEGER), '0') AS event_id,
          CASE WHEN event_id % 97 = 0 OR event_id % 89 = 1 OR event_id % 83 = 2 OR event_id % 71 = 3 THEN NULL
               WHEN event_id % 53 = 4 THEN 0 WHEN event_id % 61 = 5 THEN event_id % 6
               WHEN event_id % 67 = 6 THEN NULL ELSE 0 END AS failures
@@ -156,20 +156,20 @@ REVENUE = "CAST(round(sum(fare_amount), 2) AS DOUBLE) AS revenue"
 
 QUESTIONS = {
     "q1": _with(TRIPS, f"""SELECT region, CAST(CAST(event_time AS DATE) AS VARCHAR) AS day, count(*) AS trips, {REVENUE}
-        FROM trips WHERE status = 'completed' AND event_time >= '1995-01-01' AND event_time < '2002-01-01' GROUP BY 1, 2"""),
+        FROM trips WHERE status = 'completed' GROUP BY 1, 2"""),
     "q2": _with(TRIPS, f"""SELECT driver_id, count(*) AS trips, {REVENUE}
-        FROM trips WHERE status = 'completed' AND event_time >= '1995-01-01' AND event_time < '2002-01-01'
+        FROM trips WHERE status = 'completed'
         GROUP BY 1 ORDER BY revenue DESC, driver_id LIMIT 25"""),
     "q3": _with(TRIPS, f"""SELECT vehicle_class, dayofweek(event_time) IN (0, 6) AS is_weekend, count(*) AS trips, {REVENUE},
         round(CAST(sum(fare_amount) AS DOUBLE) / count(*), 2) AS avg_fare
-        FROM trips WHERE status = 'completed' AND event_time >= '1995-01-01' AND event_time < '2002-01-01' GROUP BY 1, 2"""),
+        FROM trips WHERE status = 'completed' GROUP BY 1, 2"""),
     "q4": _with(RIDES, """SELECT city_id AS city_name, CAST(hour(event_time) AS INTEGER) AS hour_of_day, count(*) AS trips,
         round(avg(distance_km), 3) AS avg_distance, CAST(round(sum(fare), 2) AS DOUBLE) AS revenue
-        FROM rides WHERE status = 'completed' AND event_time >= '2024-01-01' AND event_time < '2024-02-01' GROUP BY 1, 2"""),
+        FROM rides WHERE status = 'completed' GROUP BY 1, 2"""),
     "q5": _with(TRIPS, f"""SELECT city_name, CAST(isoyear(event_time) AS INTEGER) AS iso_year, CAST(week(event_time) AS INTEGER) AS iso_week,
         count(*) AS trips, count(*) FILTER (WHERE surge_multiplier > 1.0) AS surged_trips,
         round(100.0::DOUBLE * count(*) FILTER (WHERE surge_multiplier > 1.0) / nullif(count(*), 0), 2) AS surge_pct, {REVENUE}
-        FROM trips WHERE status = 'completed' AND event_time >= '1995-01-01' AND event_time < '2002-01-01' GROUP BY 1, 2, 3"""),
+        FROM trips WHERE status = 'completed' GROUP BY 1, 2, 3"""),
 }
 for _name, _sql in QUESTIONS.items():
     ORACLE[f"{_name}_wide"] = ORACLE[f"{_name}_star"] = _sql
@@ -196,15 +196,16 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(CAST(d AS DATE)
        monthname(d) AS month_name, CAST(day(d) AS INTEGER) AS day_of_month, CAST(dayofweek(d) AS INTEGER) AS day_of_week,
        dayname(d) AS day_name, CAST(week(d) AS INTEGER) AS iso_week, CAST(isoyear(d) AS INTEGER) AS iso_year,
        dayofweek(d) IN (0, 6) AS is_weekend
-FROM (SELECT unnest(generate_series(TIMESTAMP '1994-12-30', TIMESTAMP '2002-01-03', INTERVAL 1 DAY)) AS d)"""
+FROM (SELECT unnest(generate_series(first - INTERVAL 2 DAY, last + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS d FROM
+  (SELECT date_trunc('day', min(l_shipdate)::TIMESTAMP) AS first, date_trunc('day', max(l_shipdate)::TIMESTAMP) AS last FROM lineitem))"""
 ORACLE["dim_city"] = _with(DIMS, "SELECT *, city_name AS country FROM cities")
 ORACLE["dim_vehicle"] = _with(DIMS, """SELECT vehicle_key, vehicle_class,
     CASE WHEN vehicle_class IN ('1-URGENT', '2-HIGH') THEN 'premium' ELSE 'standard' END AS tier FROM vehicles""")
 ORACLE["dim_payment"] = _with(DIMS, "SELECT payment_key, payment_type, payment_type <> 'R' AS is_cashless FROM payments")
-ORACLE["dim_driver"] = _with(TRIPS, """SELECT DISTINCT CAST(driver_no AS INTEGER) AS driver_key, driver_id,
+ORACLE["dim_driver"] = _with(TRIPS, """SELECT DISTINCT CAST(driver_no AS BIGINT) AS driver_key, driver_id,
     ['new', 'established', 'veteran'][CAST(driver_no % 3 + 1 AS INTEGER)] AS tenure_band FROM trips""")
 ORACLE["star_fact"] = _with(DIMS, """
-SELECT trip_id, CAST(strftime(event_time, '%Y%m%d') AS INTEGER) AS date_key, CAST(driver_no AS INTEGER) AS driver_key,
+SELECT trip_id, CAST(strftime(event_time, '%Y%m%d') AS INTEGER) AS date_key, CAST(driver_no AS BIGINT) AS driver_key,
        duration_sec, pickup_zone_id, CAST(fare_amount AS DOUBLE) AS fare_amount, distance_km, surge_multiplier, city_key,
        vehicle_key, payment_key, CAST(hour(event_time) AS INTEGER) AS hour_of_day, status = 'completed' AS is_completed,
        surge_multiplier > 1.0 AS is_surged
@@ -356,6 +357,22 @@ ORACLE["dlq_drain_totals"] = _with(QUARANTINE, """SELECT count(*) AS records_rea
     count(*) FILTER (WHERE action = 'direct_write') AS direct_written, CAST(0 AS BIGINT) AS direct_write_failed,
     count(*) FILTER (WHERE action = 'park') AS parked, count(*) AS accounted_for, CAST(0 AS BIGINT) AS unaccounted FROM actions""")
 
+ORACLE["drain_end_to_end"] = _with(QUARANTINE + """,
+ends AS (SELECT *, CASE WHEN action = 'reinject' AND failure_stage = 'producer' AND first_failed_at_ms % 3 = 0 THEN 'reinject_failed'
+    WHEN action = 'reinject' THEN 'reinjected' WHEN action = 'direct_write' AND first_failed_at_ms % 2 = 0 THEN 'direct_write_failed'
+    WHEN action = 'direct_write' THEN 'direct_written' ELSE 'parked' END AS outcome,
+    CASE WHEN first_failed_at_ms < epoch_ms(TIMESTAMP '2024-01-16') THEN 0 ELSE 1 END AS done_by FROM actions),
+drains AS (SELECT CAST(unnest(range(3)) AS BIGINT) AS drain_id),
+sums AS (SELECT drain_id, count(outcome) AS records_read,
+    count(*) FILTER (WHERE outcome = 'reinjected') AS reinjected, count(*) FILTER (WHERE outcome = 'reinject_failed') AS reinject_failed,
+    count(*) FILTER (WHERE outcome = 'direct_written') AS direct_written,
+    count(*) FILTER (WHERE outcome = 'direct_write_failed') AS direct_write_failed, count(*) FILTER (WHERE outcome = 'parked') AS parked
+  FROM drains LEFT JOIN ends ON done_by = drain_id GROUP BY drain_id)""", """
+SELECT *, reinjected AS in_log, records_read AS in_ledger, reinject_failed + direct_write_failed + parked AS in_parking,
+  (SELECT count(DISTINCT trip_id) FROM ends WHERE outcome = 'direct_written' AND done_by <= drain_id) AS trips_served,
+  CASE WHEN drain_id = 0 THEN 0 ELSE (SELECT count(DISTINCT trip_id) FROM ends WHERE outcome = 'direct_written' AND done_by = 0) END AS newer_fares,
+  reinjected + direct_written + parked AS accounted_for, reinject_failed + direct_write_failed AS unaccounted FROM sums""")
+
 # -- reliability -------------------------------------------------------------------
 
 ORACLE["retry_outcomes"] = _with(ATTEMPTS, """SELECT event_id, "table", attempts, succeeded, last_error, backoff_ms, outcome, retries
@@ -407,14 +424,16 @@ ORACLE["rollup_drift"] = _with(STAGE, """SELECT coalesce(c.event_hour, date_trun
     count(c.trip_id) - count(e.trip_id) AS drift
     FROM city_hour c FULL OUTER JOIN earlier e USING (trip_id) GROUP BY 1""")
 ORACLE["hour_completeness"] = _with(STAGE + """,
-spine AS (SELECT city_id, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS event_hour
-   FROM (SELECT DISTINCT city_id FROM city_hour))""", """
+days AS (SELECT date_trunc('day', min(event_hour)) AS first, date_trunc('day', max(event_hour)) + INTERVAL 1 DAY AS last FROM city_hour),
+spine AS (SELECT city_id, unnest(generate_series(first, last - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS event_hour
+   FROM days, (SELECT DISTINCT city_id FROM city_hour))""", """
 SELECT city_id, s.event_hour, count(c.trip_id) AS rows, count(c.trip_id) = 0 AS is_empty
 FROM spine s LEFT JOIN city_hour c USING (city_id, event_hour) GROUP BY 1, 2""")
 ORACLE["backfill_window"] = _with(STAGE + """,
-chunks AS (SELECT * FROM (VALUES ('run-0', TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-15'),
-  ('run-1', TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-29'), ('run-2', TIMESTAMP '2024-01-29', TIMESTAMP '2024-01-31'))
-  AS t(audit_id, window_start, window_end))""", """
+days AS (SELECT date_trunc('day', min(event_hour)) AS first, date_trunc('day', max(event_hour)) + INTERVAL 1 DAY AS last FROM city_hour),
+chunks AS (SELECT 'run-' || n AS audit_id, window_start, least(window_start + INTERVAL 14 DAY, last) AS window_end
+  FROM (SELECT (row_number() OVER (ORDER BY s)) - 1 AS n, s AS window_start, last
+        FROM (SELECT unnest(generate_series(first, last - INTERVAL 1 HOUR, INTERVAL 14 DAY)) AS s, last FROM days)))""", """
 SELECT audit_id, window_start, window_end, count(trip_id) AS rows_loaded,
   date_diff('hour', window_start, window_end) || 'h window, '
   || (date_diff('hour', window_start, window_end) - count(DISTINCT event_hour)) || ' empty hours' AS notes

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyport.functions.keys import log_partition
 from tallyport.functions.sequences import counter_rate, longest_rising_run, trailing_slope
 from tallyport.operators import fanout, latency, parse, quarantine, reconcile, retry, skew, telemetry, upsert
+from tallyport.plans import drain as drains
 from tallyport.plans import questions, reports, rollup, star
 from tallyport.registry import runs
 from tallyport.session import configure, new_folder
@@ -22,13 +23,8 @@ SLOPE_SECONDS = 7_200
 RATE_SECONDS = 21_600
 LAG_THRESHOLD = 5
 STEP_SECONDS = 3_600
-BACKFILL_CHUNKS = [
-    (datetime(2024, 1, 1), datetime(2024, 1, 15)),
-    (datetime(2024, 1, 15), datetime(2024, 1, 29)),
-    (datetime(2024, 1, 29), datetime(2024, 1, 31)),
-]
+BACKFILL_DAYS = 14
 FIRST_LOAD_ENDS = "2024-01-16"
-MONTH = ("2024-01-01", "2024-01-31")
 
 QUERIES: dict = {}
 
@@ -70,7 +66,7 @@ def _question(name: str, on_star: bool):
     def run(spark, sf_dir):
         on_rides = name == "q4"
         house = (runs.ride_house if on_rides else runs.trip_house)(spark, sf_dir)
-        window = runs.RIDE_WINDOW if on_rides else runs.TRIP_WINDOW
+        window = (runs.ride_window if on_rides else runs.trip_window)(spark, sf_dir)
         wide, starred = questions.PAIRS[name]
         if on_star:
             return starred(house.window("fact_trip", *window), house.dims(), *window)
@@ -297,7 +293,7 @@ def dlq_pending(spark, sf_dir):
     """What is left once the records of the first half of the log have been drained."""
     records = runs.quarantined(spark, sf_dir)
     cut = F.unix_millis(F.lit(FIRST_LOAD_ENDS).cast("timestamp"))
-    drained = quarantine.route(records.where(F.col("first_failed_at_ms") < cut))
+    drained = quarantine.settle(quarantine.route(records.where(F.col("first_failed_at_ms") < cut)))
     return quarantine.pending(records, quarantine.ledger_rows(drained)).select(
         "failure_stage", "event_id", "source_partition", "source_offset", "first_failed_at_ms"
     )
@@ -317,7 +313,50 @@ def dlq_direct_write(spark, sf_dir):
 
 @query
 def dlq_drain_totals(spark, sf_dir):
-    return quarantine.drain_totals(quarantine.route(runs.quarantined(spark, sf_dir)))
+    return quarantine.drain_totals(quarantine.settle(quarantine.route(runs.quarantined(spark, sf_dir))))
+
+
+def _damaged(records):
+    """Records of which some can no longer be replayed: cut payloads, late ones without a fare."""
+    payload, odd = F.col("original_payload"), F.col("first_failed_at_ms")
+    return records.withColumn(
+        "original_payload",
+        F.when((F.col("failure_stage") == parse.STAGE_PRODUCER) & (odd % 3 == 0), F.left(payload, F.lit(20)))
+        .when((F.col("failure_stage") == parse.STAGE_LATE) & (odd % 2 == 0), F.replace(payload, F.lit('"fare_amount"'), F.lit('"lost"')))
+        .otherwise(payload),
+    )
+
+
+@query
+def drain_end_to_end(spark, sf_dir):
+    """Three drains of damaged records: of the first half, of all, and once more. After the
+    first a stream batch with the same number brings newer fares for the trips it wrote.
+    Beside each drain's totals stands what the log, tables, parking and ledger then hold."""
+    root = new_folder(spark, "drained")
+    log, serving = f"{root}/log", f"{root}/serving"
+    runs.raw_log(spark, sf_dir).select(*raw_log.RAW_COLUMNS).write.parquet(log)
+    records = _damaged(runs.quarantined(spark, sf_dir))
+    cut = F.unix_millis(F.lit(FIRST_LOAD_ENDS).cast("timestamp"))
+    out = None
+    for n, todo in enumerate([records.where(F.col("first_failed_at_ms") < cut), records, records]):
+        before = raw_log.read_raw(spark, log).count()
+        totals = drains.drain(spark, todo, root, n, adapters.TOPIC, log, serving, adapters.LOG_PARTITIONS)
+        served = fanout.read_serving(spark, serving, "trips_by_id")
+        held = {
+            "drain_id": n,
+            "in_log": raw_log.read_raw(spark, log).count() - before,
+            "in_ledger": drains.read_ledger(spark, f"{root}/ledger").where(F.col("drain_id") == n).count(),
+            "in_parking": spark.read.text(f"{root}/parked/drain_id={n}").count(),
+            "trips_served": served.count(),
+            "newer_fares": served.where("fare_amount >= 1000000").count(),
+        }
+        part = totals.select(*[F.lit(v).cast("bigint").alias(k) for k, v in held.items()], *totals.columns)
+        out = part if out is None else out.unionByName(part)
+        if n == 0:
+            events = quarantine.writable(quarantine.direct_events(quarantine.route(todo)))
+            newer = events.withColumn("fare_amount", F.lit(1e6))
+            fanout.write_serving(fanout.fanout(newer, quarantine.now_ms(), latest=False), serving, n)
+    return out
 
 
 # -- reliability -------------------------------------------------------------------
@@ -412,19 +451,31 @@ def rollup_drift(spark, sf_dir):
     return rollup.drift(city_hour, _earlier_stage(city_hour))
 
 
+def _days(city_hour) -> tuple[datetime, datetime]:
+    """The whole days that hold all rows."""
+    row = city_hour.agg(
+        F.date_trunc("day", F.min("event_hour")).cast("timestamp_ntz").alias("first"),
+        (F.date_trunc("day", F.max("event_hour")) + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz").alias("end"),
+    ).first()
+    return row["first"], row["end"]
+
+
 @query
 def hour_completeness(spark, sf_dir):
     city_hour = _fanout(spark, sf_dir, "trips_by_city_hour")
-    return rollup.completeness(city_hour, *[F.lit(d).cast("timestamp") for d in MONTH])
+    return rollup.completeness(city_hour, *[F.lit(d).cast("timestamp") for d in _days(city_hour)])
 
 
 @query
 def backfill_window(spark, sf_dir):
-    """Three backfills that together cover the log; the audit as it reads afterwards."""
+    """Backfills of two weeks that together cover the log; the audit as it reads afterwards."""
     city_hour = _fanout(spark, sf_dir, "trips_by_city_hour")
     stage = _earlier_stage(city_hour)
     log = None
-    for n, (start, end) in enumerate(BACKFILL_CHUNKS):
+    first, last = _days(city_hour)
+    width = timedelta(days=BACKFILL_DAYS)
+    for n in range(-(-(last - first) // width)):
+        start, end = first + n * width, min(first + (n + 1) * width, last)
         stage, audit = rollup.backfill(city_hour, stage, start, end, F.lit(end).cast("timestamp"))
         records = rollup.audit_opening(f"run-{n}", audit).unionByName(rollup.audit_closing(f"run-{n}", audit))
         log = records if log is None else log.unionByName(records)

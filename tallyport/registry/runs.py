@@ -16,9 +16,6 @@ from tallyport.sources.schemas import SERVING_TABLES
 from tallyport.sources.tables import table
 from tallyport.streaming.ingest import IngestJob
 
-TRIP_WINDOW = ("1995-01-01", "2002-01-01")
-RIDE_WINDOW = ("2024-01-01", "2024-02-01")
-
 _done: dict[tuple, object] = {}
 
 
@@ -30,10 +27,26 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make):
     return _done[key]
 
 
+def _days_of(df: DataFrame, column: str) -> tuple[str, str]:
+    """First day of a column, and the day after its last."""
+    day = F.to_date(F.col(column).cast("timestamp"))
+    row = df.agg(F.min(day).cast("string").alias("first"), F.date_add(F.max(day), 1).cast("string").alias("end")).first()
+    return row["first"] or "1970-01-01", row["end"] or "1970-01-02"
+
+
+def trip_window(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """[first day, day after the last) of the trips."""
+    return _once(spark, sf_dir, "trip-window", lambda: _days_of(table(spark, sf_dir, "lineitem"), "l_shipdate"))
+
+
+def ride_window(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return _once(spark, sf_dir, "ride-window", lambda: _days_of(table(spark, sf_dir, "events"), "ts"))
+
+
 def trip_house(spark: SparkSession, sf_dir: str) -> star.Warehouse:
     def load() -> star.Warehouse:
         rows = table(spark, sf_dir, "lineitem").count()
-        return star.load(spark, adapters.trips(spark, sf_dir), rows, star.TRIP_LABELS, *TRIP_WINDOW, "trips")
+        return star.load(spark, adapters.trips(spark, sf_dir), rows, star.TRIP_LABELS, *trip_window(spark, sf_dir), "trips")
 
     return _once(spark, sf_dir, "trips", load)
 
@@ -41,15 +54,17 @@ def trip_house(spark: SparkSession, sf_dir: str) -> star.Warehouse:
 def ride_house(spark: SparkSession, sf_dir: str) -> star.Warehouse:
     def load() -> star.Warehouse:
         rows = table(spark, sf_dir, "events").count()
-        return star.load(spark, adapters.rides(spark, sf_dir), rows, star.RIDE_LABELS, *RIDE_WINDOW, "rides")
+        return star.load(spark, adapters.rides(spark, sf_dir), rows, star.RIDE_LABELS, *ride_window(spark, sf_dir), "rides")
 
     return _once(spark, sf_dir, "rides", load)
 
 
-def slices(spark: SparkSession, sf_dir: str) -> int:
-    """Number of arrival slices of the log."""
-    last = table(spark, sf_dir, "events").agg(F.max(F.col("ts").cast("timestamp")).alias("t"))
-    return last.select(adapters.slice_of(F.col("t"))).first()[0] + 1
+def slices(spark: SparkSession, sf_dir: str) -> range:
+    """Numbers of the arrival slices of the log, none left out."""
+    ts = F.col("ts").cast("timestamp")
+    ends = table(spark, sf_dir, "events").agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    row = ends.select(adapters.slice_of(F.col("lo")).alias("lo"), adapters.slice_of(F.col("hi")).alias("hi")).first()
+    return range(row["lo"], row["hi"] + 1) if row["lo"] is not None else range(0)
 
 
 @dataclass(frozen=True)
@@ -69,13 +84,13 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> IngestRun:
         log = f"{root}/raw_log"
         job = IngestJob(spark, root, run_id="registered", sample_rate=1.0)
         batches = slices(spark, sf_dir)
-        for n in range(batches):
+        for batch_id, n in enumerate(batches):
             slice_rows = adapters.raw_events(spark, sf_dir, n)
             publish_files(slice_rows, log)
             job.run_available(read_raw_stream(spark, log))
-            if n == batches // 2:
-                job.process(slice_rows.drop("batch_no"), n)
-        return IngestRun(job, log, batches)
+            if batch_id == len(batches) // 2:
+                job.process(slice_rows.drop("batch_no"), batch_id)
+        return IngestRun(job, log, len(batches))
 
     return _once(spark, sf_dir, "ingest", run)
 

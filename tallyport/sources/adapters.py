@@ -38,12 +38,17 @@ DEFECTS = [
 ]
 
 
+def _padded(text: Column, least: int) -> Column:
+    """Zeros in front up to `least` characters; longer numbers stay whole."""
+    return F.lpad(text, F.greatest(F.length(text), F.lit(least)), F.lit("0"))
+
+
 def _tagged(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 6, "0"))
+    return F.concat(F.lit(prefix), _padded(number.cast("string"), 6))
 
 
 def _uuid(head: Column, number: Column) -> Column:
-    return F.concat(head, F.lit("-0000-4000-8000-"), F.lpad(F.lower(F.hex(number)), 12, "0"))
+    return F.concat(head, F.lit("-0000-4000-8000-"), _padded(F.lower(F.hex(number)), 12))
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +100,7 @@ def _event_fields(events: DataFrame) -> DataFrame:
         "value",
         k.alias("k"),
         _uuid(F.lit("00000000"), F.col("event_id")).alias("event_uuid"),
-        _uuid(F.lpad(F.lower(F.hex(user)), 8, "0"), F.col("event_id")).alias("trip_uuid"),
+        _uuid(_padded(F.lower(F.hex(user)), 8), F.col("event_id")).alias("trip_uuid"),
         F.col("event_type").alias("city_id"),
         _tagged("d-", user).alias("driver_id"),
         _tagged("r-", k).alias("rider_id"),

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
 
-from tallyport.functions.timing import lateness_seconds
+from tallyport.functions.timing import earlier_by
 from tallyport.operators import latency, parse, quarantine, retry
 from tallyport.operators.fanout import fanout, write_serving
 from tallyport.operators.telemetry import read_reports
@@ -69,7 +69,7 @@ class IngestJob:
         started = time.time()
         before = self.high_water(batch_id - 1)
         validated = parse.validate(parse.parse(batch)).persist(StorageLevel.MEMORY_AND_DISK)
-        cutoff = F.lit(self.cutoff(before)).cast("timestamp")
+        cutoff = earlier_by(F.lit(before).cast("timestamp"), self.watermark)
         now = F.lit(int(started * 1000)).cast("bigint")
         classified = parse.assign_route(validated, cutoff, self.late_policy).withColumn("written_at_ms", now)
         try:
@@ -80,20 +80,32 @@ class IngestJob:
         finally:
             validated.unpersist()
 
-    def cutoff(self, mark: datetime | None) -> datetime | None:
-        return mark and mark - timedelta(seconds=lateness_seconds(self.watermark))
-
     def high_water(self, batch_id: int) -> datetime | None:
         """Greatest event time up to a batch, None before the first."""
         if batch_id < 0:
             return None
+        newest = self._report_before(f"{self.path('reports')}/batch_id={batch_id}", batch_id)
+        if newest is None:  # expired or moved: the newest of those that are left
+            newest = self._report_before(self.path("reports"), batch_id)
+        return _moment(newest["us"]) if newest else None
+
+    def _report_before(self, path: str, batch_id: int) -> Row | None:
+        """The newest report below `path` up to a batch; None without any, an error if it cannot be read."""
         try:
-            row = read_reports(self.spark, f"{self.path('reports')}/batch_id={batch_id}").select(
-                F.unix_micros("max_event_time").alias("us")
-            ).first()
-        except AnalysisException:
-            return self.high_water(batch_id - 1)
-        return _moment(row["us"]) if row else None
+            found = read_reports(self.spark, path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        row = (
+            found.where(F.col("batch_id") <= batch_id)
+            .select("batch_id", F.unix_micros("max_event_time").alias("us"))
+            .orderBy(F.desc("batch_id"))
+            .first()
+        )
+        if row is None and f"batch_id={batch_id}" in path:
+            raise ValueError(f"the report {path} cannot be read; without it nothing would count as late")
+        return row
 
     def _counters(self) -> list:
         route = F.col("route")
@@ -161,7 +173,10 @@ class IngestJob:
         }
         if self.external_write and counts["input_rows"]:
             row |= self._delivery_counts(batch_id)
+            row["dlq"] += row["failures_exhausted"]
         kinds = [(f.name, f.dataType) for f in StructType.fromDDL(BATCH_REPORT_SCHEMA)]
+        reasons = [F.lit(x) for pair in sorted(row.get("failure_reasons", {}).items()) for x in pair]
+        row["failure_reasons"] = F.create_map(*reasons) if reasons else None
         report = self.spark.range(1).select(*[F.lit(row.get(n)).cast(t).alias(n) for n, t in kinds])
         report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(
             f"{self.path('reports')}/batch_id={batch_id}"
@@ -175,7 +190,12 @@ class IngestJob:
             F.count_if(won & (F.col("attempts") > 1)).alias("retried"),
             F.count_if(~won).alias("exhausted"),
         ).first()
+        reasons = (
+            done.where(~won).groupBy(F.split_part(F.col("last_error"), F.lit(":"), F.lit(1)).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n")).collect()
+        )
         return {
+            "failure_reasons": {r["reason"]: r["n"] for r in reasons},
             "retries_before_success": c["retries"],
             "retried_writes": c["retried"],
             "retried_writes_retries": c["retries"],

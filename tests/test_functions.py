@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyport.functions import sequences
 from tallyport.functions.keys import canonical_uuid, log_partition
 from tallyport.functions.quantiles import exact_quantiles
-from tallyport.functions.timing import backoff_delay_ms, lateness_seconds
+from tallyport.functions.timing import backoff_delay_ms, earlier_by
 from tallyport.operators import telemetry
 
 T0 = datetime(2024, 3, 1, 23, 58)
@@ -50,10 +50,18 @@ def test_uuid_spellings(spark):
     assert column(spark, "string", forms, canonical_uuid) == [plain] * 5 + [None] * 3
 
 
-def test_lateness():
-    assert [lateness_seconds(s) for s in ("2 minutes", "1 minute", "3 hours", "500 milliseconds")] == [120, 60, 10800, 0]
-    with pytest.raises(ValueError):
-        lateness_seconds("soon")
+@pytest.mark.parametrize("spec,seconds", [("2 minutes", 120), ("1 minute", 60), ("3 hours", 10800), ("500 milliseconds", 0.5)])
+def test_lateness(spark, spec, seconds):
+    moment = F.lit("2024-01-08 12:00:00").cast("timestamp")
+    row = spark.range(1).select((F.unix_micros(moment) - F.unix_micros(earlier_by(moment, spec))).alias("us")).first()
+    assert row["us"] == seconds * 1_000_000
+
+
+def test_no_lateness(spark):
+    with pytest.raises(Exception, match="INTERVAL|interval"):
+        spark.range(1).select(earlier_by(F.current_timestamp(), "soon")).collect()
+    none = spark.range(1).select(earlier_by(F.lit(None).cast("timestamp"), "2 minutes").alias("t")).first()
+    assert none["t"] is None
 
 
 def test_backoff(spark):

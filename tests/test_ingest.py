@@ -171,9 +171,9 @@ def records(spark):
     )
 
 
-def run_drain(spark, folder, rows, drain_id, **more):
+def run_drain(spark, folder, rows, drain_id, **options):
     return drains.drain(
-        spark, rows, f"{folder}/ledger", drain_id, "trips.raw", f"{folder}/raw", folder, f"{folder}/parked", **more
+        spark, rows, folder, drain_id, "trips.raw", f"{folder}/raw", folder, partitions=6, **options
     ).first()
 
 
@@ -186,7 +186,7 @@ def test_drain_accounts_for_everything_once(spark, folder):
     sent = {r["key"]: (r["value"], r["replay_count"]) for r in read_raw(spark, f"{folder}/raw").collect()}
     assert sent == {uid(1001): (event(1), 1), uid(1002): (event(2), 2)}
     assert counts(spark, folder) == {name: 1 for name in SERVING_TABLES}
-    parked = spark.read.json(f"{folder}/parked").select("park_reason").collect()
+    parked = spark.read.json(f"{folder}/parked").select("why").collect()
     assert sorted(r[0] for r in parked) == [
         "replay_count >= 3", "stage 'parse' is not automatically recoverable",
         "stage 'unknown_stage' is not automatically recoverable",
@@ -207,9 +207,55 @@ def test_breaker(spark, folder):
         run_drain(spark, folder, records(spark), 1, breaker=5)
 
 
-def test_long_reasons_are_cut_and_payloads_are_not(spark):
+def test_failed_records_are_parked_and_not_lost(spark, folder):
+    late_without_fare = json.loads(event(5)) | {"fare_amount": None}
+    rows = envelope(spark, [
+        (json.dumps(late_without_fare), "r", "late_event", 0, 1, 0), ("junk", "r", "producer", 4, 2, 0),
+        (event(6), "r", "late_event", 0, 3, 0),
+    ])
+    done = run_drain(spark, folder, rows, 0)
+    assert (done["records_read"], done["direct_written"], done["direct_write_failed"], done["reinject_failed"]) == (3, 1, 1, 1)
+    parked = {r["failure_stage"]: r["why"] for r in spark.read.json(f"{folder}/parked").collect()}
+    assert parked == {"late_event": "PermanentDefect: fare_amount is null", "producer": "payload is not readable"}
+
+
+def test_totals_of_nothing_are_zero(spark, folder):
+    done = run_drain(spark, folder, records(spark).limit(0), 0)
+    assert set(done.asDict().values()) == {0}
+
+
+def test_drain_and_stream_do_not_share_folders(spark, folder):
+    rows = envelope(spark, [(event(7), "r", "late_event", 0, 1, 0)])
+    run_drain(spark, folder, rows, 0)
+    first = fanout.read_serving(spark, folder, "trips_by_id").first()
+    newer = quarantine.writable(quarantine.direct_events(quarantine.route(rows))).withColumn("fare_amount", F.lit(77.0))
+    fanout.write_serving(fanout.fanout(newer, quarantine.now_ms(), latest=False), folder, 0)
+    now = fanout.read_serving(spark, folder, "trips_by_id").collect()
+    assert [r["trip_id"] for r in now] == [first["trip_id"]] and now[0]["fare_amount"] == 77.0
+
+
+def test_reinjected_messages_continue_the_log(spark, folder):
+    run_drain(spark, folder, envelope(spark, [(event(n), "r", "producer", 4, n, 0) for n in range(20)]), 0)
+    run_drain(spark, folder, envelope(spark, [(event(n), "r", "producer", 4, n, 0) for n in range(20, 40)]), 1)
+    sent = read_raw(spark, f"{folder}/raw").collect()
+    places = [(r["partition"], r["offset"]) for r in sent]
+    assert len(set(places)) == 40 and len({p for p, _ in places}) > 1 and None not in {o for _, o in places}
+
+
+def test_high_water_after_reports_have_gone(spark, folder):
+    job = IngestJob(spark, folder)
+    report = spark.sql("SELECT 3L AS batch_id, timestamp'2024-01-08 12:00:00' AS max_event_time")
+    report.write.json(f"{folder}/reports/batch_id=3")
+    assert job.high_water(5000).timestamp() == job.high_water(3).timestamp()
+    assert job.high_water(2) is None and job.high_water(-1) is None
+    spark.createDataFrame([("broken {",)], "value string").write.text(f"{folder}/reports/batch_id=4")
+    with pytest.raises(Exception):
+        job.high_water(4)
+
+
+def test_reasons_and_payloads_stay_whole(spark):
     row = envelope(spark, [("x" * 50_000, "r" * 3000, "parse", 0, 1, 0)]).first()
-    assert (len(row["failure_reason"]), len(row["original_payload"])) == (2000, 50_000)
+    assert (len(row["failure_reason"]), len(row["original_payload"])) == (3000, 50_000)
 
 
 def test_envelope_reader_is_tolerant(spark):

@@ -85,7 +85,29 @@ def test_deliver(spark):
     assert (got["x-0"]["attempts"], got["x-0"]["last_error"]) == (1, "InvalidRequest: refused")
 
 
-@pytest.mark.parametrize("index,delay", [(0, 1000), (1, 2000), (2, 4000), (7, 4000)])
-def test_policy(index, delay):
-    assert retry.RetryPolicy().delay_ms(index) == delay
-    assert retry.RetryPolicy(schedule_ms=()).delay_ms(index) == 0.0
+def test_policy():
+    plain = retry.RetryPolicy(max_attempts=9, jitter_ratio=0)
+    assert plain.waits("k") == [1000, 2000, 4000, 4000, 4000, 4000, 4000, 4000]
+    assert retry.RetryPolicy(schedule_ms=()).waits("k") == [0.0] * 3
+    assert retry.RetryPolicy(max_attempts=1).waits("k") == []
+    assert retry.RetryPolicy(max_attempts=2, jitter_ratio=0).waits("k") == [1000]
+
+
+def test_jitter_spreads_batches_and_repeats():
+    policy = retry.RetryPolicy()
+    firsts = [policy.waits(f"event-{n}")[0] for n in range(400)]
+    assert all(900 <= w <= 1100 for w in firsts) and len(set(firsts)) > 390
+    assert min(firsts) < 920 and max(firsts) > 1080 and abs(sum(firsts) / 400 - 1000) < 15
+    assert policy.waits("event-7") == policy.waits("event-7")
+
+
+@pytest.mark.parametrize("error,attempts", [(TimeoutError("slow"), 4), (ValueError("wrong"), 1)])
+def test_exceptions_are_outcomes(spark, error, attempts):
+    def write(batch):
+        raise error
+
+    events = spark.createDataFrame([("a",), ("b",)], "event_id string").coalesce(1)
+    policy = retry.RetryPolicy(schedule_ms=(), jitter_ratio=0)
+    for row in retry.deliver(events, write, policy, sleep=lambda s: None).collect():
+        assert (row["attempts"], row["succeeded"]) == (attempts, False)
+        assert row["last_error"] == f"{type(error).__name__}: {error}"
