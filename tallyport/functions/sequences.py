@@ -8,7 +8,7 @@ the rows just before the bucket (`trailing`). Results equal those of the uncut w
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -66,11 +66,10 @@ def with_last_mark(df: DataFrame, by: list[str], order: list[str], mark: Column,
 
 def trailing(
     df: DataFrame, by: list[str], ts: str, seconds: int, bucket_seconds: int = DAY
-) -> tuple[DataFrame, WindowSpec]:
+) -> DataFrame:
     """Rows with copies in the next bucket where its frames reach back to them.
 
-    Returns the copied rows and the frame of the last `seconds` up to each row. Drop
-    rows where `_copy` is true once the frame has been used.
+    Drop rows where `_copy` is true once the frames have been used.
     """
     width = max(bucket_seconds, seconds)
     rows = bucketed(df, ts, width)
@@ -90,8 +89,7 @@ def trailing(
         .withColumn("_second", (F.col("_micros") - F.col("_bucket") * width * 1_000_000) / 1e6)
         .drop("_home")
     )
-    frame = W.partitionBy(*by, "_bucket").orderBy("_micros").rangeBetween(-seconds * 1_000_000, 0)
-    return spread, frame
+    return spread
 
 
 def numbered(df: DataFrame, order: list[str], out: str, first: int = 1) -> DataFrame:
@@ -128,14 +126,63 @@ def longest_rising_run(df: DataFrame, by: list[str], ts: str, value: str, tie: s
     return runs.groupBy(*by).agg(F.max("_length").alias("longest_rising_run"))
 
 
+def _with_frame_start(df: DataFrame, by: list[str], ts: str, tie: str, seconds: int, sums: dict[str, Column]) -> DataFrame:
+    """Adds struct `_sum`: what `sums` add up to over the last `seconds` up to each row.
+
+    Linear in the rows. Running totals are kept per (series, time bucket); for every row a
+    marker stands at the start of its frame, and the frame's sum is the difference of the
+    running totals at the row and at its marker. Rows at one instant share a frame, so all
+    of them count for each. A bucket starts with the rows that its frames reach back to.
+    """
+    spread = trailing(df, by, ts, seconds)
+    window = seconds * 1_000_000
+    # Three kinds at one instant: markers come before the rows, totals of the instant after them.
+    rows = spread.select(
+        *by, "_bucket", F.col("_micros").alias("_at"), F.lit(1).alias("_kind"), F.col(tie).alias("_tie"),
+        *[F.coalesce(c.cast("double"), F.lit(0.0)).alias(n) for n, c in sums.items()],
+    )
+    own = spread.where(~F.col("_copy")).select(*by, "_bucket", F.col("_micros").alias("_of")).distinct()
+    marks = own.select(
+        *by, "_bucket", F.explode(F.array(F.struct((F.col("_of") - window).alias("at"), F.lit(0).alias("kind")),
+                                          F.struct(F.col("_of").alias("at"), F.lit(2).alias("kind")))).alias("m"), "_of",
+    ).select(
+        *by, "_bucket", F.col("m.at").alias("_at"), F.col("m.kind").alias("_kind"), "_of",
+        *[F.lit(0.0).alias(n) for n in sums],
+    )
+    running = W.partitionBy(*by, "_bucket").orderBy("_at", "_kind").rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = (
+        rows.drop("_tie").withColumn("_of", F.lit(None).cast("bigint")).unionByName(marks)
+        .withColumns({f"_to_{n}": F.sum(n).over(running) for n in sums})
+        .where("_kind <> 1")
+    )
+    sign = F.when(F.col("_kind") == 2, 1.0).otherwise(-1.0)
+    per_instant = totals.groupBy(*by, "_bucket", F.col("_of").alias("_micros")).agg(
+        *[F.sum(sign * F.col(f"_to_{n}")).alias(f"_sum_{n}") for n in sums]
+    )
+    return spread.join(per_instant, [*by, "_bucket", "_micros"], "left")
+
+
 def trailing_slope(df: DataFrame, by: list[str], ts: str, value: str, seconds: int) -> DataFrame:
-    """Least-squares slope per second over the last `seconds`; frames of one point are left out."""
-    spread, frame = trailing(df, by, ts, seconds)
+    """Least-squares slope per second over the last `seconds`; frames of one point are left out.
+
+    From sums of x, y, xy and xx, with x counted from the start of the bucket.
+    """
+    x, known = F.col("_second"), F.col(value).isNotNull()
+    y = F.when(known, F.col(value).cast("double"))
+    sums = {
+        "n": known.cast("double"), "x": F.when(known, x), "y": y, "xy": x * y, "xx": F.when(known, x * x),
+    }
+    framed = _with_frame_start(df, by, ts, ts, seconds, sums)
+    n, sx, sy = F.col("_sum_n"), F.col("_sum_x"), F.col("_sum_y")
+    sxy = F.col("_sum_xy") - sx * sy / n
+    sxx = F.col("_sum_xx") - sx * sx / n
+    # Points at one instant have no slope; what is left of the difference is rounding.
+    apart = sxx > 1e-9 * F.greatest(F.lit(1.0), F.col("_sum_xx"))
     return (
-        spread.withColumn("points", F.count(value).over(frame))
-        .withColumn("slope", F.regr_slope(F.col(value), F.col("_second")).over(frame))
+        framed.withColumn("points", F.round(n).cast("bigint"))
         .where(~F.col("_copy") & (F.col("points") >= 2))
-        .drop("_copy", "_micros", "_second", "_bucket")
+        .withColumn("slope", F.when(apart, sxy / sxx))
+        .drop("_copy", "_micros", "_second", "_bucket", *[f"_sum_{k}" for k in sums])
     )
 
 
@@ -146,21 +193,46 @@ def counter_rate(df: DataFrame, by: list[str], ts: str, value: str, tie: str, se
     increase is the sum of steps between samples inside the frame; nothing is
     extrapolated to the frame's edges.
     """
-    spread, frame = trailing(df, by, ts, seconds)
-    in_order = W.partitionBy(*by, "_bucket").orderBy("_micros", tie)
-    before = F.lag(value).over(in_order)
-    step = F.when(before.isNull(), F.lit(0.0)).when(F.col(value) >= before, F.col(value) - before).otherwise(
-        F.col(value)
-    )
-    stepped = spread.withColumn("_step", step.cast("double")).withColumn("_key", F.struct("_micros", tie))
-    first_step = F.min_by("_step", "_key").over(frame)
-    increase = F.sum("_step").over(frame) - first_step
+    order = [ts, tie]
+    stepped = with_previous(bucketed(df, ts), by, order, [value], "_prev").drop("_bucket")
+    before, now = F.col(f"_prev.{value}"), F.col(value)
+    step = F.when(before.isNull(), 0.0).when(now >= before, now - before).otherwise(now).cast("double")
+    stepped = stepped.withColumn("_step", F.coalesce(step, F.lit(0.0))).drop("_prev")
+    framed = _with_frame_start(
+        stepped, by, ts, tie, seconds, {"step": F.col("_step"), "n": F.col(value).isNotNull().cast("double")}
+    )
+    # The first sample's step reaches out of the frame: it is the first at or after the start.
+    starts = _first_steps(framed, by, tie, seconds)
     return (
-        stepped.withColumn("samples", F.count(value).over(frame))
-        .withColumn("increase", increase)
-        .where(~F.col("_copy"))
+        framed.where(~F.col("_copy")).join(starts, [*by, "_bucket", "_micros"])
+        .withColumn("samples", F.round("_sum_n").cast("bigint"))
+        .withColumn("increase", F.col("_sum_step") - F.col("_first"))
         .withColumn("rate", F.col("increase") / seconds)
-        .drop("_copy", "_micros", "_second", "_bucket", "_step", "_key")
+        .drop("_copy", "_micros", "_second", "_bucket", "_step", "_sum_step", "_sum_n", "_first")
+    )
+
+
+def _first_steps(framed: DataFrame, by: list[str], tie: str, seconds: int) -> DataFrame:
+    """(series, bucket, instant) with the step of the first sample in that instant's frame.
+
+    Going backwards in time, the last row seen before a frame's start mark is the frame's first.
+    """
+    rows = framed.select(*by, "_bucket", F.col("_micros").alias("_at"), F.lit(1).alias("_kind"), F.col(tie).alias("_tie"),
+                         "_step", F.lit(None).cast("bigint").alias("_of"))
+    marks = framed.where(~F.col("_copy")).select(*by, "_bucket", "_micros").distinct().select(
+        *by, "_bucket", (F.col("_micros") - seconds * 1_000_000).alias("_at"), F.lit(0).alias("_kind"),
+        F.lit(None).cast(framed.schema[tie].dataType).alias("_tie"), F.lit(None).cast("double").alias("_step"),
+        F.col("_micros").alias("_of"),
+    )
+    backwards = (
+        W.partitionBy(*by, "_bucket").orderBy(F.desc("_at"), F.desc("_kind"), F.desc("_tie"))
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    return (
+        rows.unionByName(marks)
+        .withColumn("_first", F.last("_step", ignorenulls=True).over(backwards))
+        .where("_kind = 0")
+        .select(*by, "_bucket", F.col("_of").alias("_micros"), "_first")
     )
 
 
