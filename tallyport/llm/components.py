@@ -18,7 +18,7 @@ def star_step(links: DataFrame) -> DataFrame:
         links.select(F.col("label").alias("u"), F.col("node").alias("v"))
     )
     least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = sym.filter("v > u").join(least, "u").select(F.col("v").alias("node"), F.col("m").alias("label")).distinct()
+    large = sym.filter("v > u").join(least, "u").select(F.col("v").alias("node"), F.col("m").alias("label"))
     lowest = large.groupBy("node").agg(F.min("label").alias("m"))
     small = large.join(lowest, "node")
     return (
@@ -28,11 +28,6 @@ def star_step(links: DataFrame) -> DataFrame:
     )
 
 
-def labels(links: DataFrame) -> DataFrame:
-    """The smallest label seen so far for each node; equal labels mean connected."""
-    return links.groupBy("node").agg(F.min("label").alias("label"))
-
-
 def components(links: DataFrame) -> DataFrame:
     """(node, label) with label the smallest node reachable, for each node that is not that itself."""
     mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("node", "label").cast("decimal(38,0)"))).first()

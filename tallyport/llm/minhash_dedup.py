@@ -7,10 +7,11 @@ m * m * 2 * r. A pair at the threshold misses all tables with probability
 1 - (1 - (1 - s**r)**m)**2, at most MISS here; m follows from the threshold.
 
 Sets that are equal are one node, named by their smallest doc_id. Buckets of the tables are
-not expanded into pairs. In each round a few pivots of every bucket are compared with its
-other members, on full sets; what links joins a component, and pairs inside a component
-need no comparison. A pivot that has been compared leaves its bucket; pivots double from
-round to round, and rounds end when no bucket holds two components. So every pair of a
+not expanded into pairs. First the node of most buckets is compared with its bucket's other
+members, on full sets; what links is drawn together by a star step, and nodes with equal
+labels, which are connected, need no comparison. In later rounds the nodes outside the
+largest group are compared, more of them from round to round, until no bucket holds two
+labels. A pair is compared only in the first bucket that both share. So every pair of a
 bucket is either compared or already connected, and a group of copies costs about one
 comparison a copy.
 
@@ -35,13 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyport.llm.common import map_arrow, slices, stored
-from tallyport.llm.components import components, labels, star_step
+from tallyport.llm.components import components, star_step
 from tallyport.llm.hashing import GOLDEN, minhashes, mix, set_hash, shingle_sets
 
 SHINGLE = 5
 PERCENT = 80
-ROWS = 2  # minima in a sub-band
-MISS = 1e-4
+ROWS = 3  # minima in a sub-band
+MISS = 4e-4
+FIRST_PIVOTS, PIVOT_GROWTH = 8, 8  # pivots of a bucket in the second round, and times more in each later one
 
 
 def sub_bands(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -116,9 +118,10 @@ def _confirm(percent: int):
 
 
 def _buckets(nodes: DataFrame, m: int) -> DataFrame:
-    """(key, node, size, weight) of all buckets with two nodes or more, one of each with equal content.
+    """(key, node, size, keys) of all buckets with two nodes or more, one of each with equal content.
 
-    weight counts a node's buckets: the text that others were copied from has the most.
+    `keys` are all of a node's buckets: two nodes are compared in the first they share, and
+    the text that others were copied from has the most.
     """
     keys = (
         nodes.select("node", "size", F.explode(F.slice("subs", 1, m)).alias("a"), F.slice("subs", m + 1, m).alias("b"))
@@ -130,9 +133,8 @@ def _buckets(nodes: DataFrame, m: int) -> DataFrame:
         F.sum(F.shiftright(F.xxhash64("node"), 20)).alias("content"),
     ).filter("lo <> hi")
     distinct = found.groupBy("n", "lo", "hi", "content").agg(F.min("key").alias("key")).select("key")
-    members = stored(keys.join(distinct, "key"), "buckets")
-    weights = members.groupBy("node").agg(F.count("*").alias("weight"))
-    return members.join(weights, "node")
+    members = stored(keys.join(distinct, "key"), "members")
+    return members.join(members.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -169,7 +171,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int) -> DataFrame:
-    """Confirmed links, already drawn together by a star step a round."""
+    """Confirmed links (node, label), drawn together by a star step a round."""
     spark = slim.sparkSession
     left = stored(_buckets(nodes, m), "buckets")
     wanted = left.select("node").distinct().join(nodes.select("node", "h1", "h2"), "node")
@@ -180,41 +182,52 @@ def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int
         ),
         "sets",
     )
+    left = left.withColumn("label", F.col("node"))
     links = spark.createDataFrame([], "node long, label long")
-    turn = 0
+    slots = 0
     while True:
-        members = left.join(labels(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        pivots = stored(
-            members.groupBy("key", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << turn)).alias("slot"))
-            .agg(F.max(F.struct("weight", "node", "label", "size")).alias("p"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-            .groupBy("key")
-            .agg(F.collect_list("p").alias("p"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-            .filter("lo <> hi")
-            .select("key", F.explode("p").alias("p"))
-            .select("key", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "label", "size"))),
-            "pivots",
-        )
+        pivots = stored(_pivots(left, slots), "pivots")
         if pivots.isEmpty():
             return links
         pairs = (
-            members.join(pivots, "key")
-            .filter("node <> p_node AND label <> p_label")
-            .filter(f"100 * least(size, p_size) >= {percent} * greatest(size, p_size)")
-            .select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("label"))
-            .distinct()
+            left.join(pivots, "key")
+            .filter(
+                "node <> p_node AND label <> p_label"
+                f" AND 100 * least(size, p_size) >= {percent} * greatest(size, p_size)"
+                " AND key = array_min(array_intersect(keys, p_keys))"
+            )
+            .select("node", F.col("p_node").alias("label"))
         )
         both = (
-            pairs.join(sets.select(F.col("node"), F.col("members").alias("x")), "node")
+            pairs.join(sets.select("node", F.col("members").alias("x")), "node")
             .join(sets.select(F.col("node").alias("label"), F.col("members").alias("y")), "label")
             .select("node", "label", "x", "y")
         )
         fresh = stored(map_arrow(both, _confirm(percent), "node long, label long"), "links")
-        rest = left.join(pivots.select("key").distinct(), "key", "left_semi").join(
-            pivots.select("key", F.col("p_node").alias("node")), ["key", "node"], "left_anti"
-        )
-        left = stored(rest, "buckets")
         links = stored(star_step(links.unionByName(fresh)), "joined")
-        turn += 1
+        compared = pivots.groupBy("key").agg(F.collect_set("p_node").alias("done"))
+        label = links.groupBy("node").agg(F.min("label").alias("label"))
+        left = stored(
+            left.drop("label").join(compared, "key").filter("NOT array_contains(done, node)").drop("done")
+            .join(label, "node", "left").withColumn("label", F.coalesce("label", "node")),
+            "buckets",
+        )
+        slots = slots * PIVOT_GROWTH or FIRST_PIVOTS
+
+
+def _pivots(left: DataFrame, slots: int) -> DataFrame:
+    """Pivots of the buckets that hold two labels: (key, p_node, p_label, p_size, p_keys).
+
+    First the heaviest node of each bucket; in later rounds up to `slots` nodes whose label
+    is not the heaviest node's, for once those are compared the bucket has one label left.
+    """
+    heaviest = F.max(F.struct(F.size("keys").alias("weight"), "node", "label", "size", "keys")).alias("p")
+    ruling = left.groupBy("key").agg(heaviest, F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    if slots:
+        slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots)).alias("slot")
+        others = left.join(ruling.select("key", F.col("p.label").alias("ruling")), "key").filter("label <> ruling")
+        ruling = others.groupBy("key", slot).agg(heaviest)
+    return ruling.select("key", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "label", "size", "keys")))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
