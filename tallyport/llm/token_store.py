@@ -54,10 +54,10 @@ SCHEMA = "doc_id long, n_tokens long, part int, local_start long, tokens array<i
 class LibraryEncoder:
     """The tokenizers library's ids of a text, as int32 bytes, asked once for each known word.
 
-    Texts are cut at ASCII spaces, which no pattern or special token of the file reaches
-    over. A piece is looked up in lower case and without a full stop or comma behind its
-    last letter or digit, where the pattern cuts anyway. Pieces that are long or may hold
-    a special token go to the library whole; unknown words go to its BPE model.
+    A text that may hold a special token goes to the library whole. Others are normalised
+    and cut at ASCII spaces, which no pattern of the file reaches over; a piece is looked up
+    without a full stop or comma behind its last letter or digit, where the pattern cuts
+    anyway, and unknown words go to the library's BPE model.
     """
 
     def __init__(self, data: bytes):
@@ -77,30 +77,31 @@ class LibraryEncoder:
             plain = word.isascii() and word.isprintable()
             shown = word if plain else "".join(map(self.alphabet.__getitem__, key))
             known = array("i", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
-            self.memo.put(key, known)
+            if len(key) <= LONG_PIECE:
+                self.memo.put(key, known)
         return known
 
     def piece(self, piece: bytes) -> bytes:
-        """Ids of a piece that the young generation of the memo does not have."""
-        if len(piece) > LONG_PIECE or b"<|" in piece:
-            return array("i", self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids).tobytes()
-        key, tail = piece, b""
-        if piece.isascii():
-            key = piece.lower()
-            if key[-1] in STOPS and key[-2:-1].isalnum():
-                key, tail = key[:-1], self.stops[key[-1]]
-        known = self.memo.young.get(key)
+        """Ids of a normalised piece that the young generation of the memo does not have."""
+        tail = b""
+        if piece[-1] in STOPS and piece[-2:-1].isalnum():
+            piece, tail = piece[:-1], self.stops[piece[-1]]
+            if (known := self.memo.young.get(piece)) is not None:
+                return known + tail
+        known = self.memo.old.get(piece)
         if known is None:
-            known = self.memo.old.get(key)
-            if known is None:
-                words = WORD.findall(normal(key.decode()))
-                known = self.word(words[0]) if len(words) == 1 else b"".join([self.word(w) for w in words])
-            self.memo.put(key, known)
+            words = WORD.findall(piece.decode())
+            known = self.word(words[0]) if len(words) == 1 else b"".join([self.word(w) for w in words])
+            if len(piece) > LONG_PIECE:
+                return known + tail
+        self.memo.put(piece, known)
         return known + tail
 
     def text(self, text: str) -> bytes:
+        if "<|" in text:
+            return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         known, piece = self.memo.young.get, self.piece
-        return b"".join([known(raw) or piece(raw) for raw in text.encode().split()])
+        return b"".join([known(raw) or piece(raw) for raw in normal(text).encode().split()])
 
 
 _encoders: dict[str, LibraryEncoder] = {}
