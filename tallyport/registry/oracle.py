@@ -215,6 +215,11 @@ SELECT 'dim_city' AS dimension, CAST(count(*) AS BIGINT) AS orphan_rows, count(D
 FROM rides WHERE city_id NOT IN (SELECT city_id FROM rides WHERE status = 'completed')
 UNION ALL SELECT unnest(['dim_date', 'dim_driver', 'dim_vehicle', 'dim_payment']), 0, 0""")
 
+ORACLE["storage_report"] = _with(DIMS, """SELECT unnest(['trips_wide', 'fact_trip']) AS table_name, count(*) AS rows FROM trips
+UNION ALL SELECT 'dim_city', count(*) FROM cities UNION ALL SELECT 'dim_vehicle', count(*) FROM vehicles
+UNION ALL SELECT 'dim_payment', count(*) FROM payments UNION ALL SELECT 'dim_driver', count(DISTINCT driver_id) FROM trips
+UNION ALL SELECT 'dim_date', date_diff('day', min(event_time)::TIMESTAMP, max(event_time)::TIMESTAMP) + 6 FROM trips""")
+
 # -- log, parsing, routing ---------------------------------------------------------
 
 _BLANK = ", ".join(
