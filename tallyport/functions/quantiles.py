@@ -1,9 +1,9 @@
 """Exact quantiles per group, without gathering any group in one task.
 
-Values are counted per distinct value, the counts are summed into logarithmic bins,
-and a running total over the bins tells which bin holds each wanted rank. Only those
-bins are then ordered by value. A group with a third of all rows is spread over its
-distinct values first and over its bins afterwards.
+Values are counted per distinct value, and the counts are dealt out in ranges of (group,
+value) that Spark balances by sampling. A running total over a group's ranges tells which
+range holds each wanted rank, and only those ranges are ordered by value. However the
+values lie, a group with a third of all rows is spread over as many ranges as it needs.
 """
 
 from __future__ import annotations
@@ -12,13 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BINS_PER_E = 64  # bins per factor e; the whole double range has about 91,000
-
-
-def value_bin(value: Column) -> Column:
-    """Coarse, order-preserving integer image of a number."""
-    size = F.floor(F.log1p(F.abs(value)) * BINS_PER_E)
-    return F.when(value >= 0, size).otherwise(-1 - size).cast("bigint")
+from tallyport.session import new_folder
 
 
 def interpolated_ranks(percent: float, total: Column) -> tuple[Column, Column, Column]:
@@ -33,6 +27,13 @@ def nearest_rank(percent: float, total: Column) -> Column:
     return F.least(total - 1, F.bround((total - 1) * F.lit(percent / 100.0), 0).cast("bigint"))
 
 
+def _in_ranges(counts: DataFrame, order: list[str]) -> DataFrame:
+    """Adds `_bin`, the number of the range of `order` that a row lies in; stored, as ranges are sampled."""
+    path = new_folder(counts.sparkSession, "ranges")
+    counts.repartitionByRange(*order).withColumn("_bin", F.spark_partition_id()).write.parquet(path)
+    return counts.sparkSession.read.parquet(path)
+
+
 def exact_quantiles(
     df: DataFrame,
     by: list[str],
@@ -46,8 +47,8 @@ def exact_quantiles(
         df.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_bin", value_bin(F.col("_v")))
     )
+    counts = _in_ranges(counts, [*by, "_v"])
     over_bins = W.partitionBy(*by).orderBy("_bin")
     bins = (
         counts.groupBy(*by, "_bin")

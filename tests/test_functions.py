@@ -72,6 +72,14 @@ def test_backoff(spark):
     assert all(900 <= d <= 1100 for d in jittered) and len(set(jittered)) > 50
 
 
+def test_quantiles_of_values_close_together(spark):
+    rows = [("g", n / 1e7) for n in range(3001)] + [("h", 1.7e12 + n) for n in range(1001)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", {"p50": 50}, {"n99": 99}).collect()}
+    assert got["g"]["p50"] == pytest.approx(1500 / 1e7) and got["g"]["n99"] == pytest.approx(2970 / 1e7)
+    assert got["h"]["p50"] == 1.7e12 + 500 and got["h"]["n99"] == 1.7e12 + 990
+
+
 def test_quantiles_of_a_hot_group(spark):
     rng = np.random.default_rng(3)
     groups = {
