@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyport.functions.quantiles import exact_quantiles
-from tallyport.functions.sequences import held_intervals, trailing_slope
+from tallyport.functions.sequences import counter_rate, held_intervals, trailing_slope
 from tallyport.functions.timing import time_bucket
 from tallyport.operators.retry import merge_counters
 from tallyport.session import small_side
@@ -201,6 +201,26 @@ def rate_above(rates: DataFrame, by: list[str], column: str, threshold: float, h
     return held_intervals(rates, by, "ts", "event_id", F.col(column) > threshold, hold_seconds)
 
 
+# Rules on counters: which counter, its rate or increase, the threshold, and how long it must hold.
+COUNTER_RULES = {
+    "dlq_rate_high": ("dlq", "rate", DLQ_RATE, DLQ_RATE_HOLD),
+    "writes_exhausted": ("exhausted", "increase", 0, EXHAUSTED_HOLD),
+    "retry_rate_high": ("retries", "rate", RETRY_RATE, RETRY_RATE_HOLD),
+    "deliveries_failing": ("delivery_failures", "increase", 0, EXHAUSTED_HOLD),
+}
+
+
+def counter_rules(
+    samples: DataFrame, by: list[str], kind: str, value: str, window_seconds: int, rules: dict[str, tuple] | None = None
+) -> dict[str, DataFrame]:
+    """Fired intervals of each counter rule; `kind` names the counter of a sample."""
+    rates = counter_rate(samples, [*by, kind], "ts", value, "event_id", window_seconds)
+    return {
+        name: rate_above(rates.where(F.col(kind) == counter), by, column, threshold, hold)
+        for name, (counter, column, threshold, hold) in (rules or COUNTER_RULES).items()
+    }
+
+
 def duration_p95(samples: DataFrame, by: list[str], value: str, window_seconds: int) -> DataFrame:
     """p95 of durations per window of `window_seconds`, as a series."""
     bucket = time_bucket(F.col("ts"), window_seconds)

@@ -2,7 +2,8 @@
 
 Every pair returns the same rows. Windows are half open and in UTC. A window of the
 star is a range of date keys on the fact itself, so that the scan skips row groups;
-dim_date is joined where its attributes are asked for. Spark broadcasts a dimension
+dim_date is joined where its attributes are asked for. Where a key has one attribute value
+and no other key has it, the groups are joined and not the facts. Spark broadcasts a dimension
 because its files are small, and would shuffle one that is not.
 """
 
@@ -60,9 +61,10 @@ def q1_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -
     return (
         completed_facts(fact, start, end)
         .join(dims["dim_city"], "city_key")
-        .join(dims["dim_date"], "date_key")
-        .groupBy("region", F.col("full_date").alias("day"))
+        .groupBy("region", "date_key")
         .agg(trip_count(), revenue())
+        .join(dims["dim_date"], "date_key")
+        .select("region", F.col("full_date").alias("day"), "trips", "revenue")
         .orderBy("region", "day")
     )
 
@@ -81,9 +83,10 @@ def q2_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
 def q2_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
     return (
         completed_facts(fact, start, end)
-        .join(dims["dim_driver"], "driver_key")
-        .groupBy("driver_id")
+        .groupBy("driver_key")
         .agg(trip_count(), revenue())
+        .join(dims["dim_driver"], "driver_key")
+        .select("driver_id", "trips", "revenue")
         .orderBy(F.desc("revenue"), "driver_id")
         .limit(TOP_DRIVERS)
     )

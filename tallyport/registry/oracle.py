@@ -546,10 +546,10 @@ slopes AS (SELECT run_id, event_id, ts, count(value) OVER w AS points,
 ORACLE["lag_slope"] = _with(SLOPES, "SELECT run_id, event_id, ts, points, round(slope, 6) AS slope FROM slopes WHERE points >= 2")
 
 
-def _rates(series: str, name: str = "rates") -> str:
+def _rates(series: str, name: str = "rates", where: str = "true") -> str:
     return f"""
 {name}_steps AS (SELECT *, CASE WHEN lag(k) OVER s IS NULL THEN 0 WHEN k >= lag(k) OVER s THEN k - lag(k) OVER s ELSE k END AS step
-  FROM samples WINDOW s AS (PARTITION BY {series} ORDER BY ts, event_id)),
+  FROM samples WHERE {where} WINDOW s AS (PARTITION BY {series} ORDER BY ts, event_id)),
 {name} AS (SELECT *, count(*) OVER w AS samples, CAST(sum(step) OVER w - first_value(step) OVER w AS DOUBLE) AS increase
   FROM {name}_steps WINDOW w AS (PARTITION BY {series} ORDER BY ts RANGE BETWEEN INTERVAL 21600 SECONDS PRECEDING AND CURRENT ROW))"""
 
@@ -593,7 +593,9 @@ GROUP BY run_id, island HAVING max(ts) >= min(ts) + INTERVAL {hold} SECONDS"""
 
 
 ORACLE["alert_intervals"] = _with(
-    SLOPES + "," + _rates("run_id") + f""",
+    SLOPES + "," + ",".join(
+        [_rates("run_id"), *(_rates("run_id", t, f"event_type = '{t}'") for t in ("signup", "error", "click", "purchase"))]
+    ) + f""",
 two_points AS (SELECT * FROM slopes WHERE points >= 2),
 hourly AS (SELECT run_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS ts, 0 AS event_id, {_CUMULATIVE} AS c FROM samples GROUP BY 1, 2),
 p95s AS (SELECT run_id, ts, event_id, {_quantile(0.95)} AS p95 FROM hourly),
@@ -607,6 +609,10 @@ producers AS (SELECT *, 0 AS event_id FROM actual JOIN target USING (run_id, ts)
             _held("batch_duration_high", "p95s", "p95 > 10", 3600),
             _held("producer_below_target", "producers", "target_rate > 0 AND actual_rate < target_rate * 0.95", 3600),
             _held("counter_increasing", "rates", "increase > 300", 3600),
+            _held("dlq_rate_high", "signup", "increase / 21600 > 0.01", 3600),
+            _held("writes_exhausted", "error", "increase > 0", 60),
+            _held("retry_rate_high", "click", "increase / 21600 > 0.02", 3600),
+            _held("deliveries_failing", "purchase", "increase > 0", 60),
         ]
     ),
 )

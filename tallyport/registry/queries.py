@@ -622,6 +622,15 @@ def histogram_quantile(spark, sf_dir):
     )
 
 
+# The counter rules on event types in place of counters, with thresholds of their size.
+COUNTER_RULES = {
+    "dlq_rate_high": ("signup", "rate", 0.01, STEP_SECONDS),
+    "writes_exhausted": ("error", "increase", 0, telemetry.EXHAUSTED_HOLD),
+    "retry_rate_high": ("click", "rate", 0.02, STEP_SECONDS),
+    "deliveries_failing": ("purchase", "increase", 0, telemetry.EXHAUSTED_HOLD),
+}
+
+
 @query
 def alert_intervals(spark, sf_dir):
     s = adapters.samples(spark, sf_dir)
@@ -645,7 +654,7 @@ def alert_intervals(spark, sf_dir):
             counter_rate(s, by, "ts", "k", "event_id", RATE_SECONDS), by, "increase", 300, STEP_SECONDS
         ),
     }
-    return telemetry.alerts(fired, by)
+    return telemetry.alerts(fired | telemetry.counter_rules(s, by, "event_type", "k", RATE_SECONDS, COUNTER_RULES), by)
 
 
 @query
