@@ -17,8 +17,6 @@ REINJECT_STAGES = [STAGE_SINK, STAGE_PRODUCER]
 DIRECT_STAGES = [STAGE_LATE]
 UNREADABLE_STAGE = "unreadable_dlq_record"
 
-COORDINATES = ["source_topic", "source_partition", "source_offset"]
-
 
 def now_ms() -> Column:
     return F.unix_millis(F.current_timestamp())

@@ -37,8 +37,11 @@ def with_defaults(rows: DataFrame) -> DataFrame:
 
 
 def closed_hours(city_hour: DataFrame, start: Column, end: Column) -> DataFrame:
-    """Rows of the hours in [start, end): one range on the partition column."""
-    return city_hour.where((F.col("event_hour") >= start) & (F.col("event_hour") < end))
+    """Rows of the hours in [start, end). On the stored table the day folders are pruned too."""
+    inside = (F.col("event_hour") >= start) & (F.col("event_hour") < end)
+    if "event_date" in city_hour.columns:
+        inside &= (F.col("event_date") >= F.to_date(start)) & (F.col("event_date") <= F.to_date(end))
+    return city_hour.where(inside)
 
 
 def stage_rows(city_hour: DataFrame, loaded_at: Column) -> DataFrame:

@@ -443,6 +443,16 @@ SELECT audit_id, window_start, window_end, count(trip_id) AS rows_loaded,
   date_diff('hour', window_start, window_end) || 'h window, '
   || (date_diff('hour', window_start, window_end) - count(DISTINCT event_hour)) || ' empty hours' AS notes
 FROM chunks LEFT JOIN city_hour ON event_hour >= window_start AND event_hour < window_end GROUP BY 1, 2, 3""")
+_DAYS_AND_AFTER = """,
+days AS (SELECT date_trunc('day', min(event_hour)) AS first, date_trunc('day', max(event_hour)) + INTERVAL 1 DAY AS last FROM city_hour),
+chunks AS (SELECT s AS window_start, least(s + INTERVAL 14 DAY, last) AS window_end
+  FROM (SELECT unnest(generate_series(first, last - INTERVAL 1 HOUR, INTERVAL 14 DAY)) AS s, last FROM days)
+  UNION ALL SELECT last, last + INTERVAL 1 DAY FROM days)"""
+ORACLE["closed_hour_gate"] = _with(STAGE + _DAYS_AND_AFTER, """SELECT window_start, count(trip_id) AS rows, count(trip_id) >= 100 AS landed
+    FROM chunks LEFT JOIN city_hour ON event_hour >= window_start AND event_hour < window_end GROUP BY 1""")
+ORACLE["backfill_alerts"] = _with(STAGE + _DAYS_AND_AFTER, """SELECT 'backfill_empty' AS kind, window_start, window_end,
+    CAST(date_diff('hour', window_start, window_end) AS INTEGER) AS hours
+    FROM chunks LEFT JOIN city_hour ON event_hour >= window_start AND event_hour < window_end GROUP BY 2, 3 HAVING count(trip_id) = 0""")
 ORACLE["freshness_violations"] = _with(STAGE, """SELECT event_hour, max(loaded_at) AS loaded_at, count(*) AS trips,
     round(CAST(epoch_us(max(loaded_at)) - epoch_us(event_hour + INTERVAL 1 HOUR) AS DOUBLE) / 60e6, 3) AS minutes_after_close
     FROM city_hour GROUP BY event_hour
@@ -565,16 +575,27 @@ _BOUNDS = [0.1, 0.25, 0.5, 1, 2, 3, 5, 8, 13, 21, 34, 60]
 _CUMULATIVE = "[" + ", ".join(f"count(*) FILTER (WHERE value <= {b})" for b in _BOUNDS) + ", count(*)]"
 
 
-def _quantile(q: float) -> str:
-    bounds = f"CAST({[float(b) for b in _BOUNDS]} AS DOUBLE[])"
-    at = f"len(list_filter(c, lambda x: x < {q} * c[13]))"
-    return f"""CASE WHEN {at} >= 12 THEN 60.0::DOUBLE ELSE
+_LATENCY_BOUNDS = [10, 25, 50, 100, 200, 350, 500, 750, 1000, 1500, 2500, 5000, 10000, 30000]
+
+
+def _quantile(q: float, edges: list = _BOUNDS) -> str:
+    n = len(edges)
+    bounds = f"CAST({[float(b) for b in edges]} AS DOUBLE[])"
+    at = f"len(list_filter(c, lambda x: x < {q} * c[{n + 1}]))"
+    return f"""CASE WHEN {at} >= {n} THEN {float(edges[-1])}::DOUBLE ELSE
       (CASE WHEN {at} = 0 THEN 0.0 ELSE {bounds}[{at}] END)
       + ({bounds}[{at} + 1] - CASE WHEN {at} = 0 THEN 0.0 ELSE {bounds}[{at}] END)
-        * ({q} * c[13] - CASE WHEN {at} = 0 THEN 0 ELSE c[{at}] END)
+        * ({q} * c[{n + 1}] - CASE WHEN {at} = 0 THEN 0 ELSE c[{at}] END)
         / nullif(CAST(c[{at} + 1] - CASE WHEN {at} = 0 THEN 0 ELSE c[{at}] END AS DOUBLE), 0) END"""
 
 
+ORACLE["latency_panel"] = _with(LATENCY + f""",
+filled AS (SELECT run_id, [{", ".join(f"count(*) FILTER (WHERE latency_ms <= {b})" for b in _LATENCY_BOUNDS)}, count(*)] AS c
+  FROM latency GROUP BY 1)""",
+    f"""SELECT run_id, {", ".join(f"round({_quantile(q, _LATENCY_BOUNDS)}, 6) AS {n}" for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)))}
+    FROM filled""")
+ORACLE["latency_retained"] = _with(LATENCY, """SELECT run_id, event_id, produced_at_ms // 60000 AS minute_bucket, latency_ms FROM latency
+    WHERE produced_at_ms // 60000 >= floor(((SELECT max(produced_at_ms) FROM latency) - 24 * 3600000) / 60000)""")
 ORACLE["histogram_quantile"] = _with(SAMPLES + f""",
 filled AS (SELECT run_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {_CUMULATIVE} AS c FROM samples GROUP BY 1, 2)""",
     f"""SELECT run_id, day, {", ".join(f"round({_quantile(q)}, 6) AS {n}" for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)))} FROM filled""")

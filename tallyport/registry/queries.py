@@ -461,6 +461,13 @@ def _days(city_hour) -> tuple[datetime, datetime]:
     return row["first"], row["end"]
 
 
+def _windows(first: datetime, last: datetime) -> list[tuple[datetime, datetime]]:
+    """[first, last) in windows of two weeks."""
+    width = timedelta(days=BACKFILL_DAYS)
+    starts = [first + n * width for n in range(-(-(last - first) // width))]
+    return [(s, min(s + width, last)) for s in starts]
+
+
 @query
 def hour_completeness(spark, sf_dir):
     city_hour = _fanout(spark, sf_dir, "trips_by_city_hour")
@@ -473,16 +480,44 @@ def backfill_window(spark, sf_dir):
     city_hour = _fanout(spark, sf_dir, "trips_by_city_hour")
     stage = _earlier_stage(city_hour)
     log = None
-    first, last = _days(city_hour)
-    width = timedelta(days=BACKFILL_DAYS)
-    for n in range(-(-(last - first) // width)):
-        start, end = first + n * width, min(first + (n + 1) * width, last)
+    for n, (start, end) in enumerate(_windows(*_days(city_hour))):
         stage, audit = rollup.backfill(city_hour, stage, start, end, F.lit(end).cast("timestamp"))
         records = rollup.audit_opening(f"run-{n}", audit).unionByName(rollup.audit_closing(f"run-{n}", audit))
         log = records if log is None else log.unionByName(records)
     return rollup.audit_view(log)
 
 
+@query
+def closed_hour_gate(spark, sf_dir):
+    """Whether each of the log's windows, and the one after its end, holds enough rows to load,
+    read from the stored table."""
+    root = runs.ingest_run(spark, sf_dir).job.root
+    path = f"{root}/trips_by_city_hour"
+    stored = upsert.latest_per_key(
+        spark.read.option("basePath", path).parquet(path), ["city_id", "event_hour", "trip_id"], fanout.WRITE_ORDER
+    )
+    first, last = _days(stored)
+    out = None
+    for start, end in [*_windows(first, last), (last, last + timedelta(days=1))]:
+        lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+        part = rollup.has_landed(stored, lo, hi, min_rows=100).select(lo.alias("window_start"), "rows", "landed")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def backfill_alerts(spark, sf_dir):
+    """Alerts of backfills over the log's windows and over the day after its end, which is empty."""
+    city_hour = _fanout(spark, sf_dir, "trips_by_city_hour")
+    stage, out = _earlier_stage(city_hour), None
+    first, last = _days(city_hour)
+    for start, end in [*_windows(first, last), (last, last + timedelta(days=1))]:
+        stage, audit = rollup.backfill(city_hour, stage, start, end, F.lit(end).cast("timestamp"))
+        part = rollup.empty_backfill_alert(audit)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def freshness_violations(spark, sf_dir):
     return rollup.freshness_violations(_stage_source(_fanout(spark, sf_dir, "trips_by_city_hour")))
@@ -514,6 +549,22 @@ def latency_samples(spark, sf_dir):
     return _latency_samples(spark, sf_dir)
 
 
+@query
+def latency_retained(spark, sf_dir):
+    """Samples that are still kept when the last one is written."""
+    rows = _latency_samples(spark, sf_dir)
+    last = rows.agg(F.max("produced_at_ms").alias("now")).first()["now"] or 0
+    return latency.unexpired(rows, F.lit(last)).select("run_id", "event_id", "minute_bucket", "latency_ms")
+
+
+@query
+def latency_panel(spark, sf_dir):
+    """Quantiles of the latency histogram by run."""
+    filled = telemetry.histogram(_latency_samples(spark, sf_dir), ["run_id"], "latency_ms", telemetry.LATENCY_BOUNDS)
+    quantile = lambda q: telemetry.histogram_quantile(q, F.col("cumulative"), telemetry.LATENCY_BOUNDS)
+    return filled.select("run_id", *[F.round(quantile(q), 6).alias(n) for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))])
+
+
 @query
 def latency_percentiles(spark, sf_dir):
     return latency.latency_report(_latency_samples(spark, sf_dir), ["run_id"])

@@ -49,7 +49,6 @@ SERVING_TABLES = {
     "trips_by_driver_day": (TRIPS_BY_DRIVER_DAY, ["driver_id", "event_date", "event_time", "trip_id"]),
     "trips_by_city_hour": (TRIPS_BY_CITY_HOUR, ["city_id", "event_hour", "trip_id"]),
 }
-CORE_TABLES = ["trips_by_id"]
 
 BATCH_REPORT_SCHEMA = """
     run_id string, batch_id bigint, wall_ts timestamp, input_rows bigint, unparseable bigint,
