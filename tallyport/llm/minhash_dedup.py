@@ -11,7 +11,9 @@ not expanded into pairs. First the node of most buckets is compared with its buc
 members, on full sets; what links is drawn together by a star step, and nodes with equal
 labels, which are connected, need no comparison. In later rounds the nodes outside the
 largest group are compared, more of them from round to round, until no bucket holds two
-labels. A pair is compared only in the first bucket that both share. So every pair of a
+labels. A pair is compared only in the first bucket that both share, and only if sizes and
+parities allow the similarity: slots in which the parities of two sets differ are a lower
+bound on the members in which the sets differ. So every pair of a
 bucket is either compared or already connected, and a group of copies costs about one
 comparison a copy.
 
@@ -43,7 +45,8 @@ SHINGLE = 5
 PERCENT = 80
 ROWS = 3  # minima in a sub-band
 MISS = 4e-4
-FIRST_PIVOTS, PIVOT_GROWTH = 8, 8  # pivots of a bucket in the second round, and times more in each later one
+PARITY_BITS = 512
+FIRST_PIVOTS, PIVOT_GROWTH = 64, 64  # pivots of a bucket in the second round, and times more in each later one
 
 
 def sub_bands(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -54,6 +57,15 @@ def sub_bands(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
     return max(1, math.ceil(math.log(miss / 2) / math.log(1 - one)))
 
 
+def parity(members: np.ndarray) -> np.ndarray:
+    """For each of PARITY_BITS slots whether an odd number of members falls into it, as longs.
+
+    Two sets differ in as many members as their parities differ in slots, at least.
+    """
+    slots = np.bincount((members >> np.uint64(11)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS)
+    return np.packbits((slots & 1).astype(np.uint8)).view(np.int64)
+
+
 def _signatures(shingle: int, m: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -69,14 +81,14 @@ def _signatures(shingle: int, m: int):
                         bands = mix(bands * GOLDEN + low[:, :, r])
                     for i, row in zip(full, bands.astype(np.int64)):
                         subs[i] = row
-                names = [set_hash(s) for s in sets]
+                names, parities = [set_hash(s) for s in sets], [parity(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         whole.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([h[0] for h in names], pa.int64()), pa.array([h[1] for h in names], pa.int64()),
-                        pa.array(subs, pa.list_(pa.int64())),
+                        pa.array(subs, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "h1", "h2", "subs"],
+                    names=["doc_id", "n_shingles", "h1", "h2", "subs", "parity"],
                 )
 
     return work
@@ -134,7 +146,8 @@ def _buckets(nodes: DataFrame, m: int) -> DataFrame:
     ).filter("lo <> hi")
     distinct = found.groupBy("n", "lo", "hi", "content").agg(F.min("key").alias("key")).select("key")
     members = stored(keys.join(distinct, "key"), "members")
-    return members.join(members.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
+    all_keys = members.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    return members.join(all_keys.join(nodes.select("node", "parity"), "node"), "node")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -142,7 +155,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     m = sub_bands(percent)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     signed = stored(
-        map_arrow(slim, _signatures(shingle, m), "doc_id long, n_shingles long, h1 long, h2 long, subs array<long>"),
+        map_arrow(slim, _signatures(shingle, m), "doc_id long, n_shingles long, h1 long, h2 long, subs array<long>, parity array<long>"),
         "signatures",
     )
     usable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -152,12 +165,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     nodes = stored(
         usable.join(chosen, ["h1", "h2"])
         .filter("doc_id = node")
-        .select("node", F.col("n_shingles").alias("size"), "h1", "h2", "subs")
+        .select("node", F.col("n_shingles").alias("size"), "h1", "h2", "subs", "parity")
         .dropDuplicates(["node"]),
         "nodes",
     )
     links = _links(slim, nodes, m, shingle, percent)
-    named_rows = signed.drop("subs").join(named, ["h1", "h2"], "left")
+    named_rows = signed.drop("subs", "parity").join(named, ["h1", "h2"], "left")
     final = components(links)
     return (
         named_rows.join(final, "node", "left")
@@ -185,6 +198,7 @@ def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int
     left = left.withColumn("label", F.col("node"))
     links = spark.createDataFrame([], "node long, label long")
     slots = 0
+    differ = " + ".join(f"bit_count(parity[{i}] ^ p_parity[{i}])" for i in range(PARITY_BITS // 64))
     while True:
         pivots = stored(_pivots(left, slots), "pivots")
         if pivots.isEmpty():
@@ -194,6 +208,7 @@ def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int
             .filter(
                 "node <> p_node AND label <> p_label"
                 f" AND 100 * least(size, p_size) >= {percent} * greatest(size, p_size)"
+                f" AND {100 + percent} * ({differ}) <= {100 - percent} * (size + p_size)"
                 " AND key = array_min(array_intersect(keys, p_keys))"
             )
             .select("node", F.col("p_node").alias("label"))
@@ -216,18 +231,18 @@ def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int
 
 
 def _pivots(left: DataFrame, slots: int) -> DataFrame:
-    """Pivots of the buckets that hold two labels: (key, p_node, p_label, p_size, p_keys).
+    """Pivots of the buckets that hold two labels: (key, p_node, p_label, p_size, p_keys, p_parity).
 
     First the heaviest node of each bucket; in later rounds up to `slots` nodes whose label
     is not the heaviest node's, for once those are compared the bucket has one label left.
     """
-    heaviest = F.max(F.struct(F.size("keys").alias("weight"), "node", "label", "size", "keys")).alias("p")
+    heaviest = F.max(F.struct(F.size("keys").alias("weight"), "node", "label", "size", "keys", "parity")).alias("p")
     ruling = left.groupBy("key").agg(heaviest, F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
     if slots:
         slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots)).alias("slot")
         others = left.join(ruling.select("key", F.col("p.label").alias("ruling")), "key").filter("label <> ruling")
         ruling = others.groupBy("key", slot).agg(heaviest)
-    return ruling.select("key", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "label", "size", "keys")))
+    return ruling.select("key", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "label", "size", "keys", "parity")))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
