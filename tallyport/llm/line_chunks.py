@@ -1,12 +1,17 @@
 """Line dedup by content-defined chunks of lines.
 
-A document's lines are hashed; a rolling hash over the last WINDOW line hashes decides
-whether a chunk ends, so boundaries move with the content and an inserted line disturbs
-its own chunk only. A line of LONG_WORDS words or more is a chunk of its own. Chunks that
-occur more than once in the whole corpus are compared byte by byte with their first
-occurrence (smallest doc_id, then place). A document loses each run of neighbouring
-repeated chunks that has two lines or more, or LONG_WORDS words; a single short line
-stays, however often it occurs.
+A chunk reaches from one line with a word to the next such line, both included, with the
+blank lines between them; a line of LONG_WORDS words or more is a chunk as well. Chunks
+overlap, and where one begins and ends depends on its own lines only, so no neighbour can
+hide a repeat. Chunks that occur more than once in the whole corpus are compared byte by
+byte with their first occurrence (smallest doc_id, then place), and a document loses the
+lines of each chunk that repeats an earlier one.
+
+Every run of lines that stands earlier in the corpus with the same lines together, and
+has two lines with a word or LONG_WORDS words, is made of such chunks, and every such chunk
+is such a run: so these runs go whole, and nothing else goes. A single short line stays,
+however often it occurs, also beside another that occurs elsewhere. Blank lines go inside
+a run and stay at its ends.
 
 Occurrences are narrow rows, counted with partial sums; texts are shuffled to fetch the
 repeated chunks and once more to apply what was decided. A chunk that a third of all
@@ -32,48 +37,57 @@ from pyspark.sql import types as T
 from tallyport.llm.common import free_name, map_arrow, slices, stored
 from tallyport.llm.hashing import BASE, GOLDEN, SPACE, mix, segment_hashes
 
-WINDOW = 2  # line hashes that decide on a boundary
-MEAN_LINES = 2  # a chunk ends after one line of so many, on average
 LONG_WORDS = 50
 
 
+class Lines:
+    """The lines of several texts, each hashed on its own."""
+
+    def __init__(self, texts: list[str]):
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        self.data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+        self.ends = np.flatnonzero(self.data == 10)
+        self.starts = np.concatenate([[0], self.ends[:-1] + 1]) if len(self.ends) else self.ends
+        self.hashes = segment_hashes_with_gaps(self.data, self.starts, self.ends)
+        space = SPACE[self.data]
+        word_starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]])) if len(space) else self.ends
+        self.words = np.searchsorted(word_starts, self.ends) - np.searchsorted(word_starts, self.starts)
+        text_ends = np.cumsum([len(r) + 1 for r in raw]) - 1
+        # Number of each text's first line, and one more at the end.
+        self.first = np.concatenate([[0], np.searchsorted(self.ends, text_ends) + 1]).astype(np.int64)
+        self.text_of = np.repeat(np.arange(len(raw)), np.diff(self.first))
+
+    def each(self) -> list[list[tuple[int, int, int, int]]]:
+        """For each text its lines in order: (key, 1, words, bytes)."""
+        keys, sizes = self.hashes.astype(np.int64).tolist(), (self.ends - self.starts).tolist()
+        rows = [(k, 1, w, n) for k, w, n in zip(keys, self.words.tolist(), sizes)]
+        return [rows[a:b] for a, b in zip(self.first, self.first[1:])]
+
+    def chunks(self) -> list[list[tuple[int, int, int, int, int]]]:
+        """For each text its chunks in order: (key, first line, last line, first byte, byte after the last)."""
+        worded = np.flatnonzero(self.words)
+        a, b = worded[:-1], worded[1:]
+        together = self.text_of[a] == self.text_of[b]
+        a, b = a[together], b[together]
+        gap, blank = np.zeros(len(a), np.uint64), b > a + 1
+        gap[blank] = segment_hashes(self.data, self.ends[a[blank]], self.starts[b[blank]])
+        pairs = mix(mix(self.hashes[a] * GOLDEN + gap) * BASE + self.hashes[b])
+        alone = np.flatnonzero(self.words >= LONG_WORDS)
+        keys = np.concatenate([pairs, mix(self.hashes[alone] + GOLDEN)]).astype(np.int64)
+        a, b = np.concatenate([a, alone]), np.concatenate([b, alone])
+        order = np.lexsort((b, a))
+        keys, a, b = keys[order], a[order], b[order]
+        base, zero = self.first[self.text_of[a]], self.starts[self.first[self.text_of[a]]]
+        rows = list(zip(
+            keys.tolist(), (a - base).tolist(), (b - base).tolist(), (self.starts[a] - zero).tolist(), (self.ends[b] - zero).tolist()
+        ))
+        bounds = np.searchsorted(a, self.first)
+        return [rows[x:y] for x, y in zip(bounds, bounds[1:])]
+
+
 def chunk_texts(texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
-    """For each text its chunks in order: (key, lines, words, bytes with the line ends inside)."""
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
-    if not len(data):
-        return []
-    ends = np.flatnonzero(data == 10)
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    hashes = segment_hashes_with_gaps(data, starts, ends)
-    space = SPACE[data]
-    word_starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
-    words = np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts)
-    text_ends = np.cumsum([len(r) + 1 for r in raw]) - 1
-    last = np.zeros(len(ends), bool)
-    last[np.searchsorted(ends, text_ends)] = True
-
-    text_of = np.searchsorted(text_ends, ends)
-    rolled = hashes.copy()
-    for i in range(1, WINDOW):
-        before = np.concatenate([np.zeros(i, np.uint64), hashes[:-i]])
-        before[i:][text_of[i:] != text_of[:-i]] = 0  # a text's chunks are its own
-        rolled = mix(rolled * GOLDEN + before[: len(rolled)])
-    long_line = words >= LONG_WORDS
-    close = (rolled % np.uint64(MEAN_LINES) == 0) | last | long_line
-    close[:-1] |= long_line[1:]
-
-    chunk_end = np.flatnonzero(close)
-    chunk_start = np.concatenate([[0], chunk_end[:-1] + 1])
-    n_lines = chunk_end - chunk_start + 1
-    place = np.arange(len(ends)) - np.repeat(chunk_start, n_lines)
-    power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(n_lines.max()), BASE, np.uint64)]))
-    keys = mix(np.add.reduceat(hashes * power[place], chunk_start) + n_lines.astype(np.uint64) * GOLDEN).astype(np.int64)
-    n_words = np.add.reduceat(words, chunk_start)
-    n_bytes = ends[chunk_end] - starts[chunk_start]
-    bounds = np.searchsorted(chunk_end, np.searchsorted(ends, text_ends)) + 1
-    rows = list(zip(keys.tolist(), n_lines.tolist(), n_words.tolist(), n_bytes.tolist()))
-    return [rows[a:b] for a, b in zip([0, *bounds[:-1]], bounds)]
+    """For each text its lines, of which chunks are made: (key, 1, words, bytes)."""
+    return Lines(texts).each()
 
 
 def segment_hashes_with_gaps(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -88,12 +102,12 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         texts = [t or "" for t in whole.column(1).to_pylist()]
         for a, b in slices(texts):
-            chunks = chunk_texts(texts[a:b])
+            chunks = Lines(texts[a:b]).chunks()
             per_text = np.array([len(c) for c in chunks])
             ids = whole.column(0).slice(a, b - a).take(pa.array(np.repeat(np.arange(b - a), per_text)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids, pa.array([i for c in chunks for i in range(len(c))], pa.int32()),
+                    ids, pa.array([x[1] for c in chunks for x in c], pa.int32()),
                     pa.array([x[0] for c in chunks for x in c], pa.int64()),
                 ],
                 names=["doc_id", "place", "key"],
@@ -106,43 +120,23 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, wanted = whole.column(1).to_pylist(), whole.column(2).to_pylist()
         for a, b in slices(texts):
             rows = []
-            for i, chunks in enumerate(chunk_texts(texts[a:b]), a):
+            for i, chunks in enumerate(Lines(texts[a:b]).chunks(), a):
                 raw, want = texts[i].encode("utf-8", "surrogatepass"), {(w["place"], w["key"]) for w in wanted[i]}
-                at, doc_id = 0, whole.column(0)[i].as_py()
-                for place, (key, _, _, size) in enumerate(chunks):
-                    if (place, key) in want:
-                        rows.append((doc_id, place, key, raw[at : at + size]))
-                    at += size + 1
+                doc_id = whole.column(0)[i].as_py()
+                rows += [(doc_id, place, key, raw[x:y]) for key, place, _, x, y in chunks if (place, key) in want]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.binary()))],
                 names=["doc_id", "place", "key", "bytes"],
             )
 
 
-def cut(text: str, chunks: list[tuple[int, int, int, int]], repeated: set[tuple[int, int]]) -> tuple[str, int, int]:
-    """Text without its runs of repeated chunks; lines and words that were removed."""
-    raw = text.encode("utf-8", "surrogatepass")
-    kept, run, at, lines, words = [], [], 0, 0, 0
-
-    def settle() -> None:
-        nonlocal lines, words
-        n_lines, n_words = sum(r[0] for r in run), sum(r[1] for r in run)
-        if n_lines >= 2 or n_words >= LONG_WORDS:
-            lines, words = lines + n_lines, words + n_words
-        else:
-            kept.extend(r[2] for r in run)
-        run.clear()
-
-    for place, (key, n_lines, n_words, size) in enumerate(chunks):
-        piece = raw[at : at + size]
-        at += size + 1
-        if (place, key) in repeated:
-            run.append((n_lines, n_words, piece))
-        else:
-            settle()
-            kept.append(piece)
-    settle()
-    return b"\n".join(kept).decode("utf-8", "surrogatepass"), lines, words
+def cut(
+    text: str, lines: list[tuple[int, int, int, int]], chunks: list[tuple[int, int, int, int, int]], repeated: set[tuple[int, int]]
+) -> tuple[str, int, int]:
+    """Text without the lines of its repeated chunks; lines and words that were removed."""
+    gone = {i for key, place, last, _, _ in chunks if (place, key) in repeated for i in range(place, last + 1)}
+    kept = [line for i, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")) if i not in gone]
+    return b"\n".join(kept).decode("utf-8", "surrogatepass"), len(gone), sum(lines[i][2] for i in gone)
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +146,9 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, lines, words = list(texts), [0] * len(texts), [0] * len(texts)
         touched = [i for i, r in enumerate(repeated) if r and texts[i]]
         for a, b in slices([texts[i] for i in touched]):
-            for i, chunks in zip(touched[a:b], chunk_texts([texts[i] for i in touched[a:b]])):
-                out[i], lines[i], words[i] = cut(texts[i], chunks, {(r["place"], r["key"]) for r in repeated[i]})
+            scanned = Lines([texts[i] for i in touched[a:b]])
+            for i, each, chunks in zip(touched[a:b], scanned.each(), scanned.chunks()):
+                out[i], lines[i], words[i] = cut(texts[i], each, chunks, {(r["place"], r["key"]) for r in repeated[i]})
         yield pa.RecordBatch.from_arrays(
             [pa.array(out, pa.string()), pa.array(lines, pa.int64()), pa.array(words, pa.int64()), *whole.columns[2:]],
             names=["text", "removed_lines", "removed_words", *whole.schema.names[2:]],

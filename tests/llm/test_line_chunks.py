@@ -96,3 +96,17 @@ def test_odd_rows(spark):
         got[r.doc_id].append(r.text)
     assert got[1] == [text, text] and got[None] == [text] and got[2] == [None] and got[3] == [""] and got[4] == [""]
     assert L.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_short_passages_go_whole(spark):
+    """Passages of 50 to 60 words in 2 to 6 lines, between lines of each document's own."""
+    rng = random.Random(8)
+    passages = [lines(rng, n, words) for n, words in ((2, 30), (3, 20), (4, 14), (5, 11), (6, 10)) for _ in range(6)]
+    rows, own = [], {}
+    for k, passage in enumerate(passages):
+        for copy in range(3):
+            own[3 * k + copy] = before, after = lines(rng, rng.randint(0, 3)), lines(rng, rng.randint(0, 3))
+            rows.append((3 * k + copy, "\n".join([*before, *passage, *after])))
+    got = {r.doc_id: r.text for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert got[i] == (text if i % 3 == 0 else "\n".join(own[i][0] + own[i][1]))
