@@ -110,3 +110,35 @@ def test_short_passages_go_whole(spark):
     got = {r.doc_id: r.text for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for i, text in rows:
         assert got[i] == (text if i % 3 == 0 else "\n".join(own[i][0] + own[i][1]))
+
+
+def test_lines_that_never_stand_together_stay(spark):
+    """Lines that each occur elsewhere, blank ones too, are no repeated run unless they stand there together."""
+    rows = [
+        (1, "Les.\nfirst text"), (2, "second text\nReleased under the MIT License."), (3, "Les.\nReleased under the MIT License."),
+        (4, "\n\nLes.\n\n"), (5, "Les.\n\nfirst text"), (6, "own\n\nLes.\n\nfirst text\n\nother"), (7, "Les.\n \nfirst text"),
+    ]
+    got = {r.doc_id: (r.text, r.removed_lines, r.removed_words) for r in
+           L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got.pop(6) == ("own\n\n\nother", 3, 3)
+    assert got == {i: (t, 0, 0) for i, t in rows if i != 6}
+
+
+def test_runs_by_their_definition(spark):
+    """A line goes if a run around it stands earlier, with two lines with a word or LONG_WORDS words."""
+    rng = random.Random(9)
+    pool = ["", " ", "a", "b", "c d", "e", "long " * 60]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 9)))) for i in range(60)]
+    seen, want = set(), {}
+    for i, text in rows:
+        parts, gone = text.split("\n"), set()
+        for start in range(len(parts)):
+            runs = [(end, tuple(parts[start:end])) for end in range(start + 1, len(parts) + 1)]
+            for end, run in runs:
+                enough = sum(bool(p.split()) for p in run) >= 2 or len(" ".join(run).split()) >= L.LONG_WORDS
+                if run in seen and enough and run[0].split() and run[-1].split():
+                    gone.update(range(start, end))
+            seen.update(run for _, run in runs)
+        want[i] = "\n".join(p for k, p in enumerate(parts) if k not in gone)
+    got = {r.doc_id: r.text for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
