@@ -2,12 +2,15 @@
 
 A window partitioned by series alone would put a hot series into one task. Here the
 partition is (series, time bucket). What a bucket needs from earlier rows comes either
-from a one-row-per-bucket summary (`with_previous`, `with_last_mark`) or from copies of
-the rows just before the bucket (`trailing`). Results equal those of the uncut window.
+from a one-row-per-bucket summary (`with_previous`, `with_last_mark`) or from markers in
+the bucket before (`_with_frames`). Results equal those of the uncut window. NULL is a
+series like any other.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,6 +25,14 @@ def bucketed(df: DataFrame, ts: str, seconds: int = DAY) -> DataFrame:
     return df.withColumn("_bucket", time_bucket(F.col(ts), seconds))
 
 
+def _join_series(left: DataFrame, right: DataFrame, by: list[str], others: list[str]) -> DataFrame:
+    """Inner join on the series, where NULL is a series like any other, and on columns that are equal."""
+    keys = {c: f"_right_{c}" for c in [*by, *others]}
+    renamed = right.withColumnsRenamed(keys)
+    same = [left[c].eqNullSafe(renamed[keys[c]]) for c in by] + [left[c] == renamed[keys[c]] for c in others]
+    return left.join(renamed, same).drop(*keys.values())
+
+
 def _with_carry(df: DataFrame, by: list[str], local: Column, summary: Column, carry, out: str) -> DataFrame:
     """Local value of each row, or else what earlier buckets hand over."""
     over_buckets = W.partitionBy(*by).orderBy("_bucket")
@@ -31,8 +42,7 @@ def _with_carry(df: DataFrame, by: list[str], local: Column, summary: Column, ca
         .select(*by, "_bucket", carry(F.col("_summary"), over_buckets).alias("_carry"))
     )
     return (
-        df.withColumn("_local", local)
-        .join(handed, [*by, "_bucket"])
+        _join_series(df.withColumn("_local", local), handed, by, ["_bucket"])
         .withColumn(out, F.coalesce("_local", "_carry"))
         .drop("_local", "_carry")
     )
@@ -64,34 +74,6 @@ def with_last_mark(df: DataFrame, by: list[str], order: list[str], mark: Column,
     )
 
 
-def trailing(
-    df: DataFrame, by: list[str], ts: str, seconds: int, bucket_seconds: int = DAY
-) -> DataFrame:
-    """Rows with copies in the next bucket where its frames reach back to them.
-
-    Drop rows where `_copy` is true once the frames have been used.
-    """
-    width = max(bucket_seconds, seconds)
-    rows = bucketed(df, ts, width)
-    reaches_next = F.unix_micros(ts) + seconds * 1_000_000 >= (F.col("_bucket") + 1) * width * 1_000_000
-    homes = F.when(
-        reaches_next,
-        F.array(
-            F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("c")),
-            F.struct((F.col("_bucket") + 1).alias("b"), F.lit(True).alias("c")),
-        ),
-    ).otherwise(F.array(F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("c"))))
-    spread = (
-        rows.withColumn("_home", F.explode(homes))
-        .withColumn("_bucket", F.col("_home.b"))
-        .withColumn("_copy", F.col("_home.c"))
-        .withColumn("_micros", F.unix_micros(ts))
-        .withColumn("_second", (F.col("_micros") - F.col("_bucket") * width * 1_000_000) / 1e6)
-        .drop("_home")
-    )
-    return spread
-
-
 def numbered(df: DataFrame, order: list[str], out: str, first: int = 1) -> DataFrame:
     """Rows of `df` with consecutive numbers in `order`, without ordering them in one task.
 
@@ -126,63 +108,86 @@ def longest_rising_run(df: DataFrame, by: list[str], ts: str, value: str, tie: s
     return runs.groupBy(*by).agg(F.max("_length").alias("longest_rising_run"))
 
 
-def _with_frame_start(df: DataFrame, by: list[str], ts: str, tie: str, seconds: int, sums: dict[str, Column]) -> DataFrame:
-    """Adds struct `_sum`: what `sums` add up to over the last `seconds` up to each row.
-
-    Linear in the rows. Running totals are kept per (series, time bucket); for every row a
-    marker stands at the start of its frame, and the frame's sum is the difference of the
-    running totals at the row and at its marker. Rows at one instant share a frame, so all
-    of them count for each. A bucket starts with the rows that its frames reach back to.
+def _with_frames(
+    df: DataFrame, by: list[str], ts: str, seconds: int, parts: dict[str, tuple[Callable[[Column], Column], Column, Column]]
+) -> DataFrame:
+    """Adds what each of `parts` comes to over the last `seconds` up to each row, in two halves.
+
+    Linear in the rows. Time is cut into spans as long as a frame, so a frame is the end of
+    one span and the beginning of the next: `_head_<part>` is the aggregate over the row's
+    own span up to its instant, `_tail_<part>` that over the span before from the frame's
+    start on. Nothing is subtracted, so no digits are lost to rows outside the frame. A part
+    is its aggregate, its value as head and its value as tail; values may use `_micros` and
+    `_into`, the microseconds since the span began. Rows at one instant share a frame. A
+    marker at the start of its frame takes each row to the span before, so nothing is joined.
     """
-    spread = trailing(df, by, ts, seconds)
-    window = seconds * 1_000_000
-    # Three kinds at one instant: markers come before the rows, totals of the instant after them.
-    rows = spread.select(
-        *by, "_bucket", F.col("_micros").alias("_at"), F.lit(1).alias("_kind"), F.col(tie).alias("_tie"),
-        *[F.coalesce(c.cast("double"), F.lit(0.0)).alias(n) for n, c in sums.items()],
+    span = max(1, seconds * 1_000_000)
+    rows = (
+        df.where(F.col(ts).isNotNull()).withColumn("_micros", F.unix_micros(ts))
+        .withColumn("_into", F.pmod("_micros", F.lit(span)))
+        .withColumn("_span", F.expr(f"(_micros - _into) div {span}"))
     )
-    own = spread.where(~F.col("_copy")).select(*by, "_bucket", F.col("_micros").alias("_of")).distinct()
-    marks = own.select(
-        *by, "_bucket", F.explode(F.array(F.struct((F.col("_of") - window).alias("at"), F.lit(0).alias("kind")),
-                                          F.struct(F.col("_of").alias("at"), F.lit(2).alias("kind")))).alias("m"), "_of",
-    ).select(
-        *by, "_bucket", F.col("m.at").alias("_at"), F.col("m.kind").alias("_kind"), "_of",
-        *[F.lit(0.0).alias(n) for n in sums],
+    series = W.partitionBy(*by, "_span")
+    up_to = series.orderBy("_micros").rangeBetween(W.unboundedPreceding, W.currentRow)
+    own = rows.withColumns({f"_head_{n}": agg(head).over(up_to) for n, (agg, head, _) in parts.items()})
+    ends = rows.select(
+        *by, "_span", F.col("_micros").alias("_at"), F.lit(None).cast(own.schema).alias("_row"),
+        *[tail.alias(f"_in_{n}") for n, (_, _, tail) in parts.items()],
     )
-    running = W.partitionBy(*by, "_bucket").orderBy("_at", "_kind").rowsBetween(W.unboundedPreceding, W.currentRow)
-    totals = (
-        rows.drop("_tie").withColumn("_of", F.lit(None).cast("bigint")).unionByName(marks)
-        .withColumns({f"_to_{n}": F.sum(n).over(running) for n in sums})
-        .where("_kind <> 1")
-    )
-    sign = F.when(F.col("_kind") == 2, 1.0).otherwise(-1.0)
-    per_instant = totals.groupBy(*by, "_bucket", F.col("_of").alias("_micros")).agg(
-        *[F.sum(sign * F.col(f"_to_{n}")).alias(f"_sum_{n}") for n in sums]
+    marks = own.select(
+        *by, (F.col("_span") - 1).alias("_span"), (F.col("_micros") - span).alias("_at"), F.struct("*").alias("_row"),
+        *[F.lit(None).cast(ends.schema[f"_in_{n}"].dataType).alias(f"_in_{n}") for n in parts],
     )
-    return spread.join(per_instant, [*by, "_bucket", "_micros"], "left")
+    since = series.orderBy(F.desc("_at")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    both = ends.unionByName(marks).withColumns({f"_tail_{n}": agg(F.col(f"_in_{n}")).over(since) for n, (agg, _, _) in parts.items()})
+    return both.where("_row IS NOT NULL").select("_row.*", *[f"_tail_{n}" for n in parts])
+
+
+def _frame_columns(parts: dict) -> list[str]:
+    """Columns that `_with_frames` adds."""
+    return ["_micros", "_into", "_span", *[f"_{half}_{n}" for half in ("head", "tail") for n in parts]]
 
 
 def trailing_slope(df: DataFrame, by: list[str], ts: str, value: str, seconds: int) -> DataFrame:
     """Least-squares slope per second over the last `seconds`; frames of one point are left out.
 
-    From sums of x, y, xy and xx, with x counted from the start of the bucket.
+    From sums of x, y, xy and xx. x is whole microseconds from the start of the row's span
+    and its sums are exact, so points at one instant, which have no slope, are told from
+    points a microsecond apart. y is taken from a value of its span, so an offset costs no digits.
     """
-    x, known = F.col("_second"), F.col(value).isNotNull()
-    y = F.when(known, F.col(value).cast("double"))
-    sums = {
-        "n": known.cast("double"), "x": F.when(known, x), "y": y, "xy": x * y, "xx": F.when(known, x * x),
+    known = F.col(value).isNotNull()
+    y = F.col(value).cast("double")
+    whole = lambda c: F.when(known, c.cast("decimal(19,0)"))
+    head, tail = whole(F.col("_into")), whole(F.col("_into") - max(1, seconds * 1_000_000))
+    # The least finite value of the span; the window is over columns that `_with_frames` adds.
+    level = F.min(F.when(F.abs(y) < float("inf"), y)).over(W.partitionBy(*by, "_span"))
+    above = F.when(known, y - F.coalesce(level, F.lit(0.0)))
+    parts = {
+        "n": (F.count, y, y), "x": (F.sum, head, tail), "xx": (F.sum, head * head, tail * tail),
+        "level": (F.max, level, level), "y": (F.sum, above, above),
+        "xy": (F.sum, head.cast("double") * above, tail.cast("double") * above),
     }
-    framed = _with_frame_start(df, by, ts, ts, seconds, sums)
-    n, sx, sy = F.col("_sum_n"), F.col("_sum_x"), F.col("_sum_y")
-    sxy = F.col("_sum_xy") - sx * sy / n
-    sxx = F.col("_sum_xx") - sx * sx / n
-    # Points at one instant have no slope; what is left of the difference is rounding.
-    apart = sxx > 1e-9 * F.greatest(F.lit(1.0), F.col("_sum_xx"))
-    return (
-        framed.withColumn("points", F.round(n).cast("bigint"))
-        .where(~F.col("_copy") & (F.col("points") >= 2))
-        .withColumn("slope", F.when(apart, sxy / sxx))
-        .drop("_copy", "_micros", "_second", "_bucket", *[f"_sum_{k}" for k in sums])
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    step = F.coalesce(F.col("_tail_level") - F.col("_head_level"), F.lit(0.0))
+    framed = (
+        _with_frames(df, by, ts, seconds, parts)
+        .withColumn("points", zero("_head_n") + zero("_tail_n"))
+        .where("points >= 2")
+        .withColumns({
+            "_x": zero("_head_x") + zero("_tail_x"), "_xx": zero("_head_xx") + zero("_tail_xx"),
+            "_y": zero("_head_y") + zero("_tail_y") + step * zero("_tail_n"),
+            "_xy": zero("_head_xy") + zero("_tail_xy") + step * zero("_tail_x").cast("double"),
+        })
+        .withColumn("_mid", F.expr("(_x div points)").cast("decimal(19,0)"))
+        .withColumn("_rest", (F.col("_x") - F.col("_mid") * F.col("points")).cast("double"))
+        # Exact, and zero only if all points are at one instant.
+        .withColumn("_apart", F.col("_xx") - 2 * F.col("_mid") * F.col("_x") + F.col("_mid") * F.col("_mid") * F.col("points"))
+    )
+    n, rest = F.col("points"), F.col("_rest")
+    sxx = F.col("_apart").cast("double") - rest * rest / n
+    sxy = F.col("_xy") - F.col("_mid").cast("double") * F.col("_y") - rest * F.col("_y") / n
+    return framed.withColumn("slope", F.when(F.col("_apart") > 0, sxy / sxx * 1e6)).drop(
+        "_x", "_xx", "_y", "_xy", "_mid", "_rest", "_apart", *_frame_columns(parts)
     )
 
 
@@ -198,41 +203,20 @@ def counter_rate(df: DataFrame, by: list[str], ts: str, value: str, tie: str, se
     before, now = F.col(f"_prev.{value}"), F.col(value)
     step = F.when(before.isNull(), 0.0).when(now >= before, now - before).otherwise(now).cast("double")
     stepped = stepped.withColumn("_step", F.coalesce(step, F.lit(0.0))).drop("_prev")
-    framed = _with_frame_start(
-        stepped, by, ts, tie, seconds, {"step": F.col("_step"), "n": F.col(value).isNotNull().cast("double")}
-    )
-    # The first sample's step reaches out of the frame: it is the first at or after the start.
-    starts = _first_steps(framed, by, tie, seconds)
+    # The first sample's step reaches out of the frame.
+    first = F.struct(F.col("_micros"), F.col(tie).alias("_tie"), F.col("_step"))
+    parts = {
+        "step": (F.sum, F.col("_step"), F.col("_step")), "n": (F.count, now, now), "first": (F.min, first, first),
+    }
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return (
-        framed.where(~F.col("_copy")).join(starts, [*by, "_bucket", "_micros"])
-        .withColumn("samples", F.round("_sum_n").cast("bigint"))
-        .withColumn("increase", F.col("_sum_step") - F.col("_first"))
+        _with_frames(stepped, by, ts, seconds, parts)
+        .withColumn("samples", zero("_head_n") + zero("_tail_n"))
+        .withColumn(
+            "increase", zero("_head_step") + zero("_tail_step") - F.coalesce("_tail_first", "_head_first")["_step"]
+        )
         .withColumn("rate", F.col("increase") / seconds)
-        .drop("_copy", "_micros", "_second", "_bucket", "_step", "_sum_step", "_sum_n", "_first")
-    )
-
-
-def _first_steps(framed: DataFrame, by: list[str], tie: str, seconds: int) -> DataFrame:
-    """(series, bucket, instant) with the step of the first sample in that instant's frame.
-
-    Going backwards in time, the last row seen before a frame's start mark is the frame's first.
-    """
-    rows = framed.select(*by, "_bucket", F.col("_micros").alias("_at"), F.lit(1).alias("_kind"), F.col(tie).alias("_tie"),
-                         "_step", F.lit(None).cast("bigint").alias("_of"))
-    marks = framed.where(~F.col("_copy")).select(*by, "_bucket", "_micros").distinct().select(
-        *by, "_bucket", (F.col("_micros") - seconds * 1_000_000).alias("_at"), F.lit(0).alias("_kind"),
-        F.lit(None).cast(framed.schema[tie].dataType).alias("_tie"), F.lit(None).cast("double").alias("_step"),
-        F.col("_micros").alias("_of"),
-    )
-    backwards = (
-        W.partitionBy(*by, "_bucket").orderBy(F.desc("_at"), F.desc("_kind"), F.desc("_tie"))
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    return (
-        rows.unionByName(marks)
-        .withColumn("_first", F.last("_step", ignorenulls=True).over(backwards))
-        .where("_kind = 0")
-        .select(*by, "_bucket", F.col("_of").alias("_micros"), "_first")
+        .drop("_step", *_frame_columns(parts))
     )
 
 
@@ -265,7 +249,7 @@ def held_intervals(
         .select(*by, "_island", "_bucket", "_start", "_end", "_samples")
     )
     return (
-        on.join(parts, [*by, "_island", "_bucket"])
+        _join_series(on, parts, by, ["_island", "_bucket"])
         .where(F.col(ts) >= held_by)
         .groupBy(*by, "_island")
         .agg(

@@ -177,6 +177,44 @@ def test_trailing_slope(spark):
         assert slope is None or got[key] == pytest.approx(slope, rel=1e-6, abs=1e-9)
 
 
+@pytest.mark.parametrize("apart", [1, 500_000, 5_000_000])
+def test_slope_of_short_frames_at_any_time_of_day(spark, apart):
+    midnight = datetime(2024, 3, 1)
+    rows = []
+    for i, at in enumerate((0, 43_200, 80_000, 86_399)):
+        for j, v in enumerate((1e9 + 3.0, 1e9 + 5.0)):
+            rows.append((f"r{i}", 2 * i + j, midnight + timedelta(seconds=at, microseconds=apart * j), v))
+    rows += [("same", 90 + j, midnight + timedelta(seconds=80_000), float(j)) for j in range(3)]
+    rows += [("flat", 95 + j, midnight + timedelta(seconds=80_000 + 7 * j), 0.1) for j in range(5)]
+    got = {r["id"]: r["slope"] for r in sequences.trailing_slope(frame(spark, rows), ["run"], "ts", "v", 7200).collect()}
+    for i in range(4):
+        assert got[2 * i + 1] == pytest.approx(2 / (apart / 1e6), rel=1e-9)
+    assert [got[90 + j] for j in range(3)] == [None] * 3 and [got[95 + j] for j in range(1, 5)] == [0.0] * 4
+
+
+def test_short_frames_of_a_dense_day(spark):
+    """Two points in each frame, after a day of samples a second."""
+    day = spark.range(86_400).selectExpr(
+        "'a' AS run", "id", "timestamp_seconds(1709251200 + id) AS ts", "1e6 + id % 7 + id / 1000 AS v"
+    )
+    got = sequences.trailing_slope(day, ["run"], "ts", "v", 1).select("id", "slope", (F.col("id") % 7 == 0).alias("falls"))
+    wrong = got.where(F.abs(F.col("slope") - F.when(F.col("falls"), -5.999).otherwise(1.001)) > 1e-6)
+    assert got.count() == 86_399 and wrong.count() == 0
+
+
+def test_null_is_a_series(spark):
+    rows = [(None if i < 4 else "b", i, T0 + timedelta(minutes=i % 4), float(i % 4)) for i in range(8)]
+    df = frame(spark, rows)
+    slopes = {r["id"]: r["slope"] for r in sequences.trailing_slope(df, ["run"], "ts", "v", 600).collect()}
+    assert slopes == {i: pytest.approx(1 / 60) for i in (1, 2, 3, 5, 6, 7)}
+    rates = {r["id"]: r["increase"] for r in sequences.counter_rate(df, ["run"], "ts", "v", "id", 600).collect()}
+    assert rates == {i: i % 4 for i in range(8)}
+    rising = telemetry.lag_rising(df.withColumnRenamed("v", "value").withColumnRenamed("id", "event_id"), ["run"], 600, 60)
+    assert {r["run"]: r["samples"] for r in rising.collect()} == {None: 3, "b": 3}
+    runs = sequences.longest_rising_run(df, ["run"], "ts", "v", "id").collect()
+    assert {r["run"]: r["longest_rising_run"] for r in runs} == {None: 3, "b": 3}
+
+
 @pytest.mark.parametrize("hold", [0, 600, 100_000])
 def test_held_intervals(spark, hold):
     rows = series(6)
