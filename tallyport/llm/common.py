@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyport.session import new_folder
 
@@ -32,6 +33,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_row_key(docs: DataFrame, name: str) -> DataFrame:
+    """`docs`, stored, with a key `name` of its own for each row, which stays the same when it is read again."""
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """`mapInArrow` whose workers find this package where the driver found it.
 

@@ -22,8 +22,9 @@ otherwise meet only joins, which Spark splits. Nothing is broadcast by hint or c
 
 Defined results: NULL and empty texts and texts without words have no shingles, are linked
 with nothing and are kept; rows without doc_id are likewise their own, with a NULL
-component, and kept; rows that repeat a doc_id are one document, represented by the text
-with the smallest hash if they differ; an empty table gives an empty result; other columns
+component, and kept; for `near_duplicates` rows that repeat a doc_id are one document,
+represented by the text with the smallest hash if they differ, and `keep_one` judges each
+row by its own text; an empty table gives an empty result; other columns
 are not read by `near_duplicates` and pass through `keep_one` untouched.
 """
 
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import map_arrow, slices, stored
+from tallyport.llm.common import free_name, map_arrow, slices, stored, with_row_key
 from tallyport.llm.components import components, star_step
 from tallyport.llm.hashing import GOLDEN, minhashes, mix, set_hash, shingle_sets
 
@@ -246,9 +247,25 @@ def _pivots(left: DataFrame, slots: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """`docs` without the rows of a near-duplicate group but its smallest doc_id; all columns stay.
+    """`docs` with one row of each near-duplicate group, of its smallest doc_id; all columns stay.
 
-    Of rows that repeat a kept doc_id, one stays.
+    Rows are judged by their own text: of rows that repeat a doc_id and a text one stays,
+    and a doc_id's other texts stand for themselves. Rows without doc_id are kept.
     """
-    verdict = near_duplicates(docs, shingle, percent).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(verdict, docs["doc_id"] == verdict["_gone"], "left_anti")
+    key = free_name(docs.columns, "row_key")
+    rows = with_row_key(docs, key)
+    known = rows.filter("doc_id IS NOT NULL")
+    found = near_duplicates(known.select(F.col(key).alias("doc_id"), "text"), shingle, percent)
+    named = known.select(F.col(key).alias("_row"), F.col("doc_id").alias("_id"), F.sha2("text", 256).alias("_text"))
+    # Texts without shingles have no group: only a row's exact copies are one with it.
+    alone = F.col("n_shingles") == 0
+    groups = stored(
+        found.join(named, found.doc_id == named["_row"]).select(
+            "_row", "_id", F.when(~alone, F.col("component_id")).alias("_group"),
+            F.when(alone, F.struct("_id", "_text")).alias("_same"),
+        ),
+        "groups",
+    )
+    stays = groups.groupBy("_group", "_same").agg(F.min(F.struct("_id", "_row")).alias("m")).select(F.col("m._row").alias("_row"))
+    gone = groups.join(stays, "_row", "left_anti").select("_row")
+    return rows.join(gone, rows[key] == gone["_row"], "left_anti").drop(key)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import map_arrow, slices
+from tallyport.llm.common import free_name, map_arrow, slices, with_row_key
 from tallyport.llm.hashing import mix
 
 Q = 12
@@ -227,6 +227,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RAT
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE) -> DataFrame:
-    """`docs` without the documents that contain an item; rows without doc_id stay."""
-    dirty = matches(docs, benchmark, q, rate).filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, docs["doc_id"] == dirty["_dirty"], "left_anti")
+    """`docs` without the rows whose text contains an item; rows without doc_id stay."""
+    key = free_name(docs.columns, "row_key")
+    rows = with_row_key(docs, key)
+    searched = rows.filter("doc_id IS NOT NULL").select(F.col(key).alias("doc_id"), "text")
+    dirty = matches(searched, benchmark, q, rate).select(F.col("doc_id").alias("_dirty")).distinct()
+    return rows.join(dirty, rows[key] == dirty["_dirty"], "left_anti").drop(key)

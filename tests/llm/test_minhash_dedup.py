@@ -81,6 +81,26 @@ def test_odd_rows(spark):
     assert M.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Rows that repeat a kept doc_id, and rows with one doc_id and several texts."""
+    rng = random.Random(3)
+    one, two, three, four, five = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(5))
+    near = one + " more"
+    rows = [
+        (1, one), (1, one), (1, one), (2, near), (3, one), (3, two), (4, three), (4, four), (5, four), (6, five), (6, five + " more"),
+        (7, None), (7, None), (8, ""), (8, ""), (8, None), (9, ""), (None, one), (None, one),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = M.keep_one(docs, 3, 85)
+    have = sorted(map(tuple, left.collect()), key=repr)
+    six = [r for r in have if r[0] == 6]
+    assert len(six) == 1 and six[0] in rows
+    want = [
+        (1, one), (3, two), (4, three), (4, four), (7, None), (8, ""), (8, None), (9, ""), (None, one), (None, one),
+    ]
+    assert sorted([*want, *six], key=repr) == have
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = {(max(a, b), min(a, b)) for a, b in ((rng.randrange(300), rng.randrange(300)) for _ in range(220)) if a != b}

@@ -88,6 +88,14 @@ def test_tables(spark, words):
     assert Q.matches(docs, bench.limit(0)).count() == 0
 
 
+def test_a_clean_text_stays_beside_its_namesake(spark, words):
+    rng = random.Random(12)
+    item = " ".join(rng.choice(words) for _ in range(15))
+    docs = spark.createDataFrame([(1, f"x {item} y"), (1, "clean"), (2, "clean")], "doc_id long, text string")
+    left = Q.decontaminate(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert sorted(map(tuple, left.collect())) == [(1, "clean"), (2, "clean")]
+
+
 def test_blocks_find_the_same(spark, words, monkeypatch):
     rng = random.Random(9)
     items = [" ".join(rng.choice(words) for _ in range(12)) for _ in range(9)]
