@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyport.llm import bpe_stream, line_chunks, minhash_dedup, qgram_filter, quality_gam, rule_ledger, token_store, tool_calls, trie_counts, warc
+from tallyport.llm import (
+    bitplane_clusters, bpe_stream, license_scan, line_chunks, minhash_dedup, qgram_filter, quality_gam, rule_ledger, token_store,
+    tool_calls, trie_counts, warc,
+)
 from tallyport.llm.common import read
 
 
@@ -58,6 +61,14 @@ def op10_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_counts.token_counts(read(spark, sf_dir, "documents"), public_file("piece_bpe_32k.model"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(read(spark, sf_dir, "documents"))
+
+
+def op12_bitplane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplane_clusters.digest(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_store": op2_token_store,
@@ -69,5 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_chunks": op8_line_chunks,
     "op9_rule_ledger": op9_rule_ledger,
     "op10_trie_counts": op10_trie_counts,
+    "op11_license_scan": op11_license_scan,
+    "op12_bitplane_clusters": op12_bitplane_clusters,
 }
-ORACLE: dict[str, str] = {"op9_rule_ledger": rule_ledger.ORACLE}
+ORACLE: dict[str, str] = {"op9_rule_ledger": rule_ledger.ORACLE, "op12_bitplane_clusters": bitplane_clusters.ORACLE}

@@ -13,7 +13,7 @@ def test_sql(name, spark, sf_dir):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 1 + len(QUERIES)))
 
 
 def test_pipeline_by_stages(spark, sf_dir):
