@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyport.session import new_folder
+from tallyport.functions.ranges import in_ranges, join_same
 
 
 def interpolated_ranks(percent: float, total: Column) -> tuple[Column, Column, Column]:
@@ -27,13 +27,6 @@ def nearest_rank(percent: float, total: Column) -> Column:
     return F.least(total - 1, F.bround((total - 1) * F.lit(percent / 100.0), 0).cast("bigint"))
 
 
-def _in_ranges(counts: DataFrame, order: list[str]) -> DataFrame:
-    """Adds `_bin`, the number of the range of `order` that a row lies in; stored, as ranges are sampled."""
-    path = new_folder(counts.sparkSession, "ranges")
-    counts.repartitionByRange(*order).withColumn("_bin", F.spark_partition_id()).write.parquet(path)
-    return counts.sparkSession.read.parquet(path)
-
-
 def exact_quantiles(
     df: DataFrame,
     by: list[str],
@@ -41,14 +34,14 @@ def exact_quantiles(
     interpolated: dict[str, float] | None = None,
     nearest: dict[str, float] | None = None,
 ) -> DataFrame:
-    """One row per group with the named percentiles (0 to 100) as DOUBLE."""
+    """One row per group with the named percentiles (0 to 100) as DOUBLE; NULL is a group like any other."""
     interpolated, nearest = interpolated or {}, nearest or {}
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    counts = _in_ranges(counts, [*by, "_v"])
+    counts = in_ranges(counts, [*by, "_v"], "_bin")
     over_bins = W.partitionBy(*by).orderBy("_bin")
     bins = (
         counts.groupBy(*by, "_bin")
@@ -76,7 +69,7 @@ def exact_quantiles(
 
     within = W.partitionBy(*by, "_bin").orderBy("_v")
     found = (
-        counts.join(hits.select(*by, "_bin", "_before", "_n", "_wanted"), [*by, "_bin"])
+        join_same(counts, hits.select(*by, "_bin", "_before", "_n", "_wanted"), [*by, "_bin"])
         .withColumn("_from", F.col("_before") + F.sum("_c").over(within) - F.col("_c"))
         .withColumn("_hit", F.explode("_wanted"))
         .where((F.col("_hit.rank") >= F.col("_from")) & (F.col("_hit.rank") < F.col("_from") + F.col("_c")))

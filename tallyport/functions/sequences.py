@@ -1,10 +1,12 @@
-"""Ordered work over long series, cut into time buckets.
+"""Ordered work over long series, cut into sampled ranges or spans of time.
 
 A window partitioned by series alone would put a hot series into one task. Here the
-partition is (series, time bucket). What a bucket needs from earlier rows comes either
-from a one-row-per-bucket summary (`with_previous`, `with_last_mark`) or from markers in
-the bucket before (`_with_frames`). Results equal those of the uncut window. NULL is a
-series like any other.
+partition is (series, range), with ranges that Spark balances by sampling: a series gets as
+many as its rows need, whatever its rate. What a range needs from earlier rows comes from a
+summary of one row a range: the last row before it (`with_previous`), the latest mark
+(`with_last_mark`), the rise or hold that is still open at its end (`longest_rising_run`,
+`held_intervals`). Frames take markers from the span before (`_with_frames`). Results equal
+those of the uncut window. NULL is a series like any other; rows without a time are left out.
 """
 
 from __future__ import annotations
@@ -15,22 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyport.functions.timing import time_bucket
+from tallyport.functions.ranges import in_ranges, join_same
 from tallyport.session import new_folder
 
-DAY = 86_400
 
+def in_series_ranges(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Adds `_bucket`, the sampled range of (series, order) of each row with a time; stored.
 
-def bucketed(df: DataFrame, ts: str, seconds: int = DAY) -> DataFrame:
-    return df.withColumn("_bucket", time_bucket(F.col(ts), seconds))
-
-
-def _join_series(left: DataFrame, right: DataFrame, by: list[str], others: list[str]) -> DataFrame:
-    """Inner join on the series, where NULL is a series like any other, and on columns that are equal."""
-    keys = {c: f"_right_{c}" for c in [*by, *others]}
-    renamed = right.withColumnsRenamed(keys)
-    same = [left[c].eqNullSafe(renamed[keys[c]]) for c in by] + [left[c] == renamed[keys[c]] for c in others]
-    return left.join(renamed, same).drop(*keys.values())
+    `order` starts with the time and is total inside a series.
+    """
+    return in_ranges(df.where(F.col(order[0]).isNotNull()), [*by, *order], "_bucket")
 
 
 def _with_carry(df: DataFrame, by: list[str], local: Column, summary: Column, carry, out: str) -> DataFrame:
@@ -42,7 +38,7 @@ def _with_carry(df: DataFrame, by: list[str], local: Column, summary: Column, ca
         .select(*by, "_bucket", carry(F.col("_summary"), over_buckets).alias("_carry"))
     )
     return (
-        _join_series(df.withColumn("_local", local), handed, by, ["_bucket"])
+        join_same(df.withColumn("_local", local), handed, [*by, "_bucket"])
         .withColumn(out, F.coalesce("_local", "_carry"))
         .drop("_local", "_carry")
     )
@@ -51,7 +47,7 @@ def _with_carry(df: DataFrame, by: list[str], local: Column, summary: Column, ca
 def with_previous(df: DataFrame, by: list[str], order: list[str], columns: list[str], out: str) -> DataFrame:
     """Adds struct `out`: `columns` of the row before, NULL on the first row of a series.
 
-    `df` must come from `bucketed`; `order` must start with its timestamp and be total.
+    `df` must come from `in_series_ranges` with the same series and order.
     """
     value = F.struct(*columns)
     local = F.lag(value).over(W.partitionBy(*by, "_bucket").orderBy(*order))
@@ -95,17 +91,45 @@ def numbered(df: DataFrame, order: list[str], out: str, first: int = 1) -> DataF
 
 
 def longest_rising_run(df: DataFrame, by: list[str], ts: str, value: str, tie: str) -> DataFrame:
-    """Length of the longest strictly rising run (n rises count n, none counts 0)."""
+    """Length of the longest strictly rising run (n rises count n, none counts 0).
+
+    A scan: every range of a series is summed up by its rows, its first and last value, the
+    rises it begins with, those it ends with and the longest inside. Ranges that rise from
+    end to end pass on what they were handed, so the open run before a range is a running
+    sum since the last range that did not.
+    """
     order = [ts, tie]
-    rows = with_previous(bucketed(df, ts), by, order, [value], "_prev")
-    rises = F.coalesce(F.col(value) > F.col(f"_prev.{value}"), F.lit(False))
-    rows = rows.withColumn("_rises", rises)
-    runs = (
-        with_last_mark(rows, by, order, ~F.col("_rises"), "_run")
-        .groupBy(*by, "_run")
-        .agg(F.sum(F.col("_rises").cast("bigint")).alias("_length"))
+    rows = in_series_ranges(df, by, order)
+    inside = W.partitionBy(*by, "_bucket").orderBy(*order)
+    first = F.row_number().over(inside) == 1
+    rises = rows.withColumn("_first", first).withColumn(
+        "_rises", F.when(F.col("_first"), False).otherwise(F.coalesce(F.col(value) > F.lag(value).over(inside), F.lit(False)))
     )
-    return runs.groupBy(*by).agg(F.max("_length").alias("longest_rising_run"))
+    # Breaks before a row number the runs of a range; run 0 is the one it begins with.
+    breaks = F.sum((~F.col("_rises") & ~F.col("_first")).cast("bigint")).over(inside.rowsBetween(W.unboundedPreceding, 0))
+    key = F.struct(*order)
+    runs = rises.withColumn("_run", breaks).groupBy(*by, "_bucket", "_run").agg(
+        F.sum(F.col("_rises").cast("bigint")).alias("_length"),
+        F.min_by(F.struct(value), key).alias("_from"), F.max_by(F.struct(value), key).alias("_to"),
+    )
+    parts = runs.groupBy(*by, "_bucket").agg(
+        F.max("_length").alias("_longest"), F.max("_run").alias("_breaks"),
+        F.min_by("_length", "_run").alias("_prefix"), F.max_by("_length", "_run").alias("_suffix"),
+        F.min_by("_from", "_run").alias("_from"), F.max_by("_to", "_run").alias("_to"),
+    )
+    ranges = W.partitionBy(*by).orderBy("_bucket")
+    joined = F.coalesce(F.col(f"_from.{value}") > F.lag("_to").over(ranges)[value], F.lit(False))
+    # A chain of ranges through which one run goes on; a range with a break begins the next chain.
+    linked = parts.withColumn("_joined", joined).withColumn(
+        "_opens", F.when(F.col("_joined") & (F.coalesce(F.lag("_breaks").over(ranges), F.lit(1)) == 0), 0).otherwise(1)
+    )
+    chained = linked.withColumn("_chain", F.sum("_opens").over(ranges.rowsBetween(W.unboundedPreceding, 0)))
+    earlier = W.partitionBy(*by, "_chain").orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
+    # What the chain's first range was handed: the open end of the range before it, if its first value rises from that.
+    handed = F.when(F.col("_joined"), 1 + F.lag("_suffix").over(ranges)).otherwise(0)
+    start = F.when(F.col("_opens") == 1, handed).otherwise(1)
+    through = chained.withColumn("_start", start).withColumn("_open", F.sum(F.col("_start") + F.col("_prefix")).over(earlier))
+    return through.groupBy(*by).agg(F.max(F.greatest("_open", "_longest")).alias("longest_rising_run"))
 
 
 def _with_frames(
@@ -199,12 +223,16 @@ def counter_rate(df: DataFrame, by: list[str], ts: str, value: str, tie: str, se
     extrapolated to the frame's edges.
     """
     order = [ts, tie]
-    stepped = with_previous(bucketed(df, ts), by, order, [value], "_prev").drop("_bucket")
+    # Steps go from one known value to the next, over samples without a value.
+    known = in_series_ranges(df.where(F.col(value).isNotNull()), by, order)
+    stepped = with_previous(known, by, order, [value], "_prev").drop("_bucket")
     before, now = F.col(f"_prev.{value}"), F.col(value)
     step = F.when(before.isNull(), 0.0).when(now >= before, now - before).otherwise(now).cast("double")
-    stepped = stepped.withColumn("_step", F.coalesce(step, F.lit(0.0))).drop("_prev")
-    # The first sample's step reaches out of the frame.
-    first = F.struct(F.col("_micros"), F.col(tie).alias("_tie"), F.col("_step"))
+    stepped = stepped.withColumn("_step", step).drop("_prev").unionByName(
+        df.where(F.col(value).isNull()).withColumn("_step", F.lit(0.0))
+    )
+    # The first known sample's step reaches out of the frame.
+    first = F.when(now.isNotNull(), F.struct(F.col("_micros"), F.col(tie).alias("_tie"), F.col("_step")))
     parts = {
         "step": (F.sum, F.col("_step"), F.col("_step")), "n": (F.count, now, now), "first": (F.min, first, first),
     }
@@ -213,7 +241,8 @@ def counter_rate(df: DataFrame, by: list[str], ts: str, value: str, tie: str, se
         _with_frames(stepped, by, ts, seconds, parts)
         .withColumn("samples", zero("_head_n") + zero("_tail_n"))
         .withColumn(
-            "increase", zero("_head_step") + zero("_tail_step") - F.coalesce("_tail_first", "_head_first")["_step"]
+            "increase",
+            zero("_head_step") + zero("_tail_step") - F.coalesce(F.coalesce("_tail_first", "_head_first")["_step"], F.lit(0.0)),
         )
         .withColumn("rate", F.col("increase") / seconds)
         .drop("_step", *_frame_columns(parts))
@@ -229,7 +258,7 @@ def held_intervals(
     held for `hold_seconds`, last true sample, number of true samples.
     """
     order = [ts, tie]
-    rows = bucketed(df, ts).withColumn("_on", F.coalesce(condition, F.lit(False)))
+    rows = in_series_ranges(df.withColumn("_on", F.coalesce(condition, F.lit(False))), by, order)
     marked = with_last_mark(rows, by, order, ~F.col("_on"), "_off")
     island = F.coalesce(
         F.concat_ws(":", F.unix_micros(F.col(f"_off.{ts}")).cast("string"), F.col(f"_off.{tie}").cast("string")),
@@ -249,7 +278,7 @@ def held_intervals(
         .select(*by, "_island", "_bucket", "_start", "_end", "_samples")
     )
     return (
-        _join_series(on, parts, by, ["_island", "_bucket"])
+        join_same(on, parts, [*by, "_island", "_bucket"])
         .where(F.col(ts) >= held_by)
         .groupBy(*by, "_island")
         .agg(

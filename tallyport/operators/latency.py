@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyport.functions.quantiles import exact_quantiles
+from tallyport.functions.ranges import join_same
 from tallyport.functions.timing import minute_bucket
 
 SAMPLE_SCALE = 1_000_000
@@ -73,7 +74,7 @@ def latency_report(samples: DataFrame, by: list[str]) -> DataFrame:
         .otherwise("none")
     )
     share = lambda part: F.round(100 * F.col(part) / F.col("samples"), 3)
-    return totals.join(percentiles, by).select(
+    return join_same(totals, percentiles, by).select(
         *by,
         "samples",
         "min_ms",

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyport.functions.ranges import join_same
 from tallyport.functions.timing import backoff_delay_ms
 
 # Attempts per write and waits between them.
@@ -85,7 +86,7 @@ def retry_accounting(attempts: DataFrame, by: list[str], max_attempts: int = MAX
         F.round(F.col(part) / F.nullif(F.col(whole), F.lit(0)), digits), F.lit(0.0)
     )
     return (
-        totals.join(reasons, by, "left")
+        join_same(totals, reasons, by, "left")
         .withColumn("avg_retries_to_success", average("retries_before_success", "successes", 4))
         .withColumn("avg_retries_among_retried", average("retries_before_success", "retried_writes", 3))
     )
@@ -103,7 +104,7 @@ def merge_counters(parts: DataFrame, by: list[str], sums: list[str], maxima: lis
         .groupBy(*by)
         .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_reason", "_count")))).alias(reasons))
     )
-    return totals.join(merged, by, "left")
+    return join_same(totals, merged, by, "left")
 
 
 def reasons_text(reasons: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyport.functions.quantiles import exact_quantiles
+from tallyport.functions.ranges import join_same
 from tallyport.functions.sequences import counter_rate, held_intervals, trailing_slope
 from tallyport.functions.timing import time_bucket
 from tallyport.operators.retry import merge_counters
@@ -83,20 +84,20 @@ def run_stats(df: DataFrame, by: list[str], value: str, ok: str) -> DataFrame:
         F.bool_and(ok).alias("all_ok"),
     )
     median = exact_quantiles(df, by, value, {"median": 50})
-    return moments.join(median.withColumn("median", F.round("median", 3)), by)
+    return join_same(moments, median.withColumn("median", F.round("median", 3)), by)
 
 
 def first_after(df: DataFrame, faults: DataFrame, by: list[str], ts: str, good: Column) -> DataFrame:
     """First good row after each group's fault time, and the seconds until then."""
     key = F.struct(ts, "batch_id")
     after = (
-        df.join(small_side(faults), by)
+        join_same(df, small_side(faults), by)
         .where((F.col(ts) > F.col("fault_at")) & good)
         .groupBy(*by, "fault_at")
         .agg(F.min(key).alias("_first"))
     )
     seconds = (F.unix_micros(F.col(f"_first.{ts}")) - F.unix_micros("fault_at")) / 1e6
-    return faults.join(after.drop("fault_at"), by, "left").select(
+    return join_same(faults, after, [*by, "fault_at"], "left").select(
         *by,
         "fault_at",
         F.col("_first.batch_id").alias("recovery_batch_id"),
@@ -132,7 +133,7 @@ def sustained_prefix(steps: DataFrame, by: list[str], rate: str, ok: str) -> Dat
     failing = steps.groupBy(*by).agg(F.min(F.when(~F.col(ok), F.col(rate))).alias("_fails_at"))
     below = F.col("_fails_at").isNull() | (F.col(rate) < F.col("_fails_at"))
     return (
-        steps.join(small_side(failing), by)
+        join_same(steps, small_side(failing), by)
         .groupBy(*by)
         .agg(F.max(F.when(below, F.col(rate))).alias("sustained_rate"), F.count(F.lit(1)).alias("steps"))
     )
@@ -191,7 +192,7 @@ def producer_below_target(
     actual: DataFrame, target: DataFrame, by: list[str], hold_seconds: int, share: float = PRODUCER_SHARE
 ) -> DataFrame:
     """Intervals over which a producer with a target ran below a share of it."""
-    both = actual.join(target, [*by, "ts"]).withColumn("event_id", F.lit(0))
+    both = join_same(actual, target, [*by, "ts"]).withColumn("event_id", F.lit(0))
     short = (F.col("target_rate") > 0) & (F.col("actual_rate") < F.col("target_rate") * share)
     return held_intervals(both, by, "ts", "event_id", short, hold_seconds)
 
@@ -262,10 +263,10 @@ def lag_samples(log_counts: DataFrame, by: list[str]) -> DataFrame:
     every = (
         log_counts.select(*by, "batch_id")
         .distinct()
-        .join(small_side(partitions), by)
+        .transform(join_same, small_side(partitions), by)
         .select(*by, "batch_id", F.explode("_partitions").alias("partition"))
     )
-    filled = every.join(log_counts, [*by, "batch_id", "partition"], "left").fillna({"rows": 0})
+    filled = join_same(every, log_counts, [*by, "batch_id", "partition"], "left").fillna({"rows": 0})
     so_far = W.partitionBy(*by, "partition").orderBy("batch_id").rowsBetween(W.unboundedPreceding, 0)
     whole = W.partitionBy(*by, "partition")
     return (
