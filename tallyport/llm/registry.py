@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyport.llm import (
-    bitplane_clusters, bpe_stream, license_scan, line_chunks, minhash_dedup, qgram_filter, quality_gam, rule_ledger, token_store,
-    tool_calls, trie_counts, warc,
+    bitplane_clusters, bpe_stream, license_scan, line_chunks, minhash_dedup, prefix_trie, qgram_filter, quality_gam,
+    rule_ledger, token_store, tool_calls, trie_counts, warc,
 )
 from tallyport.llm.common import read
 
@@ -69,6 +69,10 @@ def op12_bitplane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane_clusters.digest(read(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digest(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_store": op2_token_store,
@@ -82,5 +86,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_trie_counts": op10_trie_counts,
     "op11_license_scan": op11_license_scan,
     "op12_bitplane_clusters": op12_bitplane_clusters,
+    "op13_prefix_trie": op13_prefix_trie,
+}
+ORACLE: dict[str, str] = {
+    "op9_rule_ledger": rule_ledger.ORACLE,
+    "op12_bitplane_clusters": bitplane_clusters.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
-ORACLE: dict[str, str] = {"op9_rule_ledger": rule_ledger.ORACLE, "op12_bitplane_clusters": bitplane_clusters.ORACLE}
