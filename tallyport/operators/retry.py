@@ -8,11 +8,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.functions.ranges import join_same
 from tallyport.functions.timing import backoff_delay_ms
+from tallyport.sources.files import Storage
 
 # Attempts per write and waits between them.
 MAX_ATTEMPTS = 4
@@ -149,6 +150,7 @@ class RetryPolicy:
 
 
 DELIVERY_SCHEMA = "event_id string, attempts int, succeeded boolean, last_error string, backoff_ms double"
+LEDGER_SCHEMA = DELIVERY_SCHEMA + ", task int"
 
 
 def deliver(rows: DataFrame, write: WriteFn, policy: RetryPolicy = RetryPolicy(), sleep=time.sleep) -> DataFrame:
@@ -182,3 +184,27 @@ def deliver(rows: DataFrame, write: WriteFn, policy: RetryPolicy = RetryPolicy()
             yield result
 
     return rows.mapInPandas(attempt_all, DELIVERY_SCHEMA)
+
+
+def deliver_once(rows: DataFrame, write: WriteFn, policy: RetryPolicy, ledger: str) -> DataFrame:
+    """`deliver` with a ledger: what has an outcome there is not delivered again.
+
+    Every task's outcomes become lasting when the task commits, not when the job ends, so
+    after a crash only the rows of tasks in flight are delivered a second time. A later
+    call reads the outcomes of the calls before it and tries what has none; once a call
+    has ended there is nothing left to do.
+    """
+    spark, storage = rows.sparkSession, Storage(rows.sparkSession, ledger)
+    before = storage.matching("try=*")
+    if not storage.matching("try=*/_SUCCESS"):
+        if before:
+            rows = rows.join(read_ledger(spark, ledger).select("event_id"), "event_id", "left_anti")
+        tried = deliver(rows, write, policy).withColumn("task", F.spark_partition_id())
+        # Version 2 of the committer moves a task's file into place as the task commits.
+        tried.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{ledger}/try={len(before)}")
+    return read_ledger(spark, ledger)
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """The outcomes in a ledger; `try` is the call that brought them."""
+    return spark.read.schema(LEDGER_SCHEMA + ", try int").option("basePath", ledger).parquet(ledger)

@@ -248,8 +248,8 @@ def alerts(named: dict[str, DataFrame], by: list[str]) -> DataFrame:
 
 
 def append_alerts(rows: DataFrame, path: str) -> None:
-    """Alert records, one JSON line each, with the time they were raised."""
-    rows.withColumn("at", F.current_timestamp()).write.mode("append").json(path)
+    """Alert records, one JSON line each, with the time they were raised; raised again they replace themselves."""
+    rows.withColumn("at", F.current_timestamp()).write.mode("overwrite").json(path)
 
 
 def lag_samples(log_counts: DataFrame, by: list[str]) -> DataFrame:

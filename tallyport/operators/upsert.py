@@ -3,7 +3,8 @@
 A serving table is a folder of batch deltas: each micro-batch owns the folder
 `write_id=<n>` and overwrites it when it is re-run, so a replayed batch changes
 nothing and a batch never costs more than its own rows. Readers keep the last write
-of each key. `upsert_partitions` is the copy-on-write form for batch tables.
+of each key over the deltas and what they were merged into (`operators.compaction`).
+`upsert_partitions` is the copy-on-write form for batch tables.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyport.operators.compaction import read_live
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the greatest `order` of each key.
@@ -24,37 +27,29 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def write_delta(
-    df: DataFrame, path: str, write_id: int, folder: str | None = None, order: list[str] | None = None
+    df: DataFrame, path: str, write_id: int, folders: list[str] | None = None, order: list[str] | None = None
 ) -> None:
-    """Write one batch of a serving table; re-running it replaces the same folder.
+    """Write one batch of a serving table; re-running it replaces the same folder."""
+    write_folders(df, f"{path}/write_id={write_id}", folders, order)
+
 
-    With `folder` the batch is split into folders by that column; a folder with very
-    many rows is shared out over several tasks.
+def write_folders(df: DataFrame, path: str, folders: list[str] | None = None, order: list[str] | None = None) -> None:
+    """Overwrite `path`, split into folders by columns, in `order` inside their files.
+
+    A folder with very many rows is shared out over several tasks.
     """
-    if folder:
+    if folders:
         columns = [F.desc(o.removesuffix(" desc")) if o.endswith(" desc") else F.col(o) for o in order or []]
-        df = df.hint("rebalance", folder).sortWithinPartitions(folder, *columns)
+        df = df.hint("rebalance", *folders).sortWithinPartitions(*folders, *columns)
     writer = df.write.mode("overwrite")
-    if folder:
-        writer = writer.partitionBy(folder)
-    writer.parquet(f"{path}/write_id={write_id}")
+    if folders:
+        writer = writer.partitionBy(*folders)
+    writer.parquet(path)
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
-    """Last write per key over all deltas."""
-    return latest_per_key(spark.read.option("basePath", path).parquet(path), keys, order)
-
-
-def compact(
-    spark: SparkSession, path: str, keys: list[str], order: list[str], into: str, folder: str, sort: list[str]
-) -> None:
-    """Fold all deltas of a table into one delta of a new table folder.
-
-    Readers switch to `into` once it is complete; the old folder is left alone.
-    """
-    deltas = spark.read.option("basePath", path).parquet(path)
-    newest = deltas.agg(F.max("write_id")).first()[0]
-    write_delta(latest_per_key(deltas, keys, order).drop("write_id"), into, newest, folder, sort)
+    """Last write per key over all live folders."""
+    return latest_per_key(read_live(spark, path), keys, order)
 
 
 def partial_upsert(old: DataFrame, new: DataFrame, keys: list[str], update: dict[str, Column | None]) -> DataFrame:

@@ -116,62 +116,24 @@ def plan_backfill(start: datetime, end: datetime) -> int:
     return hours
 
 
-def backfill(city_hour: DataFrame, stage: DataFrame, start: datetime, end: datetime, loaded_at: Column):
-    """Reprocess a window in one job: the new stage table and the closing audit row."""
-    hours = plan_backfill(start, end)
-    lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-    rows = closed_hours(city_hour, lo, hi)
-    after = load_window(stage, stage_rows(rows, loaded_at))
-    per_hour = rows.groupBy("event_hour").agg(F.count(F.lit(1)).alias("_rows"))
-    audit = per_hour.agg(
-        lo.alias("window_start"),
-        hi.alias("window_end"),
-        F.lit(hours).alias("hours"),
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows_loaded"),
-        (F.lit(hours) - F.count(F.lit(1))).alias("empty_hours"),
-    )
-    return after, audit
-
-
-def audit_opening(audit_id: str, audit: DataFrame) -> DataFrame:
-    return audit.select(
-        F.lit(audit_id).alias("audit_id"),
-        F.lit(0).alias("step"),
-        "window_start",
-        "window_end",
-        F.lit(None).cast("bigint").alias("rows_loaded"),
-        F.concat(F.col("hours").cast("string"), F.lit(" hours planned")).alias("notes"),
-    )
-
-
-def audit_closing(audit_id: str, audit: DataFrame) -> DataFrame:
-    return audit.select(
-        F.lit(audit_id).alias("audit_id"),
-        F.lit(1).alias("step"),
-        "window_start",
-        "window_end",
-        "rows_loaded",
-        F.concat(
-            F.col("hours").cast("string"),
-            F.lit("h window, "),
-            F.col("empty_hours").cast("string"),
-            F.lit(" empty hours"),
-        ).alias("notes"),
-    )
+def landed_windows(city_hour: DataFrame, windows: list[tuple[datetime, datetime]], min_rows: int) -> DataFrame:
+    """`has_landed` of several windows that do not overlap, in one pass over their rows."""
+    at = lambda moment: F.lit(str(moment)).cast("timestamp")
+    number = F.coalesce(*[
+        F.when((F.col("event_hour") >= at(start)) & (F.col("event_hour") < at(end)), n) for n, (start, end) in enumerate(windows)
+    ])
+    counts = city_hour.groupBy(number.alias("_n")).agg(F.count(F.lit(1)).alias("rows"))
+    wanted = F.array(*[F.struct(F.lit(n).alias("n"), at(start).alias("start")) for n, (start, _) in enumerate(windows)])
+    every = city_hour.sparkSession.range(1).select(F.explode(wanted).alias("w")).select("w.n", F.col("w.start").alias("window_start"))
+    rows = F.coalesce("rows", F.lit(0))
+    return every.join(counts, F.col("n") == F.col("_n"), "left").select("window_start", rows.alias("rows"), (rows >= min_rows).alias("landed"))
 
 
 def audit_view(audit_log: DataFrame) -> DataFrame:
-    """Latest record of each backfill."""
+    """Latest record of each load."""
     return latest_per_key(audit_log, ["audit_id"], ["step"]).drop("step")
 
 
-def empty_backfill_alert(audit: DataFrame) -> DataFrame:
-    """A backfill that loaded nothing is most likely a wrong window."""
-    return audit.where(F.col("empty_hours") == F.col("hours")).select(
-        F.lit("backfill_empty").alias("kind"), "window_start", "window_end", "hours"
-    )
-
-
 def freshness_violations(stage: DataFrame, sla_minutes: int = LOAD_SLA_MINUTES) -> DataFrame:
     """Hours whose load finished later than promised after they closed."""
     hour = event_hour(F.col("event_time"))

@@ -453,6 +453,30 @@ ORACLE["closed_hour_gate"] = _with(STAGE + _DAYS_AND_AFTER, """SELECT window_sta
 ORACLE["backfill_alerts"] = _with(STAGE + _DAYS_AND_AFTER, """SELECT 'backfill_empty' AS kind, window_start, window_end,
     CAST(date_diff('hour', window_start, window_end) AS INTEGER) AS hours
     FROM chunks LEFT JOIN city_hour ON event_hour >= window_start AND event_hour < window_end GROUP BY 2, 3 HAVING count(trip_id) = 0""")
+ORACLE["rollup_flow"] = _with(STAGE + _DAYS_AND_AFTER + """,
+numbered AS (SELECT *, 'run-' || (row_number() OVER (ORDER BY window_start) - 1) AS audit_id FROM chunks),
+held AS (SELECT audit_id, window_start, count(trip_id) AS rows, count(*) FILTER (WHERE payment_type = 'cash') AS lost
+  FROM numbered LEFT JOIN city_hour ON event_hour >= window_start AND event_hour < window_end GROUP BY 1, 2),
+markers AS (
+  SELECT *, unnest(['0-planned', '0-extracted', '0-loaded', '0-verified', '0-closed']) AS name FROM held WHERE audit_id <> 'run-1' OR lost = 0
+  UNION ALL SELECT *, unnest(['0-planned', '0-extracted', '0-loaded', '0-drifted', '1-planned', '1-extracted', '1-loaded', '1-verified', '1-closed'])
+  FROM held WHERE audit_id = 'run-1' AND lost > 0)""", """
+SELECT 'stage' AS part, NULL AS audit_id, NULL AS name, event_hour AS at, count(*) AS rows, round(sum(fare_amount), 2) AS fares
+FROM city_hour GROUP BY event_hour
+UNION ALL SELECT 'audit', audit_id, name, window_start,
+  CASE WHEN name LIKE '%planned' OR name LIKE '%verified' THEN NULL WHEN name LIKE '%drifted' THEN lost ELSE rows END, NULL FROM markers
+UNION ALL SELECT 'alert', audit_id, 'rollup_drift', window_start, lost, NULL FROM held WHERE audit_id = 'run-1' AND lost > 0
+UNION ALL SELECT 'alert', audit_id, 'backfill_empty', window_start, 0, NULL FROM held WHERE rows = 0""")
+ORACLE["city_hour_lookup"] = _with(ROUTED, f"""SELECT city_id, date_trunc('hour', event_time) AS event_hour, trip_id, event_id,
+    event_time, driver_id, rider_id, pickup_zone_id, dropoff_zone_id, {_MEASURES} FROM sound
+    WHERE (city_id, date_trunc('hour', event_time)) IN (
+      SELECT (city_id, hour) FROM (SELECT city_id, date_trunc('hour', event_time) AS hour, count(*) AS n FROM sound GROUP BY ALL
+      ORDER BY n DESC, city_id, hour LIMIT 1))""")
+ORACLE["driver_day_lookup"] = _with(ROUTED, f"""SELECT driver_id, CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date,
+    event_time, trip_id, event_id, city_id, rider_id, {_MEASURES} FROM sound
+    WHERE (driver_id, CAST(event_time AS DATE)) IN (
+      SELECT (driver_id, day) FROM (SELECT driver_id, CAST(event_time AS DATE) AS day, count(*) AS n FROM sound GROUP BY ALL
+      ORDER BY n DESC, driver_id, day LIMIT 1))""")
 ORACLE["freshness_violations"] = _with(STAGE, """SELECT event_hour, max(loaded_at) AS loaded_at, count(*) AS trips,
     round(CAST(epoch_us(max(loaded_at)) - epoch_us(event_hour + INTERVAL 1 HOUR) AS DOUBLE) / 60e6, 3) AS minutes_after_close
     FROM city_hour GROUP BY event_hour
@@ -637,6 +661,28 @@ producers AS (SELECT *, 0 AS event_id FROM actual JOIN target USING (run_id, ts)
         ]
     ),
 )
+_DELIVERED = ROUTED + """,
+delivered AS (
+  SELECT *, CASE WHEN id % 41 = 5 THEN 'InvalidRequest' WHEN id % 43 = 6 THEN 'WriteTimeout' END AS refused,
+         CASE WHEN id % 41 = 5 THEN 2 WHEN id % 43 = 6 OR id % 47 = 7 THEN 4 ELSE 2 END AS tries
+  FROM sound),
+aside AS (SELECT batch_no, count(*) AS input_rows, count(failure_stage) AS aside, count(*) FILTER (WHERE route = 'ok') AS ok
+  FROM routed GROUP BY batch_no),
+reasons AS (SELECT batch_no, string_agg(refused || '=' || n, ',' ORDER BY refused) AS failure_reasons
+  FROM (SELECT batch_no, refused, count(*) AS n FROM delivered WHERE refused IS NOT NULL GROUP BY ALL) GROUP BY batch_no)"""
+ORACLE["stream_delivery"] = _with(_DELIVERED, """SELECT CAST(batch_no AS BIGINT) AS batch_id, any_value(input_rows) AS input_rows,
+    any_value(aside) + count(refused) AS dlq, any_value(ok) AS rows_written, count(refused) AS failures_exhausted,
+    CAST(coalesce(sum(tries - 1) FILTER (WHERE refused IS NULL), 0) AS BIGINT) AS retries_before_success,
+    count(d.id) FILTER (WHERE refused IS NULL) AS retried_writes, coalesce(any_value(failure_reasons), '') AS failure_reasons
+    FROM aside LEFT JOIN delivered d USING (batch_no) LEFT JOIN reasons USING (batch_no) GROUP BY batch_no""")
+ORACLE["stream_delivery_dlq"] = _with(_DELIVERED, """SELECT CAST(batch_no AS BIGINT) AS batch_id, event_id, CAST(tries AS INTEGER) AS retry_count,
+    CASE WHEN refused = 'InvalidRequest' THEN 'InvalidRequest: refused' ELSE 'WriteTimeout: slow' END || ': external' AS failure_reason,
+    "partition" AS source_partition, "offset" AS source_offset FROM delivered WHERE refused IS NOT NULL""")
+ORACLE["stream_delivery_ledger"] = _with(_DELIVERED, """SELECT CAST(batch_no AS BIGINT) AS batch_id, count(*) AS outcomes, count(*) AS events,
+    count(*) FILTER (WHERE refused IS NULL) AS succeeded, CAST(sum(tries) AS BIGINT) AS attempts, 0 AS last_try,
+    true AS waits_not_below, true AS waits_not_above, true AS jittered FROM delivered GROUP BY batch_no""")
+ORACLE["stream_lag"] = _with(LOG, """SELECT CAST(n AS BIGINT) AS batch_id, total AS slices_landed, n + 1 AS slices_taken, total - n - 1 AS slices_behind
+    FROM (SELECT batch_no, row_number() OVER (ORDER BY batch_no) - 1 AS n, count(*) OVER () AS total FROM log GROUP BY batch_no)""")
 ORACLE["lag_samples"] = _with(LOG + """,
 counts AS (SELECT batch_no, "partition", count(*) AS n FROM log GROUP BY 1, 2),
 behind AS (SELECT *, CAST(sum(n) OVER (PARTITION BY "partition") - sum(n) OVER (PARTITION BY "partition" ORDER BY batch_no) AS BIGINT) AS b FROM counts)""",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +21,6 @@ SLOPE_SECONDS = 7_200
 RATE_SECONDS = 21_600
 LAG_THRESHOLD = 5
 STEP_SECONDS = 3_600
-BACKFILL_DAYS = 14
 FIRST_LOAD_ENDS = "2024-01-16"
 
 QUERIES: dict = {}
@@ -452,70 +449,76 @@ def rollup_drift(spark, sf_dir):
     return rollup.drift(city_hour, _earlier_stage(city_hour))
 
 
-def _days(city_hour) -> tuple[datetime, datetime]:
-    """The whole days that hold all rows."""
-    row = city_hour.agg(
-        F.date_trunc("day", F.min("event_hour")).cast("timestamp_ntz").alias("first"),
-        (F.date_trunc("day", F.max("event_hour")) + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz").alias("end"),
-    ).first()
-    return row["first"], row["end"]
+@query
+def hour_completeness(spark, sf_dir):
+    """Every city and hour of the stored table's days, read from it."""
+    root, days = runs.ingest_run(spark, sf_dir).job.root, runs.stored_days(spark, sf_dir)
+    return rollup.completeness(fanout.city_hours(spark, root, *days), *[F.lit(str(d)).cast("timestamp") for d in days])
 
 
-def _windows(first: datetime, last: datetime) -> list[tuple[datetime, datetime]]:
-    """[first, last) in windows of two weeks."""
-    width = timedelta(days=BACKFILL_DAYS)
-    starts = [first + n * width for n in range(-(-(last - first) // width))]
-    return [(s, min(s + width, last)) for s in starts]
+@query
+def backfill_window(spark, sf_dir):
+    """The audit of the loads of all windows that hold rows, as it reads afterwards."""
+    return runs.rollup_run(spark, sf_dir).audit().where("rows_loaded > 0").select(
+        "audit_id", "window_start", "window_end", "rows_loaded", "notes"
+    )
 
 
 @query
-def hour_completeness(spark, sf_dir):
-    city_hour = _fanout(spark, sf_dir, "trips_by_city_hour")
-    return rollup.completeness(city_hour, *[F.lit(d).cast("timestamp") for d in _days(city_hour)])
+def rollup_flow(spark, sf_dir):
+    """What the loads leave behind after a death between load and verification and a lossy
+    write: the stage by hour, every marker of the audit, and the alerts."""
+    flow = runs.rollup_run(spark, sf_dir)
+    none = F.lit(None)
+    stage = flow.stage().groupBy(F.date_trunc("hour", "event_time").alias("at")).agg(
+        F.count("*").alias("rows"), F.round(F.sum("fare_amount"), 2).alias("fares")
+    ).select(F.lit("stage").alias("part"), none.cast("string").alias("audit_id"), none.cast("string").alias("name"), "at", "rows", "fares")
+    audit = flow.markers().select(
+        F.lit("audit").alias("part"), "audit_id", F.concat(F.col("attempt").cast("string"), F.lit("-"), "name").alias("name"),
+        F.col("window_start").alias("at"), "rows", none.cast("double").alias("fares"),
+    )
+    alerts = flow.alerts().select(
+        F.lit("alert").alias("part"), "audit_id", F.col("kind").alias("name"), F.col("window_start").alias("at"), "rows",
+        none.cast("double").alias("fares"),
+    )
+    return stage.unionByName(audit).unionByName(alerts)
 
 
 @query
-def backfill_window(spark, sf_dir):
-    """Backfills of two weeks that together cover the log; the audit as it reads afterwards."""
-    city_hour = _fanout(spark, sf_dir, "trips_by_city_hour")
-    stage = _earlier_stage(city_hour)
-    log = None
-    for n, (start, end) in enumerate(_windows(*_days(city_hour))):
-        stage, audit = rollup.backfill(city_hour, stage, start, end, F.lit(end).cast("timestamp"))
-        records = rollup.audit_opening(f"run-{n}", audit).unionByName(rollup.audit_closing(f"run-{n}", audit))
-        log = records if log is None else log.unionByName(records)
-    return rollup.audit_view(log)
+def closed_hour_gate(spark, sf_dir):
+    """Whether each of the log's windows, and the one after its end, holds enough rows to load:
+    one read of their hours from the stored table."""
+    windows = runs.backfill_windows(spark, sf_dir)
+    hours = fanout.city_hours(spark, runs.ingest_run(spark, sf_dir).job.root, windows[0][0], windows[-1][1])
+    return rollup.landed_windows(hours, windows, min_rows=100)
 
 
 @query
-def closed_hour_gate(spark, sf_dir):
-    """Whether each of the log's windows, and the one after its end, holds enough rows to load,
-    read from the stored table."""
+def city_hour_lookup(spark, sf_dir):
+    """The trips of the city and hour that have most, read by key from the stored table."""
     root = runs.ingest_run(spark, sf_dir).job.root
-    path = f"{root}/trips_by_city_hour"
-    stored = upsert.latest_per_key(
-        spark.read.option("basePath", path).parquet(path), ["city_id", "event_hour", "trip_id"], fanout.WRITE_ORDER
-    )
-    first, last = _days(stored)
-    out = None
-    for start, end in [*_windows(first, last), (last, last + timedelta(days=1))]:
-        lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-        part = rollup.has_landed(stored, lo, hi, min_rows=100).select(lo.alias("window_start"), "rows", "landed")
-        out = part if out is None else out.unionByName(part)
-    return out
+    busiest = fanout.read_serving(spark, root, "trips_by_city_hour").groupBy("city_id", "event_hour").agg(F.count("*").alias("n"))
+    key = busiest.orderBy(F.desc("n"), "city_id", "event_hour").select("city_id", F.col("event_hour").cast("string").alias("hour")).first()
+    if key is None:
+        return fanout.read_serving(spark, root, "trips_by_city_hour").drop("ingested_at_ms")
+    return fanout.city_hour(spark, root, key["city_id"], key["hour"]).drop("ingested_at_ms")
+
+
+@query
+def driver_day_lookup(spark, sf_dir):
+    """The trips of the driver and day that have most, read by key from the stored table."""
+    root = runs.ingest_run(spark, sf_dir).job.root
+    busiest = fanout.read_serving(spark, root, "trips_by_driver_day").groupBy("driver_id", "event_date").agg(F.count("*").alias("n"))
+    key = busiest.orderBy(F.desc("n"), "driver_id", "event_date").select("driver_id", F.col("event_date").cast("string").alias("day")).first()
+    return fanout.driver_day(spark, root, *(key or ())).drop("ingested_at_ms")
 
 
 @query
 def backfill_alerts(spark, sf_dir):
-    """Alerts of backfills over the log's windows and over the day after its end, which is empty."""
-    city_hour = _fanout(spark, sf_dir, "trips_by_city_hour")
-    stage, out = _earlier_stage(city_hour), None
-    first, last = _days(city_hour)
-    for start, end in [*_windows(first, last), (last, last + timedelta(days=1))]:
-        stage, audit = rollup.backfill(city_hour, stage, start, end, F.lit(end).cast("timestamp"))
-        part = rollup.empty_backfill_alert(audit)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Alerts of loads that found nothing: the day after the log's end is empty."""
+    return runs.rollup_run(spark, sf_dir).alerts().where("kind = 'backfill_empty'").select(
+        "kind", "window_start", "window_end", "hours"
+    )
 
 
 @query
@@ -759,6 +762,47 @@ def stream_restart(spark, sf_dir):
     )
 
 
+@query
+def stream_delivery(spark, sf_dir):
+    """Batch reports of a stream that delivers to a failing store, from what it observed."""
+    rows = runs.delivery_run(spark, sf_dir).job.reports().select(
+        "batch_id", "input_rows", "dlq", "rows_written", "failures_exhausted", "retries_before_success", "retried_writes", "failure_reasons"
+    )
+    return rows.withColumn("failure_reasons", retry.reasons_text(F.col("failure_reasons")))
+
+
+@query
+def stream_delivery_dlq(spark, sf_dir):
+    """What that stream could not deliver, as its quarantine holds it."""
+    job = runs.delivery_run(spark, sf_dir).job
+    return quarantine.read_quarantine(spark, job.path("quarantine")).where(F.col("failure_stage") == parse.STAGE_SINK).select(
+        "batch_id", "event_id", "retry_count", "failure_reason", "source_partition", "source_offset"
+    )
+
+
+@query
+def stream_delivery_ledger(spark, sf_dir):
+    """The ledger of that stream by batch: every event has one outcome, though a batch ran twice."""
+    path = runs.delivery_run(spark, sf_dir).job.path("deliveries")
+    rows = spark.read.schema(retry.LEDGER_SCHEMA + ", batch_id bigint, try int").option("basePath", path).parquet(path)
+    first = F.when(F.col("attempts") == 2, F.col("backoff_ms"))
+    return rows.groupBy("batch_id").agg(
+        F.count("*").alias("outcomes"), F.count_distinct("event_id").alias("events"), F.count_if("succeeded").alias("succeeded"),
+        F.sum("attempts").alias("attempts"), F.max("try").alias("last_try"),
+        # Waits before the second attempt: 2 ms with a tenth of jitter.
+        (F.coalesce(F.min(first), F.lit(2.0)) >= 1.8).alias("waits_not_below"),
+        (F.coalesce(F.max(first), F.lit(2.0)) <= 2.2).alias("waits_not_above"),
+        F.coalesce(F.bool_or(first != 2.0), F.lit(True)).alias("jittered"),
+    )
+
+
+@query
+def stream_lag(spark, sf_dir):
+    """Slices that had landed and were not taken after each batch, as sampled while the stream ran."""
+    slices = lambda name: (F.col(name) / runs.SLICE_FILES).cast("bigint").alias(name.replace("files", "slices"))
+    return runs.delivery_run(spark, sf_dir).job.lag().select("batch_id", *map(slices, ("files_landed", "files_taken", "files_behind")))
+
+
 @query
 def stream_dedup(spark, sf_dir):
     run, root = runs.ingest_run(spark, sf_dir), new_folder(spark, "dedup")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.operators import parse, quarantine, retry
+from tallyport.operators.compaction import read_live
 from tallyport.plans import star
+from tallyport.plans.flow import LOADED, RollupDrift, RollupFlow
+from tallyport.plans.rollup import write_load
 from tallyport.session import configure, new_folder
 from tallyport.sources import adapters
 from tallyport.sources.raw_log import publish_files, read_raw_stream
@@ -76,13 +81,14 @@ class IngestRun:
 
 def ingest_run(spark: SparkSession, sf_dir: str) -> IngestRun:
     """The stream over the whole log: each slice lands, is processed as one batch, and
-    the query stops; the next slice resumes from the checkpoint. One batch is run a
-    second time on the way, as after a crash before its commit."""
+    the query stops; the next slice resumes from the checkpoint. The serving tables are
+    compacted between batches. One batch is run a second time on the way, as after a crash
+    before its commit, when its first writes have been merged already."""
 
     def run() -> IngestRun:
         root = new_folder(spark, "ingest")
         log = f"{root}/raw_log"
-        job = IngestJob(spark, root, run_id="registered", sample_rate=1.0)
+        job = IngestJob(spark, root, run_id="registered", sample_rate=1.0, compact_every=2, fan_in=2)
         batches = slices(spark, sf_dir)
         for batch_id, n in enumerate(batches):
             slice_rows = adapters.raw_events(spark, sf_dir, n)
@@ -95,6 +101,79 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> IngestRun:
     return _once(spark, sf_dir, "ingest", run)
 
 
+# Files that a slice of the log lands in, and that a batch of the bounded stream takes.
+SLICE_FILES = 4
+
+
+def delivery_run(spark: SparkSession, sf_dir: str) -> IngestRun:
+    """A stream that takes a slice's files a batch from a log that has landed whole, and
+    delivers to an external store that fails. One batch is run a second time."""
+
+    def run() -> IngestRun:
+        root = new_folder(spark, "delivery")
+        job = IngestJob(
+            spark, root, run_id="delivery", tables=["trips_by_id"], sample_rate=0.25, log=f"{root}/raw_log",
+            external_write=adapters.UnsteadyStore(), retry_policy=retry.RetryPolicy(schedule_ms=(2, 4, 8)),
+        )
+        batches = slices(spark, sf_dir)
+        for n in batches:
+            publish_files(adapters.raw_events(spark, sf_dir, n).repartition(SLICE_FILES), job.log)
+        job.run_available(read_raw_stream(spark, job.log, max_files=SLICE_FILES))
+        if batches:
+            job.process(adapters.raw_events(spark, sf_dir, batches[-1]).drop("batch_no"), len(batches) - 1)
+        return IngestRun(job, job.log, len(batches))
+
+    return _once(spark, sf_dir, "delivery", run)
+
+
+BACKFILL_WIDTH = timedelta(days=14)
+
+
+def stored_days(spark: SparkSession, sf_dir: str) -> tuple[datetime, datetime]:
+    """The whole days of the stored city-hour table, from its folders."""
+    days = read_live(spark, ingest_run(spark, sf_dir).job.path("trips_by_city_hour")).agg(
+        F.min("event_date").cast("timestamp_ntz").alias("first"), (F.max("event_date") + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz").alias("end")
+    ).first()
+    return days["first"], days["end"]
+
+
+def backfill_windows(spark: SparkSession, sf_dir: str) -> list[tuple[datetime, datetime]]:
+    """The stored days in windows of two weeks, and the empty day after them."""
+    first, last = stored_days(spark, sf_dir)
+    starts = [first + n * BACKFILL_WIDTH for n in range(-(-(last - first) // BACKFILL_WIDTH))]
+    return [*((s, min(s + BACKFILL_WIDTH, last)) for s in starts), (last, last + timedelta(days=1))]
+
+
+def rollup_run(spark: SparkSession, sf_dir: str) -> RollupFlow:
+    """Loads of all windows from the stream's table into an empty stage.
+
+    The flow of the first window dies after its load and is run again. The writer of the
+    second loses the trips paid in cash, which its verification finds; it too is run again.
+    """
+
+    def run() -> RollupFlow:
+        root, serving = new_folder(spark, "rollup"), ingest_run(spark, sf_dir).job.root
+
+        def die(name: str) -> None:
+            if name == LOADED:
+                raise InterruptedError("lost its driver")
+
+        def lossy(rows: DataFrame, path: str, load_id: int) -> None:
+            write_load(rows.where("payment_type <> 'cash'"), path, load_id)
+
+        sound = RollupFlow(spark, serving, root)
+        faulty = {0: RollupFlow(spark, serving, root, after=die), 1: RollupFlow(spark, serving, root, write=lossy)}
+        for n, (start, end) in enumerate(backfill_windows(spark, sf_dir)):
+            loaded_at = F.lit(str(end)).cast("timestamp")
+            if n in faulty:
+                with suppress(InterruptedError, RollupDrift):
+                    faulty[n].run(f"run-{n}", start, end, loaded_at)
+            sound.run(f"run-{n}", start, end, loaded_at)
+        return sound
+
+    return _once(spark, sf_dir, "rollup", run)
+
+
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw log as its producer left it: a table that is written once."""
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -253,3 +254,34 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         "event_type",
     )
+
+
+class UnsteadyStore:
+    """Write function of a store with passing, lasting and raised failures, by event number.
+
+    The first write of every batch raises. After that some events are refused for ever,
+    some time out every time, and some get through at the fourth attempt.
+    """
+
+    # What befalls an event whose number leaves this remainder; the first match wins.
+    REFUSED, TIMES_OUT, BUSY = (41, 5), (43, 6), (47, 7)
+
+    def __init__(self):
+        self.calls: dict[str, int] = {}
+
+    def __call__(self, batch: pd.DataFrame) -> list[str | None]:
+        ids = list(batch["event_id"])
+        new = any(i not in self.calls for i in ids)
+        for i in ids:
+            self.calls[i] = self.calls.get(i, 0) + 1
+        if new:
+            raise ConnectionError("reset by peer")
+        return [self.error(int(i[-12:], 16), self.calls[i]) for i in ids]
+
+    def error(self, number: int, call: int) -> str | None:
+        hit = lambda rule: number % rule[0] == rule[1]
+        if hit(self.REFUSED):
+            return "!InvalidRequest: refused"
+        if hit(self.TIMES_OUT):
+            return "WriteTimeout: slow"
+        return "Unavailable: busy" if hit(self.BUSY) and call < 4 else None

@@ -31,7 +31,7 @@ def read_kafka_stream(
 ) -> DataFrame:
     """Stream the log from Kafka (needs the connector package on the classpath).
 
-    failOnDataLoss stays on: lost offsets must stop the job, not be skipped.
+    A range of offsets that the broker no longer has ends the query with an error.
     """
     loaded = (
         spark.readStream.format("kafka")

@@ -14,7 +14,7 @@ from datetime import datetime, timedelta, timezone
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -22,9 +22,11 @@ from pyspark.storagelevel import StorageLevel
 
 from tallyport.functions.timing import earlier_by
 from tallyport.operators import latency, parse, quarantine, retry
-from tallyport.operators.fanout import fanout, write_serving
+from tallyport.operators.compaction import FAN_IN
+from tallyport.operators.fanout import compact_serving, fanout, write_serving
 from tallyport.operators.telemetry import read_reports
 from tallyport.session import together
+from tallyport.sources.files import Storage
 from tallyport.sources.schemas import BATCH_REPORT_SCHEMA, SERVING_TABLES
 
 
@@ -38,7 +40,12 @@ class IngestJob:
     late_policy: str = "dlq"
     sample_rate: float = 0.05
     external_write: retry.WriteFn | None = None
+    # Folder of a file-backed log; with it, how far the stream is behind is sampled after each batch.
+    log: str | None = None
     retry_policy: retry.RetryPolicy = retry.RetryPolicy()
+    # Batches between two compactions of the serving tables, 0 for none here: another job may do them.
+    compact_every: int = 0
+    fan_in: int = FAN_IN
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -64,21 +71,23 @@ class IngestJob:
 
         What changes from batch to batch (cutoff, clock) is applied above the persisted
         rows. The costly part below keeps the same plan, so its generated code is
-        compiled once and stays warm.
+        compiled once and stays warm. Nothing is counted for its own sake: the counters
+        of the report are observed while the batch is written.
         """
         started = time.time()
         before = self.high_water(batch_id - 1)
         validated = parse.validate(parse.parse(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         cutoff = earlier_by(F.lit(before).cast("timestamp"), self.watermark)
-        now = F.lit(int(started * 1000)).cast("bigint")
-        classified = parse.assign_route(validated, cutoff, self.late_policy).withColumn("written_at_ms", now)
+        classified = parse.assign_route(validated, cutoff, self.late_policy)
         try:
-            counts = classified.agg(*self._counters()).first()
-            if counts["input_rows"]:
-                self._write(classified, batch_id, now)
+            counts = self._write(classified, batch_id, started)
             self._report(batch_id, counts, before, started)
         finally:
             validated.unpersist()
+        if self.log:
+            self._sample_lag(batch_id)
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            compact_serving(self.spark, self.root, self.tables, self.fan_in)
 
     def high_water(self, batch_id: int) -> datetime | None:
         """Greatest event time up to a batch, None before the first."""
@@ -110,11 +119,6 @@ class IngestJob:
     def _counters(self) -> list:
         route = F.col("route")
         timely = ~route.isin(parse.UNPARSEABLE, parse.LATE, parse.DROPPED)
-        waited = F.when(
-            (route == parse.OK) & latency.sampled(F.col("event_id"), F.lit(self.run_id), self.sample_rate),
-            F.col("written_at_ms") - F.col("produced_at_ms"),
-        )
-        waited = F.when(waited >= 0, waited)
         return [
             F.count(F.lit(1)).alias("input_rows"),
             F.count_if(route == parse.UNPARSEABLE).alias("unparseable"),
@@ -123,36 +127,71 @@ class IngestJob:
             F.count_if(F.col("failure_stage").isNotNull()).alias("dlq"),
             F.count_if(route == parse.OK).alias("ok"),
             F.unix_micros(F.max(F.when(timely, F.col("event_time")))).alias("high_us"),
-            F.coalesce(F.sum(waited), F.lit(0)).alias("latency_sum_ms"),
-            F.count(waited).alias("latency_count"),
-            F.coalesce(F.max(waited), F.lit(0)).alias("latency_max_ms"),
         ]
 
-    def _write(self, classified: DataFrame, batch_id: int, now: Column) -> None:
-        """Submit the writes side by side: a batch takes as long as its longest write."""
-        sound = classified.where(F.col("route") == parse.OK)
-        envelopes = quarantine.from_classified(classified, now)
+    def _write(self, classified: DataFrame, batch_id: int, started: float) -> dict:
+        """All writes of a batch; returns its counters.
+
+        The quarantine comes first. It meets every row of the batch, so it fills the
+        persisted rows and is where the batch is counted. The other writes follow side by
+        side and take as long as the longest; the time written is taken before they begin.
+        """
+        sound, seen = classified.where(F.col("route") == parse.OK), Observation()
+        now = F.lit(int(started * 1000)).cast("bigint")
+        envelopes = quarantine.from_classified(classified.observe(seen, *self._counters()), now)
         if self.external_write:
             envelopes = envelopes.unionByName(self._deliver(sound, batch_id, now))
-        writes = [partial(quarantine.append_quarantine, envelopes, self.path("quarantine"), batch_id)]
-        for name, rows in fanout(sound, now, self.tables, latest=False).items():
-            writes.append(partial(write_serving, {name: rows}, self.root, batch_id))
+        quarantine.append_quarantine(envelopes, self.path("quarantine"), batch_id)
+        counts = {**seen.get, "latency_sum_ms": 0, "latency_count": 0, "latency_max_ms": 0}
+        if not counts["input_rows"]:
+            return counts
+        writing = F.lit(int(time.time() * 1000)).cast("bigint")
+        writes = [
+            partial(write_serving, {name: rows}, self.root, batch_id)
+            for name, rows in fanout(sound, writing, self.tables, latest=False).items()
+        ]
+        waited = Observation()
         if self.sample_rate > 0:
             samples = latency.latency_samples(
-                sound, F.lit(self.run_id), F.lit(batch_id).cast("bigint"), self.sample_rate
+                sound.withColumn("written_at_ms", writing), F.lit(self.run_id), F.lit(batch_id).cast("bigint"), self.sample_rate
+            ).observe(
+                waited, F.coalesce(F.sum("latency_ms"), F.lit(0)).alias("latency_sum_ms"),
+                F.count("latency_ms").alias("latency_count"), F.coalesce(F.max("latency_ms"), F.lit(0)).alias("latency_max_ms"),
             )
             writes.append(partial(latency.write_samples, samples, self.path("latency_samples"), batch_id))
         together(self.spark, writes)
+        return {**counts, **(waited.get if self.sample_rate > 0 else {})}
 
     def _deliver(self, sound: DataFrame, batch_id: int, now: Column) -> DataFrame:
-        """Write to the external store; outcomes are stored before they are used, so
-        nothing that reads them can cause a second delivery."""
-        path = f"{self.path('deliveries')}/batch_id={batch_id}"
-        retry.deliver(parse.dedup(sound), self.external_write, self.retry_policy).write.mode("overwrite").parquet(path)
-        failed = self.spark.read.parquet(path).where(~F.col("succeeded")).withColumn("table", F.lit("external"))
-        return quarantine.from_sink(parse.dedup(sound), failed, now)
-
-    def _report(self, batch_id: int, counts: Row, before: datetime | None, started: float) -> None:
+        """Write to the external store, each event once; returns what failed as envelopes."""
+        events = parse.dedup(sound)
+        outcomes = retry.deliver_once(events, self.external_write, self.retry_policy, f"{self.path('deliveries')}/batch_id={batch_id}")
+        failed = outcomes.where(~F.col("succeeded")).withColumn("table", F.lit("external"))
+        return quarantine.from_sink(events, failed, now)
+
+    def _sample_lag(self, batch_id: int) -> None:
+        """Files that have landed in the log less those the stream has taken, after a batch.
+
+        The source writes down the files of a batch before it is run.
+        """
+        files = F.from_json("value", "path string, batchId bigint")
+        taken = self.spark.read.text(f"{self.path('checkpoint')}/sources/0").select(files.alias("f")).where(
+            F.col("f.batchId") <= batch_id
+        )
+        landed = len(Storage(self.spark, self.log).matching("*.parquet"))
+        taken.agg(
+            F.current_timestamp().alias("at"), F.lit(landed).cast("bigint").alias("files_landed"),
+            F.count_distinct("f.path").alias("files_taken"),
+        ).withColumn("files_behind", F.col("files_landed") - F.col("files_taken")).write.mode("overwrite").json(
+            f"{self.path('lag')}/batch_id={batch_id}"
+        )
+
+    def lag(self) -> DataFrame:
+        """How far the stream was behind after each batch."""
+        schema = "at timestamp, files_landed bigint, files_taken bigint, files_behind bigint, batch_id bigint"
+        return self.spark.read.schema(schema).option("basePath", self.path("lag")).json(self.path("lag"))
+
+    def _report(self, batch_id: int, counts: dict, before: datetime | None, started: float) -> None:
         """Append the batch report. Counters of one batch, one row."""
         marks = [m for m in (before, _moment(counts["high_us"])) if m is not None]
         ok = counts["ok"]
@@ -183,7 +222,7 @@ class IngestJob:
         )
 
     def _delivery_counts(self, batch_id: int) -> dict:
-        done = self.spark.read.parquet(f"{self.path('deliveries')}/batch_id={batch_id}")
+        done = retry.read_ledger(self.spark, f"{self.path('deliveries')}/batch_id={batch_id}")
         won = F.col("succeeded")
         c = done.agg(
             F.coalesce(F.sum(F.when(won, F.col("attempts") - 1)), F.lit(0)).alias("retries"),

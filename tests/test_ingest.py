@@ -277,19 +277,6 @@ def test_upsert_partitions_touches_only_its_partitions(spark, folder):
         assert got == {(1, "a", 0), (2, "a", 1), (3, "b", 0), (4, "c", 0), (5, "c", 1)}
 
 
-def test_compaction_keeps_the_latest_rows(spark, folder):
-    job, raw = IngestJob(spark, folder), f"{folder}/raw"
-    for n in range(3):
-        land(job, raw, [event(1, fare_amount=float(n)), event(10 + n)], 2 * n)
-    layout = fanout.LAYOUT["trips_by_id"]
-    upsert.compact(
-        spark, job.path("trips_by_id"), ["trip_id"], fanout.WRITE_ORDER, f"{folder}/compacted/trips_by_id", *layout
-    )
-    old = fanout.read_serving(spark, folder, "trips_by_id")
-    new = fanout.read_serving(spark, f"{folder}/compacted", "trips_by_id")
-    assert new.count() == 4 and old.exceptAll(new).count() == 0
-
-
 def test_keyed_reads(spark, folder):
     land(IngestJob(spark, folder), f"{folder}/raw", [event(n, at=NOON + timedelta(minutes=40 * n)) for n in range(6)], 0)
     found = fanout.trip_lookup(spark, folder, spark.createDataFrame([(uid(1002),)], "trip_id string"))

@@ -1,5 +1,9 @@
 """Retry outcomes, accounting and delivery with golden values."""
 
+import time
+from collections import Counter
+from pathlib import Path
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -111,3 +115,33 @@ def test_exceptions_are_outcomes(spark, error, attempts):
     for row in retry.deliver(events, write, policy, sleep=lambda s: None).collect():
         assert (row["attempts"], row["succeeded"]) == (attempts, False)
         assert row["last_error"] == f"{type(error).__name__}: {error}"
+
+
+def test_a_crash_delivers_only_what_has_no_outcome(spark, folder):
+    """The job dies in one task; the tasks that had committed are not delivered again."""
+    events = spark.range(40).select(F.col("id").cast("string").alias("event_id")).repartitionByRange(4, F.col("event_id").cast("int"))
+    calls = f"{folder}/calls"
+
+    def store(fails):
+        def write(batch):
+            with open(calls, "a") as told:
+                told.writelines(f"{i}\n" for i in batch["event_id"])
+            if fails and "39" in set(batch["event_id"]):
+                time.sleep(2)  # the other tasks commit meanwhile
+                raise KeyboardInterrupt
+            return [None] * len(batch)
+
+        return write
+
+    Path(folder).mkdir(parents=True)
+    policy = retry.RetryPolicy(schedule_ms=(), jitter_ratio=0)
+    with pytest.raises(Exception, match="KeyboardInterrupt"):
+        retry.deliver_once(events, store(True), policy, f"{folder}/ledger")
+    held = {r["event_id"] for r in retry.read_ledger(spark, f"{folder}/ledger").collect()}
+    assert held and "39" not in held
+    done = retry.deliver_once(events, store(False), policy, f"{folder}/ledger").collect()
+    assert sorted(int(r["event_id"]) for r in done) == list(range(40)) and {r["try"] for r in done} == {0, 1}
+    told = Counter(Path(calls).read_text().split())
+    assert all(told[i] == 1 for i in held) and all(told[str(i)] == 2 for i in range(40) if str(i) not in held)
+    again = retry.deliver_once(events, store(True), policy, f"{folder}/ledger")
+    assert again.count() == 40 and Counter(Path(calls).read_text().split()) == told
