@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -87,6 +88,66 @@ def test_conversations(spark, sf_dir):
         assert r.json == T.canonical(made)
 
 
+def brute_levels(refs):
+    """Longest path of every call, None on or after a cycle; refs: call -> calls of its conversation."""
+    known, level = {c: [r for r in rs if r in refs] for c, rs in refs.items()}, {}
+    while True:
+        ready = [c for c in known if c not in level and all(r in level for r in known[c])]
+        if not ready:
+            return {c: level.get(c) for c in refs}
+        level.update({c: max((level[r] + 1 for r in known[c]), default=0) for c in ready})
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_levels_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    graphs = {}
+    for conv in range(12):
+        n = 300 if conv == 0 else rng.randrange(1, 25)  # one conversation holds a large part of all rows
+        back = lambda i: [f"c{rng.randrange(max(0, i - 9), i)}" for _ in range(rng.randrange(4))] if i else []
+        graphs[conv] = {f"c{i}": back(i) + ["gone"] * (rng.random() < 0.05) for i in range(n)}
+        if conv % 3 == 1:  # references forward and in circles
+            for _ in range(3):
+                graphs[conv][f"c{rng.randrange(n)}"].append(f"c{rng.randrange(n)}")
+    rows = [(conv, c, rng.randrange(9) if conv % 2 else int(c[1:]), "g", ref(*rs)) for conv, g in graphs.items() for c, rs in g.items()]
+    got = {k: r.level for k, r in linked(spark, rows, []).items()}
+    assert got == {(conv, c): level for conv, g in graphs.items() for c, level in brute_levels(g).items()}
+    assert max(filter(None, got.values())) > 15
+
+
+def test_many_calls_refer_to_one(spark):
+    """A hot target, a long chain and references to the two calls before: rounds stay few."""
+    calls = [(1, f"c{i}", i, "g", ref(*(f"c{j}" for j in (i - 2, i - 1, 0) if 0 <= j < i))) for i in range(200)]
+    got = linked(spark, calls, [])
+    assert [got[1, f"c{i}"].level for i in range(200)] == list(range(200))
+
+
+def test_arguments_of_any_depth_and_odd_numbers(spark):
+    deep = '{"in":' * 5000 + '[{"$ref":"a"}]' + "}" * 5000
+    lists = '{"x":' + "[" * 5000 + "]" * 5000 + "}"
+    calls = [(1, "a", 1, "g", deep), (1, "b", 2, "g", lists), (1, "c", 3, "g", '{"x":' * 200_000), (1, "d", 4, "g", '{"x":' * 200_000 + "1" + "}" * 200_000)]
+    calls += [(1, f"n{i}", 5, "g", f'{{"x":{n}}}') for i, n in enumerate(("NaN", "Infinity", "-Infinity", "1e999", "1" * 5000))]
+    calls += [(1, "half", 6, "g", '{"x":"\\ud800","\\udfff":1,"in":{"$ref":"\\ud83d"}}')]
+    got = {k[1]: r for k, r in linked(spark, calls, []).items()}
+    assert got["a"].arguments == deep and got["a"].errors == ["refers in a cycle"]
+    assert got["b"].arguments == lists and got["b"].errors == []
+    assert {got["c"].errors[0], got["d"].errors[0]} <= {"arguments: no JSON", "arguments: nested too deep"}
+    for i in range(5):
+        assert (got[f"n{i}"].arguments, got[f"n{i}"].errors) == ("{}", ["arguments: no JSON"])
+    assert json.loads(got["half"].arguments) == {"x": "\ud800", "\udfff": 1, "in": {"$ref": "\ud83d"}}
+    assert got["half"].errors == ["refers to no call: \\ud83d"]
+
+
+def test_lone_calls_and_true_is_not_one(spark):
+    calls = [(None, "a", 1, "g", ref("b")), (5, None, 1, "g", ref("p", "q")), (5, None, 1, "g", ref("p")), (5, "p", 1, "g", "{}")]
+    rows = T.link(spark.createDataFrame(calls, CALLS), spark.createDataFrame([], RESULTS), TOOLS).collect()
+    assert sorted((str(r.call_id), r.level, r.errors) for r in rows) == [
+        ("None", 0, []), ("None", 0, ["refers to no call: q"]), ("a", 0, ["refers to no call: b"]), ("p", 0, []),
+    ]
+    schema = {"enum": [1, "1", [1.0]]}
+    assert [T.objections(v, schema) == [] for v in (1, 1.0, "1", [1], True, [True], None)] == [True] * 4 + [False] * 3
+
+
 PAGE = (
     '<html lang="de"><head><title>A &amp; B</title><style>p{}</style></head><body><!-- no --><p>One <b>two</b></p>'
     "<script>var x='<p>';</script><p>drei&nbsp;vier<br>5 &lt; 6</p><a href='/x?a=1&amp;b=2'>l</a><a href=/x?a=1&b=2>m</a></body></html>"
