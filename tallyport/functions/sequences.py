@@ -249,6 +249,29 @@ def counter_rate(df: DataFrame, by: list[str], ts: str, value: str, tie: str, se
     )
 
 
+def vector_increase(df: DataFrame, by: list[str], ts: str, vector: str, size: int, tie: str, seconds: int) -> DataFrame:
+    """Adds `increase`: what each of `size` counters in an array grew by over the last `seconds`.
+
+    As `counter_rate`, for the buckets of a histogram at once: a bucket that drops has
+    restarted, and samples without counters are stepped over.
+    """
+    order = [ts, tie]
+    known = in_series_ranges(df.where(F.col(vector).isNotNull()), by, order)
+    stepped = with_previous(known, by, order, [vector], "_prev").drop("_bucket")
+    step = F.zip_with(
+        F.col(f"_prev.{vector}"), F.col(vector), lambda before, now: F.when(now >= before, now - before).otherwise(now)
+    )
+    none = F.array(*[F.lit(0).cast("bigint")] * size)
+    stepped = stepped.withColumn("_steps", F.coalesce(step.cast("array<bigint>"), none)).drop("_prev")
+    each = [F.col("_steps")[i] for i in range(size)]
+    first = F.struct(F.col("_micros"), F.col(tie).alias("_tie"), F.col("_steps"))
+    parts = {**{f"s{i}": (F.sum, c, c) for i, c in enumerate(each)}, "first": (F.min, first, first)}
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    began = F.coalesce("_tail_first", "_head_first")["_steps"]
+    grown = F.array(*[zero(f"_head_s{i}") + zero(f"_tail_s{i}") - began[i] for i in range(size)])
+    return _with_frames(stepped, by, ts, seconds, parts).withColumn("increase", grown).drop("_steps", *_frame_columns(parts))
+
+
 def held_intervals(
     df: DataFrame, by: list[str], ts: str, tie: str, condition: Column, hold_seconds: int
 ) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyport.operators.parse import (
     OK, STAGE_LATE, STAGE_PARSE, STAGE_PRODUCER, STAGE_SINK, UNPARSEABLE, UNPARSEABLE_REASON, parse, validate,
@@ -126,10 +128,19 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENVELOPE_SCHEMA + ", batch_id bigint").option("basePath", path).parquet(path)
 
 
+def as_messages(envelopes: DataFrame, topic: str) -> DataFrame:
+    """Envelopes as JSON messages of a quarantine log, keyed by event."""
+    return envelopes.select(
+        F.coalesce("event_id", F.sha2("original_payload", 256)).alias("key"),
+        F.to_json(F.struct(*StructType.fromDDL(ENVELOPE_SCHEMA).fieldNames())).alias("value"),
+        F.lit(topic).alias("topic"), F.lit(0).alias("replay_count"),
+    )
+
+
 def read_envelope_messages(messages: DataFrame) -> DataFrame:
     """Envelopes from a JSON log of them: unknown fields are dropped, missing ones default.
 
-    A message that is not an envelope is kept under a stage of its own.
+    A message that is not an envelope is kept whole, under a stage of its own.
     """
     e = F.from_json("value", ENVELOPE_SCHEMA)
     rows = messages.withColumn("_e", e)
@@ -151,8 +162,8 @@ def read_envelope_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def inspect(quarantine: DataFrame) -> DataFrame:
-    """One row of totals: records, distinct events, retries, and what a drain would do."""
+def inspect(quarantine: DataFrame, *more: Column) -> DataFrame:
+    """One row of totals: records, distinct events, retries, what a drain would do, and what else is asked for."""
     has_id = F.coalesce(F.col("event_id"), F.lit("")) != ""
     stage = F.col("failure_stage")
     return quarantine.agg(
@@ -165,6 +176,7 @@ def inspect(quarantine: DataFrame) -> DataFrame:
         F.count_if(stage.isin(REINJECT_STAGES)).alias("would_reinject"),
         F.count_if(stage.isin(DIRECT_STAGES)).alias("would_direct_write"),
         F.count_if(stage == STAGE_PARSE).alias("would_park"),
+        *more,
     )
 
 
@@ -175,8 +187,23 @@ def by_reason(quarantine: DataFrame) -> DataFrame:
 
 
 def sample(quarantine: DataFrame, rows: int = 3) -> DataFrame:
-    """A few records to look at."""
-    return quarantine.limit(rows)
+    """The few records that failed first, to look at."""
+    return quarantine.orderBy("first_failed_at_ms", "failure_stage", "event_id", "source_offset").limit(rows)
+
+
+def within_budget(quarantine: DataFrame, budget: int, parts: int = 64) -> DataFrame:
+    """About `budget` records, the oldest of each of `parts` shares of the identities.
+
+    Every share is cut for itself, before it is shuffled, so no task orders all records. A
+    drain of these and one of the rest are together one drain of all.
+    """
+    share = F.pmod(F.xxhash64("_identity"), F.lit(parts))
+    oldest = W.partitionBy("_share").orderBy("first_failed_at_ms", "_identity")
+    return (
+        quarantine.withColumn("_identity", identity()).withColumn("_share", share)
+        .withColumn("_place", F.row_number().over(oldest)).where(F.col("_place") <= -(-budget // parts))
+        .drop("_identity", "_share", "_place")
+    )
 
 
 def pending(quarantine: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -295,11 +322,12 @@ OUTCOMES = ["reinjected", "reinject_failed", "direct_written", "direct_write_fai
 
 
 def drain_totals(settled: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """What a drain read against what it accounted for; failed records are parked, but count as open."""
+    """What a drain read against where it went: back, into the tables or parked, by decision or as it failed."""
     counts = [F.count_if(F.col("outcome") == name).alias(name) for name in OUTCOMES]
     totals = settled.groupBy(*by or []).agg(F.count(F.lit(1)).alias("records_read"), *counts)
-    done = F.col("reinjected") + F.col("direct_written") + F.col("parked")
-    return totals.withColumn("accounted_for", done).withColumn("unaccounted", F.col("records_read") - done)
+    failed = F.col("reinject_failed") + F.col("direct_write_failed")
+    done = F.col("reinjected") + F.col("direct_written") + F.col("parked") + failed
+    return totals.withColumns({"failed": failed, "accounted_for": done, "unaccounted": F.col("records_read") - done})
 
 
 def breaker_alert(quarantine: DataFrame, ceiling: int) -> DataFrame:

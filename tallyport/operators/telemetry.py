@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyport.functions.quantiles import exact_quantiles
 from tallyport.functions.ranges import join_same
-from tallyport.functions.sequences import counter_rate, held_intervals, trailing_slope
+from tallyport.functions.sequences import counter_rate, held_intervals, trailing_slope, vector_increase
 from tallyport.functions.timing import time_bucket
 from tallyport.operators.retry import merge_counters
 from tallyport.session import small_side
@@ -222,6 +222,14 @@ def counter_rules(
     }
 
 
+def sliding_quantiles(
+    counters: DataFrame, by: list[str], cumulative: str, bounds: list[float], window_seconds: int, quantiles: dict[str, float]
+) -> DataFrame:
+    """Quantiles at each sample of a histogram's counters, of what came in over the last `window_seconds`."""
+    grown = vector_increase(counters, by, "ts", cumulative, len(bounds) + 1, "event_id", window_seconds)
+    return grown.withColumns({name: histogram_quantile(q, F.col("increase"), bounds) for name, q in quantiles.items()})
+
+
 def duration_p95(samples: DataFrame, by: list[str], value: str, window_seconds: int) -> DataFrame:
     """p95 of durations per window of `window_seconds`, as a series."""
     bucket = time_bucket(F.col("ts"), window_seconds)

@@ -46,7 +46,7 @@ def next_messages(messages: DataFrame, log: DataFrame, partitions: int) -> DataF
     ends = end_offsets(log).select("topic", "partition", "end_offset")
     placed = numbered(keyed, ["partition", "key", "value"], "_n", first=0)
     return (
-        placed.join(F.broadcast(ends), ["topic", "partition"], "left")
+        placed.join(ends, ["topic", "partition"], "left")
         .withColumn("offset", F.coalesce("end_offset", F.lit(0)) + F.col("_n"))
         .withColumn("timestamp", F.current_timestamp())
         .select(*RAW_COLUMNS)
@@ -65,15 +65,19 @@ def drain(
     max_replays: int = q.MAX_REPLAYS,
     breaker: int | None = None,
     dry_run: bool = False,
+    budget: int | None = None,
 ) -> DataFrame:
     """One drain over the records no earlier drain has handled; returns its totals.
 
-    With `breaker`, raises when there are more pending records than that. What was
+    With `breaker`, raises when there are more pending records than that. With `budget`,
+    takes about so many and leaves the rest to the next drain. What was
     decided is stored below `root` first, so all writes and the totals follow from the
     same rows; the ledger is written last. Direct writes have folders of their own and
     are ordered against the stream by ingest time.
     """
     todo = q.pending(envelopes, read_ledger(spark, f"{root}/ledger"))
+    if budget is not None:
+        todo = q.within_budget(todo, budget)
     decided = f"{root}/decided/drain_id={drain_id}"
     q.settle(q.route(todo, max_replays)).write.mode("overwrite").parquet(decided)
     settled = spark.read.parquet(decided)

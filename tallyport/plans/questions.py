@@ -2,9 +2,10 @@
 
 Every pair returns the same rows. Windows are half open and in UTC. A window of the
 star is a range of date keys on the fact itself, so that the scan skips row groups;
-dim_date is joined where its attributes are asked for. Where a key has one attribute value
-and no other key has it, the groups are joined and not the facts. Spark broadcasts a dimension
-because its files are small, and would shuffle one that is not.
+dim_date is joined where its attributes are asked for. Facts are added up by their keys first
+and the groups joined, so a dimension meets as many rows as it has keys, not as many as there
+are facts. Spark broadcasts a dimension because its files are small, and would shuffle one
+that is not.
 """
 
 from __future__ import annotations
@@ -38,6 +39,26 @@ def completed(wide: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
+def by_keys(facts: DataFrame, *keys: Column | str) -> DataFrame:
+    """Facts added up by their keys: what all answers are made of, but for distinct counts."""
+    return facts.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_trips"), F.sum("fare_amount").alias("_fares"), F.count("fare_amount").alias("_fared"),
+        F.sum("distance_km").alias("_km"), F.count("distance_km").alias("_measured"), F.count_if("is_surged").alias("_surged"),
+    )
+
+
+def summed_trips() -> Column:
+    return F.sum("_trips").alias("trips")
+
+
+def summed_revenue() -> Column:
+    return F.round(F.sum("_fares"), 2).cast("double").alias("revenue")
+
+
+def summed_mean(total: str, count: str, digits: int) -> Column:
+    return F.round(F.sum(total).cast("double") / F.sum(count), digits)
+
+
 def _key(day: str) -> int:
     return int(day.replace("-", ""))
 
@@ -59,10 +80,10 @@ def q1_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
 
 def q1_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
     return (
-        completed_facts(fact, start, end)
+        by_keys(completed_facts(fact, start, end), "city_key", "date_key")
         .join(dims["dim_city"], "city_key")
         .groupBy("region", "date_key")
-        .agg(trip_count(), revenue())
+        .agg(summed_trips(), summed_revenue())
         .join(dims["dim_date"], "date_key")
         .select("region", F.col("full_date").alias("day"), "trips", "revenue")
         .orderBy("region", "day")
@@ -104,11 +125,11 @@ def q3_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
 
 def q3_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
     return (
-        completed_facts(fact, start, end)
+        by_keys(completed_facts(fact, start, end), "vehicle_key", "date_key")
         .join(dims["dim_vehicle"], "vehicle_key")
         .join(dims["dim_date"], "date_key")
         .groupBy("vehicle_class", "is_weekend")
-        .agg(trip_count(), revenue(), mean("fare_amount", 2).alias("avg_fare"))
+        .agg(summed_trips(), summed_revenue(), summed_mean("_fares", "_fared", 2).alias("avg_fare"))
         .orderBy("vehicle_class", "is_weekend")
     )
 
@@ -125,10 +146,10 @@ def q4_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
 
 def q4_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
     return (
-        completed_facts(fact, start, end)
+        by_keys(completed_facts(fact, start, end), "city_key", "hour_of_day")
         .join(dims["dim_city"], "city_key")
         .groupBy("city_name", "hour_of_day")
-        .agg(trip_count(), mean("distance_km", 3).alias("avg_distance"), revenue())
+        .agg(summed_trips(), summed_mean("_km", "_measured", 3).alias("avg_distance"), summed_revenue())
         .orderBy("city_name", "hour_of_day")
     )
 
@@ -150,13 +171,13 @@ def q5_wide(wide: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def q5_star(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
-    surged = F.count_if(F.col("is_surged"))
+    surged = F.sum("_surged")
     return (
-        completed_facts(fact, start, end)
+        by_keys(completed_facts(fact, start, end), "city_key", "date_key")
         .join(dims["dim_city"], "city_key")
         .join(dims["dim_date"], "date_key")
         .groupBy("city_name", "iso_year", "iso_week")
-        .agg(trip_count(), surged.alias("surged_trips"), _share(surged, F.count(F.lit(1))), revenue())
+        .agg(summed_trips(), surged.alias("surged_trips"), _share(surged, F.sum("_trips")), summed_revenue())
         .orderBy("city_name", "iso_year", "iso_week")
     )
 

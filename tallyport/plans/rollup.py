@@ -19,6 +19,10 @@ STAGE_COLUMNS = [
 UPDATED = ["event_time", "fare_amount", "status"]
 MAX_BACKFILL_HOURS = 336
 LOAD_SLA_MINUTES = 20
+# Buckets of a sketch of distinct drivers, as a power of two, and the relative error it is
+# used with: three times its standard error of 1.6 %.
+SKETCH_LG_K = 12
+SKETCH_BOUND = 0.05
 
 HOUR = "INTERVAL 1 HOUR"
 
@@ -149,25 +153,36 @@ def freshness_violations(stage: DataFrame, sla_minutes: int = LOAD_SLA_MINUTES)
 def city_rollup(events: DataFrame, window: str, exact: bool = True) -> DataFrame:
     """Completed trips per city and tumbling event-time window; batch and stream alike.
 
-    A stream cannot count distinct drivers exactly and uses the sketch.
+    A stream cannot count distinct drivers exactly. Without `exact` the rollup keeps a
+    sketch of them and its estimate, and the sums that averages are made of, so windows
+    can be merged (`merge_windows`).
     """
-    drivers = F.count_distinct("driver_id") if exact else F.approx_count_distinct("driver_id")
-    return (
+    drivers = [F.count_distinct("driver_id").alias("active_drivers")]
+    if not exact:
+        drivers = [
+            F.hll_sketch_agg("driver_id", SKETCH_LG_K).alias("driver_sketch"),
+            F.sum("duration_sec").alias("duration_sum"), F.count("duration_sec").alias("durations"),
+        ]
+    rows = (
         events.where(F.col("status") == "completed")
         .groupBy(F.window("event_time", window).alias("_w"), "city_id")
         .agg(
             F.count(F.lit(1)).alias("trips"),
             F.sum("fare_amount").alias("revenue"),
             F.avg("duration_sec").alias("avg_duration_sec"),
-            drivers.alias("active_drivers"),
-        )
-        .select(
-            "city_id",
-            F.col("_w.start").alias("window_start"),
-            F.col("_w.end").alias("window_end"),
-            "trips",
-            "revenue",
-            "avg_duration_sec",
-            "active_drivers",
+            *drivers,
         )
     )
+    if not exact:
+        rows = rows.withColumn("active_drivers", F.hll_sketch_estimate("driver_sketch"))
+    kept = [c for c in rows.columns if c not in ("_w", "city_id")]
+    return rows.select("city_id", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *kept)
+
+
+def merge_windows(rollups: DataFrame, by: list[str]) -> DataFrame:
+    """Stored windows added up by other columns: a driver in several windows or cities counts once."""
+    return rollups.groupBy(*by).agg(
+        F.sum("trips").alias("trips"), F.sum("revenue").alias("revenue"),
+        (F.sum("duration_sum") / F.sum("durations")).alias("avg_duration_sec"),
+        F.hll_union_agg("driver_sketch").alias("driver_sketch"),
+    ).withColumn("active_drivers", F.hll_sketch_estimate("driver_sketch"))

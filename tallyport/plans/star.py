@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.functions.sequences import numbered
+from tallyport.operators.key_map import extend_keys
 from tallyport.session import new_folder, together
 from tallyport.sources.adapters import WIDE_COLUMNS
 
@@ -90,15 +91,10 @@ def dim_payment(trips: DataFrame, labels: Labels) -> DataFrame:
     )
 
 
-def driver_key(driver_id: Column) -> Column:
-    """The number inside a driver id ('d-000042' is 42): no lookup, no numbering."""
-    return F.split_part(driver_id, F.lit("-"), F.lit(2)).cast("bigint")
-
-
-def dim_driver(trips: DataFrame) -> DataFrame:
-    key = driver_key(F.col("driver_id"))
-    band = F.element_at(F.array(*map(F.lit, TENURE_BANDS)), (key % len(TENURE_BANDS) + 1).cast("int"))
-    return trips.select("driver_id").distinct().select(key.alias("driver_key"), "driver_id", band.alias("tenure_band"))
+def dim_driver(keys: DataFrame) -> DataFrame:
+    """Drivers by their lasting keys (key, driver_id); any text may be a driver's id."""
+    band = F.element_at(F.array(*map(F.lit, TENURE_BANDS)), (F.col("key") % len(TENURE_BANDS) + 1).cast("int"))
+    return keys.select(F.col("key").alias("driver_key"), "driver_id", band.alias("tenure_band"))
 
 
 def fact(trips: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -108,7 +104,7 @@ def fact(trips: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         .join(dims["dim_vehicle"].select("vehicle_class", "vehicle_key"), "vehicle_class", "left")
         .join(dims["dim_payment"].select("payment_type", "payment_key"), "payment_type", "left")
         .withColumn("date_key", date_key(F.col("event_time")))
-        .withColumn("driver_key", driver_key(F.col("driver_id")))
+        .join(dims["dim_driver"].select("driver_id", "driver_key"), "driver_id", "left")
         .withColumn("hour_of_day", F.hour("event_time"))
         .withColumn("is_completed", F.col("status") == "completed")
         .withColumn("is_surged", F.col("surge_multiplier") > 1.0)
@@ -189,7 +185,7 @@ def load(
     made = {
         "dim_date": dim_date(spark, start, end),
         "dim_city": dim_city(wide),
-        "dim_driver": dim_driver(wide),
+        "dim_driver": dim_driver(extend_keys(spark, f"{house.root}/driver_keys", wide, "driver_id")),
         "dim_vehicle": dim_vehicle(wide, labels),
         "dim_payment": dim_payment(wide, labels),
     }

@@ -202,14 +202,22 @@ ORACLE["dim_city"] = _with(DIMS, "SELECT *, city_name AS country FROM cities")
 ORACLE["dim_vehicle"] = _with(DIMS, """SELECT vehicle_key, vehicle_class,
     CASE WHEN vehicle_class IN ('1-URGENT', '2-HIGH') THEN 'premium' ELSE 'standard' END AS tier FROM vehicles""")
 ORACLE["dim_payment"] = _with(DIMS, "SELECT payment_key, payment_type, payment_type <> 'R' AS is_cashless FROM payments")
-ORACLE["dim_driver"] = _with(TRIPS, """SELECT DISTINCT CAST(driver_no AS BIGINT) AS driver_key, driver_id,
-    ['new', 'established', 'veteran'][CAST(driver_no % 3 + 1 AS INTEGER)] AS tenure_band FROM trips""")
-ORACLE["star_fact"] = _with(DIMS, """
-SELECT trip_id, CAST(strftime(event_time, '%Y%m%d') AS INTEGER) AS date_key, CAST(driver_no AS BIGINT) AS driver_key,
+_DRIVERS = """,
+drivers AS (SELECT driver_id, row_number() OVER (ORDER BY driver_id) AS driver_key FROM (SELECT DISTINCT driver_id FROM trips))"""
+ORACLE["dim_driver"] = _with(TRIPS + _DRIVERS, """SELECT driver_key, driver_id,
+    ['new', 'established', 'veteran'][CAST(driver_key % 3 + 1 AS INTEGER)] AS tenure_band FROM drivers""")
+ORACLE["persistent_keys"] = """
+WITH early AS (SELECT c_name AS name, row_number() OVER (ORDER BY c_name) AS key FROM (SELECT DISTINCT c_name FROM customer WHERE c_custkey % 3 = 0))
+SELECT key, name, 0 AS load FROM early
+UNION ALL SELECT (SELECT count(*) FROM early) + row_number() OVER (ORDER BY c_name), c_name, 1
+FROM (SELECT DISTINCT c_name FROM customer WHERE c_name NOT IN (SELECT name FROM early))"""
+ORACLE["star_fact"] = _with(DIMS + _DRIVERS, """
+SELECT trip_id, CAST(strftime(event_time, '%Y%m%d') AS INTEGER) AS date_key, driver_key,
        duration_sec, pickup_zone_id, CAST(fare_amount AS DOUBLE) AS fare_amount, distance_km, surge_multiplier, city_key,
        vehicle_key, payment_key, CAST(hour(event_time) AS INTEGER) AS hour_of_day, status = 'completed' AS is_completed,
        surge_multiplier > 1.0 AS is_surged
-FROM trips JOIN cities USING (city_id) JOIN vehicles USING (vehicle_class) JOIN payments USING (payment_type)""")
+FROM trips JOIN cities USING (city_id) JOIN vehicles USING (vehicle_class) JOIN payments USING (payment_type)
+JOIN drivers USING (driver_id)""")
 ORACLE["star_fk_violations"] = _with(RIDES, """
 SELECT 'dim_city' AS dimension, CAST(count(*) AS BIGINT) AS orphan_rows, count(DISTINCT city_id) AS orphan_keys
 FROM rides WHERE city_id NOT IN (SELECT city_id FROM rides WHERE status = 'completed')
@@ -360,7 +368,23 @@ ORACLE["dlq_direct_write"] = _with(QUARANTINE, """SELECT driver_id, CAST(CAST(se
 ORACLE["dlq_drain_totals"] = _with(QUARANTINE, """SELECT count(*) AS records_read,
     count(*) FILTER (WHERE action = 'reinject') AS reinjected, CAST(0 AS BIGINT) AS reinject_failed,
     count(*) FILTER (WHERE action = 'direct_write') AS direct_written, CAST(0 AS BIGINT) AS direct_write_failed,
-    count(*) FILTER (WHERE action = 'park') AS parked, count(*) AS accounted_for, CAST(0 AS BIGINT) AS unaccounted FROM actions""")
+    count(*) FILTER (WHERE action = 'park') AS parked, CAST(0 AS BIGINT) AS failed, count(*) AS accounted_for,
+    CAST(0 AS BIGINT) AS unaccounted FROM actions""")
+_LOGGED = QUARANTINE + """,
+logged AS (SELECT *, first_failed_at_ms % 7 = 0 AS cut FROM quarantine)"""
+ORACLE["dlq_log_inspect"] = _with(_LOGGED, """SELECT count(*) AS records, count(DISTINCT CASE WHEN NOT cut THEN event_id END) AS distinct_event_ids,
+    count(*) FILTER (WHERE cut OR event_id IS NULL) AS records_without_event_id,
+    coalesce(round(avg(retry_count) FILTER (WHERE retry_count > 0 AND NOT cut), 3), 0.0) AS mean_retry_count_when_retried,
+    count(*) FILTER (WHERE failure_stage IN ('cassandra_sink', 'producer') AND NOT cut) AS would_reinject,
+    count(*) FILTER (WHERE failure_stage = 'late_event' AND NOT cut) AS would_direct_write,
+    count(*) FILTER (WHERE failure_stage = 'parse' AND NOT cut) AS would_park, count(*) FILTER (WHERE cut) AS unreadable FROM logged""")
+ORACLE["dlq_sample"] = _with(QUARANTINE, """SELECT failure_stage, event_id, first_failed_at_ms, source_offset FROM quarantine
+    ORDER BY first_failed_at_ms NULLS FIRST, failure_stage NULLS FIRST, event_id NULLS FIRST, source_offset NULLS FIRST LIMIT 3""")
+ORACLE["dlq_breaker"] = _with(QUARANTINE, """SELECT 'dlq_circuit_breaker' AS kind, count(*) AS records, CAST(10 AS BIGINT) AS ceiling
+    FROM quarantine HAVING count(*) > 10""")
+ORACLE["dlq_bounded_drains"] = _with(QUARANTINE, """SELECT count(*) AS records_read,
+    count(*) FILTER (WHERE action = 'reinject') AS reinjected, count(*) FILTER (WHERE action = 'direct_write') AS direct_written,
+    count(*) FILTER (WHERE action = 'park') AS parked, true AS within_budget, count(*) AS in_ledger FROM actions""")
 
 ORACLE["drain_end_to_end"] = _with(QUARANTINE + """,
 ends AS (SELECT *, CASE WHEN action = 'reinject' AND failure_stage = 'producer' AND first_failed_at_ms % 3 = 0 THEN 'reinject_failed'
@@ -376,7 +400,7 @@ sums AS (SELECT drain_id, count(outcome) AS records_read,
 SELECT *, reinjected AS in_log, records_read AS in_ledger, reinject_failed + direct_write_failed + parked AS in_parking,
   (SELECT count(DISTINCT trip_id) FROM ends WHERE outcome = 'direct_written' AND done_by <= drain_id) AS trips_served,
   CASE WHEN drain_id = 0 THEN 0 ELSE (SELECT count(DISTINCT trip_id) FROM ends WHERE outcome = 'direct_written' AND done_by = 0) END AS newer_fares,
-  reinjected + direct_written + parked AS accounted_for, reinject_failed + direct_write_failed AS unaccounted FROM sums""")
+  reinject_failed + direct_write_failed AS failed, records_read AS accounted_for, CAST(0 AS BIGINT) AS unaccounted FROM sums""")
 
 # -- reliability -------------------------------------------------------------------
 
@@ -488,6 +512,15 @@ _WINDOWS = """time_bucket(INTERVAL 6 HOUR, event_time, TIMESTAMP '2024-01-01') A
 ORACLE["city_window_rollup"] = _with(ROUTED, f"""SELECT city_id, {_WINDOWS}, count(DISTINCT driver_id) AS active_drivers
     FROM sound WHERE status = 'completed' GROUP BY 1, 2, 3""")
 
+_DONE = """SELECT {city} AS city_id, {day} AS day, count(*) AS trips, count(DISTINCT driver_id) AS drivers, true AS within_bound
+    FROM sound WHERE status = 'completed' GROUP BY ALL"""
+ORACLE["rollup_distinct"] = _with(ROUTED, " UNION ALL ".join(
+    _DONE.format(city=city, day=day) for city, day in (
+        ("city_id", "CAST(CAST(event_time AS DATE) AS VARCHAR)"), ("CAST(NULL AS VARCHAR)", "CAST(CAST(event_time AS DATE) AS VARCHAR)"),
+        ("city_id", "CAST(NULL AS VARCHAR)"),
+    )
+))
+
 # -- telemetry ---------------------------------------------------------------------
 
 LATENCY = SAMPLES + """,
@@ -637,6 +670,17 @@ FROM (SELECT *, min(ts) OVER (PARTITION BY run_id, island) AS since
 GROUP BY run_id, island HAVING max(ts) >= min(ts) + INTERVAL {hold} SECONDS"""
 
 
+_CELLS = range(len(_BOUNDS) + 1)
+_NOW = ["sum(CASE WHEN " + (f"value <= {b}" if b else "true") + " THEN 1 ELSE 0 END) OVER d" for b in [*_BOUNDS, None]]
+ORACLE["duration_p95_sliding"] = _with(SAMPLES + f""",
+counters AS (SELECT run_id, event_id, ts, {", ".join(f"{c} AS c{i}" for i, c in enumerate(_NOW))} FROM samples
+  WINDOW d AS (PARTITION BY run_id, CAST(ts AS DATE) ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+steps AS (SELECT run_id, event_id, ts, {", ".join(f"CASE WHEN lag(c{i}) OVER s IS NULL THEN 0 WHEN c{i} >= lag(c{i}) OVER s THEN c{i} - lag(c{i}) OVER s ELSE c{i} END AS s{i}" for i in _CELLS)}
+  FROM counters WINDOW s AS (PARTITION BY run_id ORDER BY ts, event_id)),
+grown AS (SELECT run_id, event_id, ts, [{", ".join(f"CAST(sum(s{i}) OVER w - first_value(s{i}) OVER w AS BIGINT)" for i in _CELLS)}] AS c
+  FROM steps WINDOW w AS (PARTITION BY run_id ORDER BY ts RANGE BETWEEN INTERVAL 21600 SECONDS PRECEDING AND CURRENT ROW))""",
+    f"""SELECT run_id, event_id, ts, c[{len(_BOUNDS) + 1}] AS samples,
+    {", ".join(f"CASE WHEN c[{len(_BOUNDS) + 1}] = 0 THEN NULL ELSE round({_quantile(q)}, 6) END AS {n}" for n, q in (("p50", 0.5), ("p95", 0.95)))} FROM grown""")
 ORACLE["alert_intervals"] = _with(
     SLOPES + "," + ",".join(
         [_rates("run_id"), *(_rates("run_id", t, f"event_type = '{t}'") for t in ("signup", "error", "click", "purchase"))]
@@ -706,5 +750,5 @@ SELECT unnest(['trips_by_id', 'trips_by_driver_day', 'trips_by_city_hour']) AS t
 UNION ALL SELECT 'quarantine', count(*), count(DISTINCT CASE WHEN NOT unparseable THEN event_id END) FROM routed WHERE failure_stage IS NOT NULL""")
 ORACLE["stream_dedup"] = _with(LOG, """SELECT DISTINCT event_id, trip_id, event_time, city_id, driver_id, fare_amount, status
     FROM parsed WHERE event_time IS NOT NULL""")
-ORACLE["stream_city_rollup"] = _with(LOG, f"""SELECT city_id, {_WINDOWS} FROM parsed
+ORACLE["stream_city_rollup"] = _with(LOG, f"""SELECT city_id, {_WINDOWS}, count(DISTINCT driver_id) AS drivers, true AS within_bound FROM parsed
     WHERE event_time IS NOT NULL AND status = 'completed' GROUP BY 1, 2, 3""")

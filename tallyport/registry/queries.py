@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyport.functions import ranges
 from tallyport.functions.keys import log_partition
 from tallyport.functions.sequences import counter_rate, longest_rising_run, trailing_slope
-from tallyport.operators import fanout, latency, parse, quarantine, reconcile, retry, skew, telemetry, upsert
+from tallyport.operators import fanout, key_map, latency, parse, quarantine, reconcile, retry, skew, telemetry, upsert
 from tallyport.plans import drain as drains
 from tallyport.plans import questions, reports, rollup, star
 from tallyport.registry import runs
@@ -114,6 +115,14 @@ def dim_driver(spark, sf_dir):
     return runs.trip_house(spark, sf_dir).dims()["dim_driver"]
 
 
+@query
+def persistent_keys(spark, sf_dir):
+    """Keys of customer names after two loads; those of the first stay."""
+    path, names = new_folder(spark, "keys"), table(spark, sf_dir, "customer")
+    key_map.extend_keys(spark, path, names.where("c_custkey % 3 = 0"), "c_name")
+    return key_map.extend_keys(spark, path, names, "c_name").withColumnRenamed("c_name", "name")
+
+
 @query
 def star_fact(spark, sf_dir):
     return runs.trip_house(spark, sf_dir).fact.drop("period")
@@ -314,6 +323,58 @@ def dlq_drain_totals(spark, sf_dir):
     return quarantine.drain_totals(quarantine.settle(quarantine.route(runs.quarantined(spark, sf_dir))))
 
 
+DLQ_TOPIC = "trips.dlq"
+
+
+@query
+def dlq_log_inspect(spark, sf_dir):
+    """The profile of a quarantine that lies in a JSON log, some of whose messages were cut off."""
+    path = new_folder(spark, "dlq-log")
+    cut = F.col("first_failed_at_ms") % 7 == 0
+    records = runs.quarantined(spark, sf_dir)
+    messages = quarantine.as_messages(records.where(~cut), DLQ_TOPIC).unionByName(
+        quarantine.as_messages(records.where(cut), DLQ_TOPIC).withColumn("value", F.expr("left(value, length(value) div 2)"))
+    )
+    nothing = spark.createDataFrame([], raw_log.RAW_SCHEMA)
+    raw_log.publish_files(drains.next_messages(messages, nothing, adapters.LOG_PARTITIONS), path)
+    read = quarantine.read_envelope_messages(raw_log.read_raw(spark, path))
+    unreadable = F.count_if(F.col("failure_stage") == quarantine.UNREADABLE_STAGE).alias("unreadable")
+    return quarantine.inspect(read, unreadable)
+
+
+@query
+def dlq_sample(spark, sf_dir):
+    """The three records that failed first."""
+    return quarantine.sample(runs.quarantined(spark, sf_dir)).select("failure_stage", "event_id", "first_failed_at_ms", "source_offset")
+
+
+@query
+def dlq_breaker(spark, sf_dir):
+    """The alert of a quarantine with more records than its ceiling."""
+    return quarantine.breaker_alert(runs.quarantined(spark, sf_dir), 10)
+
+
+@query
+def dlq_bounded_drains(spark, sf_dir):
+    """Drains of at most half the records each, until nothing is pending: together one drain of all."""
+    root = new_folder(spark, "bounded")
+    records = runs.quarantined(spark, sf_dir)
+    budget = max(1, -(-records.count() // 2))
+    totals = None
+    for n in range(64):  # shares are filled unevenly, so it takes some more than two
+        done = drains.drain(
+            spark, records, root, n, adapters.TOPIC, f"{root}/log", f"{root}/serving", adapters.LOG_PARTITIONS, budget=budget
+        )
+        totals = done if totals is None else totals.unionByName(done)
+        if not done.first()["records_read"]:
+            break
+    held = drains.read_ledger(spark, f"{root}/ledger").count()
+    return totals.agg(
+        *[F.sum(c).alias(c) for c in ("records_read", "reinjected", "direct_written", "parked")],
+        (F.max("records_read") <= budget + 64).alias("within_budget"), F.lit(held).cast("bigint").alias("in_ledger"),
+    )
+
+
 def _damaged(records):
     """Records of which some can no longer be replayed: cut payloads, late ones without a fare."""
     payload, odd = F.col("original_payload"), F.col("first_failed_at_ms")
@@ -532,6 +593,30 @@ def city_window_rollup(spark, sf_dir):
     return _rounded(rows, revenue=2, avg_duration_sec=6)
 
 
+def _near(estimate: str, exact: str) -> Column:
+    """Whether a sketch's estimate is within the bound it is used with."""
+    return (F.abs(F.col(estimate) - F.col(exact)) <= F.greatest(F.lit(1.0), F.col(exact) * rollup.SKETCH_BOUND)).alias("within_bound")
+
+
+@query
+def rollup_distinct(spark, sf_dir):
+    """Distinct drivers from the sketches of six-hour windows, merged over days and cities, beside exact counts."""
+    events, path = parse.dedup(runs.sound_events(spark, sf_dir)), new_folder(spark, "sketches")
+    rollup.city_rollup(events, "6 hours", exact=False).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("day", F.to_date("window_start"))
+    done = events.where("status = 'completed'").withColumn("day", F.to_date("event_time"))
+    out = None
+    for by in (["city_id", "day"], ["day"], ["city_id"]):
+        merged = rollup.merge_windows(stored, by).select(*by, "trips", "active_drivers")
+        exact = done.groupBy(*by).agg(F.count_distinct("driver_id").alias("drivers"))
+        part = ranges.join_same(merged, exact, by).select(
+            *[F.col(c).cast("string").alias(c) if c in by else F.lit(None).cast("string").alias(c) for c in ("city_id", "day")],
+            "trips", "drivers", _near("active_drivers", "drivers"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _rounded(df, **digits):
     return df.withColumns({name: F.round(name, n) for name, n in digits.items()})
 
@@ -676,6 +761,16 @@ def histogram_quantile(spark, sf_dir):
     )
 
 
+@query
+def duration_p95_sliding(spark, sf_dir):
+    """Median and p95 of the durations of the last six hours, at each sample."""
+    counters = adapters.duration_counters(spark, sf_dir, telemetry.DURATION_BOUNDS)
+    rows = telemetry.sliding_quantiles(
+        counters, ["run_id"], "cumulative", telemetry.DURATION_BOUNDS, RATE_SECONDS, {"p50": 0.5, "p95": 0.95}
+    )
+    return rows.select("run_id", "event_id", "ts", F.element_at("increase", -1).alias("samples"), F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
+
+
 # The counter rules on event types in place of counters, with thresholds of their size.
 COUNTER_RULES = {
     "dlq_rate_high": ("signup", "rate", 0.01, STEP_SECONDS),
@@ -817,7 +912,11 @@ def stream_city_rollup(spark, sf_dir):
         raw_log.read_raw_stream(spark, run.log), root, "6 hours", "10 days", {"availableNow": True}
     )
     started.awaitTermination()
-    rows = stream_rollup.read_city_rollup(spark, root).select(
-        "city_id", "window_start", "window_end", "trips", "revenue", "avg_duration_sec"
+    rows = stream_rollup.read_city_rollup(spark, root)
+    # The same windows of the log with exact counts: what the stream's sketches are held against.
+    events = stream_rollup.timed_events(raw_log.read_raw(spark, run.log), "10 days")
+    exact = rollup.city_rollup(events, "6 hours").select("city_id", "window_start", F.col("active_drivers").alias("drivers"))
+    rows = ranges.join_same(rows, exact, ["city_id", "window_start"]).select(
+        "city_id", "window_start", "window_end", "trips", "revenue", "avg_duration_sec", "drivers", _near("active_drivers", "drivers")
     )
     return _rounded(rows, revenue=2, avg_duration_sec=6)

@@ -16,6 +16,7 @@ from tallyport.plans.flow import LOADED, RollupDrift, RollupFlow
 from tallyport.plans.rollup import write_load
 from tallyport.session import configure, new_folder
 from tallyport.sources import adapters
+from tallyport.sources.files import Storage
 from tallyport.sources.raw_log import publish_files, read_raw_stream
 from tallyport.sources.schemas import SERVING_TABLES
 from tallyport.sources.tables import table
@@ -25,7 +26,9 @@ _done: dict[tuple, object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, make):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """What `make` made for the tables as they are now; a table that has changed makes it anew."""
+    tables = Storage(spark, sf_dir).matching("*.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir, name, tuple(sorted(tables.items())))
     if key not in _done:
         configure(spark)
         _done[key] = make()

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyport.functions.ranges import running_before
 from tallyport.sources.tables import table
 
 TOPIC = "trips.raw"
@@ -256,6 +257,17 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def duration_counters(spark: SparkSession, sf_dir: str, bounds: list[float]) -> DataFrame:
+    """The samples' values as counters of a cumulative histogram, which restart every day."""
+    rows = samples(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    under = [(F.col("value") <= F.lit(float(b))).cast("int") for b in bounds] + [F.col("value").isNotNull().cast("int")]
+    counted = running_before(
+        rows, ["run_id", "day"], ["ts", "event_id"], {f"c{i}": F.coalesce(c, F.lit(0)) for i, c in enumerate(under)}
+    )
+    so_far = F.array(*[F.col(f"c{i}") + F.coalesce(c, F.lit(0)) for i, c in enumerate(under)]).cast("array<bigint>")
+    return counted.select("run_id", "event_id", "ts", so_far.alias("cumulative"))
+
+
 class UnsteadyStore:
     """Write function of a store with passing, lasting and raised failures, by event number.
 
