@@ -8,12 +8,13 @@ m * m * 2 * r. A pair at the threshold misses all tables with probability
 
 Sets that are equal are one node, named by their smallest doc_id. Buckets of the tables are
 not expanded into pairs. First the node of most buckets is compared with its bucket's other
-members, on full sets; what links is drawn together by a star step, and nodes with equal
-labels, which are connected, need no comparison. In later rounds the nodes outside the
-largest group are compared, more of them from round to round, until no bucket holds two
-labels. A pair is compared only in the first bucket that both share, and only if sizes and
-parities allow the similarity: slots in which the parities of two sets differ are a lower
-bound on the members in which the sets differ. So every pair of a
+members, on full sets; what links is drawn together until every component has one label, and
+nodes with equal labels need no comparison: their buckets, mostly those of copies, drop out.
+In later rounds the nodes outside the largest group are compared, more of them from round to
+round, until no bucket holds two labels. A bucket is cut into classes of size, which no
+similar pair lies two apart in. A pair is compared only in the first bucket that both share,
+and only if sizes and parities allow the similarity: slots in which the parities of two sets
+differ are a lower bound on the members in which the sets differ. So every pair of a
 bucket is either compared or already connected, and a group of copies costs about one
 comparison a copy.
 
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyport.llm.common import free_name, map_arrow, slices, stored, with_row_key
-from tallyport.llm.components import components, star_step
+from tallyport.llm.components import components
 from tallyport.llm.hashing import GOLDEN, minhashes, mix, set_hash, shingle_sets
 
 SHINGLE = 5
@@ -172,9 +173,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     )
     links = _links(slim, nodes, m, shingle, percent)
     named_rows = signed.drop("subs", "parity").join(named, ["h1", "h2"], "left")
-    final = components(links)
     return (
-        named_rows.join(final, "node", "left")
+        named_rows.join(links, "node", "left")
         .select(
             "doc_id", "n_shingles",
             F.when((F.col("n_shingles") == 0) | F.col("doc_id").isNull(), F.col("doc_id"))
@@ -185,7 +185,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int) -> DataFrame:
-    """Confirmed links (node, label), drawn together by a star step a round."""
+    """Components (node, label) of the confirmed links, drawn together after each round."""
     spark = slim.sparkSession
     left = stored(_buckets(nodes, m), "buckets")
     wanted = left.select("node").distinct().join(nodes.select("node", "h1", "h2"), "node")
@@ -196,7 +196,9 @@ def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int
         ),
         "sets",
     )
-    left = left.withColumn("label", F.col("node"))
+    # Sizes of a similar pair differ by one class at most; a little wider, for the logarithm's last digits.
+    width = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0
+    left = left.withColumn("label", F.col("node")).withColumn("class", F.floor(F.log("size") / width))
     links = spark.createDataFrame([], "node long, label long")
     slots = 0
     differ = " + ".join(f"bit_count(parity[{i}] ^ p_parity[{i}])" for i in range(PARITY_BITS // 64))
@@ -205,7 +207,7 @@ def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int
         if pivots.isEmpty():
             return links
         pairs = (
-            left.join(pivots, "key")
+            left.join(pivots.withColumn("class", F.explode(F.sequence(F.col("p_class") - 1, F.col("p_class") + 1))), ["key", "class"])
             .filter(
                 "node <> p_node AND label <> p_label"
                 f" AND 100 * least(size, p_size) >= {percent} * greatest(size, p_size)"
@@ -220,30 +222,29 @@ def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int
             .select("node", "label", "x", "y")
         )
         fresh = stored(map_arrow(both, _confirm(percent), "node long, label long"), "links")
-        links = stored(star_step(links.unionByName(fresh)), "joined")
-        compared = pivots.groupBy("key").agg(F.collect_set("p_node").alias("done"))
-        label = links.groupBy("node").agg(F.min("label").alias("label"))
+        links = components(links.unionByName(fresh))
+        compared = pivots.select("key", F.col("p_node").alias("node"))
         left = stored(
-            left.drop("label").join(compared, "key").filter("NOT array_contains(done, node)").drop("done")
-            .join(label, "node", "left").withColumn("label", F.coalesce("label", "node")),
+            left.drop("label").join(pivots.select("key").distinct(), "key", "left_semi").join(compared, ["key", "node"], "left_anti")
+            .join(links, "node", "left").withColumn("label", F.coalesce("label", "node")),
             "buckets",
         )
         slots = slots * PIVOT_GROWTH or FIRST_PIVOTS
 
 
 def _pivots(left: DataFrame, slots: int) -> DataFrame:
-    """Pivots of the buckets that hold two labels: (key, p_node, p_label, p_size, p_keys, p_parity).
+    """Pivots of the buckets that hold two labels: (key, p_node, p_label, p_size, p_class, p_keys, p_parity).
 
     First the heaviest node of each bucket; in later rounds up to `slots` nodes whose label
     is not the heaviest node's, for once those are compared the bucket has one label left.
     """
-    heaviest = F.max(F.struct(F.size("keys").alias("weight"), "node", "label", "size", "keys", "parity")).alias("p")
+    heaviest = F.max(F.struct(F.size("keys").alias("weight"), "node", "label", "size", "class", "keys", "parity")).alias("p")
     ruling = left.groupBy("key").agg(heaviest, F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
     if slots:
         slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots)).alias("slot")
         others = left.join(ruling.select("key", F.col("p.label").alias("ruling")), "key").filter("label <> ruling")
         ruling = others.groupBy("key", slot).agg(heaviest)
-    return ruling.select("key", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "label", "size", "keys", "parity")))
+    return ruling.select("key", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "label", "size", "class", "keys", "parity")))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
