@@ -2,14 +2,16 @@
 
 Features of a text are numbers; each is cut into at most BINS quantile bins. Training goes
 round the features in a cycle and fits a shallow tree to the gradient over one feature's
-bins at a time, adding its leaves, shrunk, to that feature's table. Then pairs are ranked
-by how much a shallow tree over both lowers the loss, and the best PAIRS get tables of
-their own in the same way. A score is the sum of one bin of each table, looked up for
+bins at a time, adding its leaves, shrunk, to that feature's table. Then the pair whose
+shallow tree over both features lowers the loss most gets a table of its own in the same
+way; pairs are ranked again before each of PAIRS is added. A pair's tree has up to two cuts
+of each axis, so a band of one feature can meet a band of another. A score is the sum of one bin of each table, looked up for
 whole columns at once.
 
-Features are computed in one pass and stored; labels meet only those narrow rows. The
-model is fitted on at most TRAIN_ROWS labelled rows, the ones with the smallest hash of
-doc_id; everything else covers all documents.
+The model is fitted on at most TRAIN_ROWS labelled rows, the ones with the smallest hash of
+doc_id. `digest` stores the features of all documents and learns from those rows;
+`keep_good` computes the features of the labelled rows to learn, and scores texts where
+they lie. Everything else covers all documents.
 
 Defined results: NULL and empty texts have the features of a text without words and get
 the score those lead to; labels that are NULL or not 0 or 1 are left out, a doc_id that is labelled
@@ -23,6 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,7 @@ BINS = 32
 ROUNDS = 120
 PAIRS = 6
 PAIR_ROUNDS = 40
-PAIR_BINS = 8
+PAIR_BINS = 16
 LEAVES = 3
 RATE = 0.15
 PENALTY = 1.0  # added to a leaf's weight: leaves of few rows stay small
@@ -128,27 +131,29 @@ def grow(g: np.ndarray, h: np.ndarray, leaves: int = LEAVES) -> np.ndarray:
     return out
 
 
-def grow_pair(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
-    """Values by cell of a tree with one cut of each axis, and what it gains."""
-    cum = lambda t: np.cumsum(np.cumsum(t, 0), 1)
-    cg, ch = cum(g), cum(h)
-    if g.shape[0] < 2 or g.shape[1] < 2:
-        return np.zeros(g.shape), 0.0
+@cache
+def axis_parts(size: int) -> np.ndarray:
+    """Every way of cutting `size` bins once or twice: (way, part, bin), 1 where the bin is in the part."""
+    ways = []
+    for first in range(1, size):
+        for second in range(first, size):
+            part = np.zeros((3, size))
+            part[0, :first], part[1, first:second], part[2, second:] = 1, 1, 1
+            ways.append(part)
+    return np.array(ways).reshape(-1, 3, size)
 
-    def quadrants(c: np.ndarray) -> list[np.ndarray]:
-        a = c[:-1, :-1]
-        return [a, c[:-1, -1:] - a, c[-1:, :-1] - a, c[-1, -1] - c[:-1, -1:] - c[-1:, :-1] + a]
 
-    qg, qh = quadrants(cg), quadrants(ch)
-    total = sum(gain(x, y) for x, y in zip(qg, qh)) - gain(cg[-1, -1], ch[-1, -1])
+def grow_pair(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
+    """Values by cell of a tree with one or two cuts of each axis, and what it gains: the best of all such trees."""
+    rows, columns = axis_parts(g.shape[0]), axis_parts(g.shape[1])
+    if not len(rows) or not len(columns):
+        return np.zeros(g.shape), 0.0
+    sums = lambda t: (rows.reshape(-1, g.shape[0]) @ t @ columns.reshape(-1, g.shape[1]).T).reshape(len(rows), 3, len(columns), 3)
+    part_g, part_h = sums(g), sums(h)
+    total = gain(part_g, part_h).sum(axis=(1, 3)) - gain(g.sum(), h.sum())
     i, j = np.unravel_index(int(total.argmax()), total.shape)
-    out = np.empty(g.shape)
-    for k, (rows, columns) in enumerate(
-        [(slice(0, i + 1), slice(0, j + 1)), (slice(0, i + 1), slice(j + 1, None)),
-         (slice(i + 1, None), slice(0, j + 1)), (slice(i + 1, None), slice(j + 1, None))]
-    ):
-        out[rows, columns] = qg[k][i, j] / (qh[k][i, j] + PENALTY)
-    return out, float(total[i, j])
+    values = part_g[i, :, j] / (part_h[i, :, j] + PENALTY)
+    return rows[i].T @ values @ columns[j], float(total[i, j])
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> Gam:
@@ -184,16 +189,22 @@ def fit(x: np.ndarray, y: np.ndarray) -> Gam:
         cell, n = coarse[:, a] * size[b] + coarse[:, b], size[a] * size[b]
         return np.bincount(cell, g, n).reshape(size[a], size[b]), np.bincount(cell, h, n).reshape(size[a], size[b])
 
-    ranked = sorted(
-        ((-grow_pair(*cells(a, b))[1], a, b) for a in range(len(size)) for b in range(a)), key=lambda r: r
-    )
-    model.pairs = [(a, b) for lost, a, b in ranked[:PAIRS] if lost < 0]
-    model.pair_tables = [np.zeros((size[a], size[b])) for a, b in model.pairs]
-    for _ in range(PAIR_ROUNDS):
-        for (a, b), table in zip(model.pairs, model.pair_tables):
-            step = RATE * grow_pair(*cells(a, b))[0]
-            table += step
-            logit += step[coarse[:, a], coarse[:, b]]
+    def boost(rounds: int) -> None:
+        for _ in range(rounds):
+            for (a, b), table in zip(model.pairs, model.pair_tables):
+                step = RATE * grow_pair(*cells(a, b))[0]
+                table += step
+                logit[:] += step[coarse[:, a], coarse[:, b]]
+
+    for _ in range(PAIRS):
+        left = [(a, b) for a in range(len(size)) for b in range(a) if (a, b) not in model.pairs]
+        most, pair = max(((grow_pair(*cells(*p))[1], p) for p in left), default=(0.0, None))
+        if most <= 0:
+            break
+        model.pairs.append(pair)
+        model.pair_tables.append(np.zeros((size[pair[0]], size[pair[1]])))
+        boost(PAIR_ROUNDS // PAIRS)
+    boost(PAIR_ROUNDS - PAIR_ROUNDS // PAIRS)
     return model
 
 
@@ -211,13 +222,17 @@ def feature_rows(docs: DataFrame) -> DataFrame:
     return stored(map_arrow(slim, _feature_batches, schema), "features")
 
 
-def train(rows: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Gam:
-    """Fit on at most `most` labelled rows that are not held out."""
+def sample(labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
+    """(doc_id, y) of at most `most` labelled rows that are not held out."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).filter(
         f"y IN (0, 1) AND doc_id IS NOT NULL AND NOT ({HOLD_OUT})"
     )
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(most)
-    found = rows.join(sample, "doc_id").orderBy("doc_id", "y", *FEATURES).limit(2 * most).toPandas()
+    return usable.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(most)
+
+
+def train(rows: DataFrame, chosen: DataFrame, most: int = TRAIN_ROWS) -> Gam:
+    """Fit on the feature rows that `chosen` labels."""
+    found = rows.join(chosen, "doc_id").orderBy("doc_id", "y", *FEATURES).limit(2 * most).toPandas()
     return fit(found[list(FEATURES)].to_numpy(float).reshape(-1, len(FEATURES)), found["y"].to_numpy(float))
 
 
@@ -240,12 +255,16 @@ def score(rows: DataFrame, model: Gam) -> DataFrame:
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = feature_rows(docs)
-    return score(rows, train(rows, labels))
+    return score(rows, train(rows, sample(labels)))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`docs` without the documents that are predicted 0. Texts are scored where they lie."""
-    model = train(feature_rows(docs), labels)
+    chosen = stored(sample(labels), "sample")
+    # At most TRAIN_ROWS ids: the texts that go with them are found without a shuffle.
+    ids = F.broadcast(chosen.select(F.col("doc_id").alias("labelled")).distinct())
+    learnt = docs.join(ids, F.col("doc_id").cast("long") == F.col("labelled"), "left_semi")
+    model = train(feature_rows(learnt), chosen)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
