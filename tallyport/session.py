@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-# Rows a side may have at most before it is broadcast by hint.
+# Rows and bytes a side may have at most before it is broadcast by hint.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 _fallback_dirs: dict[str, str] = {}
 
@@ -65,15 +66,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tallyport/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast `df` if a count proves it small; otherwise leave the join to AQE.
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast `df` if its rows and their size prove it small; otherwise leave the join to AQE.
 
     Meant for per-batch or per-run aggregates. They are persisted, so the count and
-    the join share one computation.
+    the join share one computation; with few rows all of them are then in the cache,
+    whose size Spark knows.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     if kept.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(kept)
+        held = int(str(kept.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if held <= max_bytes:
+            return F.broadcast(kept)
     return kept
 
 

@@ -59,3 +59,4 @@ def test_cutoffs_are_broadcast_only_when_small(spark, sf_dir):
     small = parse.batch_cutoffs(runs.parsed(spark, sf_dir), 120)
     assert "broadcast" in session.small_side(small)._jdf.queryExecution().logical().toString()
     assert "broadcast" not in session.small_side(small, 1)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in session.small_side(small, max_bytes=8)._jdf.queryExecution().logical().toString()
