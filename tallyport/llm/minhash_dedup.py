@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyport.llm.common import free_name, map_arrow, slices, stored, with_row_key
@@ -223,15 +223,26 @@ def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int
         )
         fresh = stored(map_arrow(both, _confirm(percent), "node long, label long"), "links")
         links = components(links.unionByName(fresh))
+        # Buckets that have got one label by now go whole, before anything of them is carried on.
+        labelled = stored(_labelled(left, links), "labelled")
+        undecided = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
         compared = pivots.select("key", F.col("p_node").alias("node"))
-        left = stored(
-            left.drop("label").join(pivots.select("key").distinct(), "key", "left_semi").join(compared, ["key", "node"], "left_anti")
-            .join(links, "node", "left").withColumn("label", F.coalesce("label", "node")),
-            "buckets",
-        )
+        left = stored(labelled.join(undecided, "key", "left_semi").join(compared, ["key", "node"], "left_anti"), "buckets")
         slots = slots * PIVOT_GROWTH or FIRST_PIVOTS
 
 
+def _labelled(left: DataFrame, links: DataFrame) -> DataFrame:
+    """Bucket members with the labels that their nodes have now.
+
+    Members and labels are dealt out by node together, once; a node has no more members than tables.
+    """
+    members = left.withColumn("label", F.lit(None).cast("long"))
+    names = links.select("node", "label")
+    together = members.unionByName(names, allowMissingColumns=True)
+    named = together.withColumn("label", F.coalesce(F.max("label").over(Window.partitionBy("node")), F.col("node")))
+    return named.filter("key IS NOT NULL")
+
+
 def _pivots(left: DataFrame, slots: int) -> DataFrame:
     """Pivots of the buckets that hold two labels: (key, p_node, p_label, p_size, p_class, p_keys, p_parity).
 
