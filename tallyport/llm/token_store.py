@@ -35,7 +35,7 @@ END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
-MEMO = 300_000
+MEMO = 400_000
 STOPS = b".,"
 LONG_PIECE = 256
 
@@ -55,8 +55,8 @@ class LibraryEncoder:
     """The tokenizers library's ids of a text, as int32 bytes, asked once for each known word.
 
     A text that may hold a special token goes to the library whole. Others are normalised
-    and cut at ASCII spaces, which no pattern of the file reaches over; a piece is looked up
-    without a full stop or comma behind its last letter or digit, where the pattern cuts
+    and cut at ASCII spaces, which no pattern of the file reaches over: normalising and cutting
+    are done here, and the library sees words. A piece is looked up without a full stop or comma behind its last letter or digit, where the pattern cuts
     anyway, and unknown words go to the library's BPE model.
     """
 
@@ -70,13 +70,16 @@ class LibraryEncoder:
         self.memo = Memo(MEMO)
         self.stops = {c: self.word(chr(c)) for c in STOPS}
 
+    def ids(self, shown: str) -> bytes:
+        return array("i", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+
     def word(self, word: str) -> bytes:
         key = word.encode()
         known = self.memo.get(key)
         if known is None:
             plain = word.isascii() and word.isprintable()
             shown = word if plain else "".join(map(self.alphabet.__getitem__, key))
-            known = array("i", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+            known = self.ids(shown)
             if len(key) <= LONG_PIECE:
                 self.memo.put(key, known)
         return known
@@ -89,11 +92,13 @@ class LibraryEncoder:
             if (known := self.memo.young.get(piece)) is not None:
                 return known + tail
         known = self.memo.old.get(piece)
+        if known is None and piece.isalpha():  # ASCII letters alone: one word, shown as it is
+            known = self.ids(piece.decode())
         if known is None:
             words = WORD.findall(piece.decode())
             known = self.word(words[0]) if len(words) == 1 else b"".join([self.word(w) for w in words])
-            if len(piece) > LONG_PIECE:
-                return known + tail
+        if len(piece) > LONG_PIECE:
+            return known + tail
         self.memo.put(piece, known)
         return known + tail
 
