@@ -6,7 +6,12 @@ list. `WordTransducer` therefore holds at most lookahead + longest token + one b
 symbols, emits a token once that many symbols follow it, and never sees a word whole.
 `StreamEncoder` puts normalisation and pre-tokenization in front, again holding only what
 the next characters may still change. `ByteDecoder` turns token bytes into text as they
-arrive.
+arrive, `SurfaceDecoder` does it as the library does for a file that names no decoder.
+
+`PieceEncoder` takes a text window by window, cut at ASCII spaces, which no pattern reaches
+over. What the transducer makes of a word or piece, and what the decoder makes of its ids,
+is remembered for the frequent ones. `digest` hashes ids and decoded text as they come, so
+beside the text itself and the bounded memories nothing grows with it.
 
 Why dropping emitted tokens is sound: no merge of the full run crosses a boundary of its
 result, so what follows a settled boundary is merged as if it stood alone.
@@ -40,7 +45,8 @@ OPEN_CONTRACTION = regex.compile(r"'(?:[rvl])?\Z")
 
 BLOCK = 256  # symbols merged at once in a long word
 LONG_PIECE = 256  # characters; longer pieces are streamed and not remembered
-CHUNK = 1 << 16  # characters handed to the stream encoder at once
+CHUNK = 1 << 16  # characters handed to the stream encoder at once, and of a window at least
+ASCII_SPACE = regex.compile(r"[\x20\x09-\x0D]")
 MEMO_WORDS = 250_000
 MEMO_PIECES = 250_000
 RANK_SHIFT = 24
@@ -269,11 +275,14 @@ class SurfaceDecoder:
         self.begun = False
 
     def feed(self, ids: list[int]) -> str:
-        if not ids:
+        return self.resume(" ".join(map(self.model.surface.__getitem__, ids)))
+
+    def resume(self, known: str) -> str:
+        """What comes next if the ids that follow are known to decode to `known` alone."""
+        if not known:
             return ""
-        text = " ".join(map(self.model.surface.__getitem__, ids))
-        text, self.begun = " " * self.begun + text, True
-        return text
+        known, self.begun = " " * self.begun + known, True
+        return known
 
 
 class PieceEncoder:
@@ -314,11 +323,28 @@ class PieceEncoder:
         self.pieces.put(piece, known)
         return known
 
-    def stream(self, text: str) -> Iterator[int]:
+    def blocks(self, text: str) -> Iterator[list[int]]:
+        """Ids as they settle, a chunk of the text after the other."""
         encoder = StreamEncoder(self.model)
         for start in range(0, len(text), CHUNK):
-            yield from encoder.feed(text[start : start + CHUNK])
-        yield from encoder.finish()
+            yield encoder.feed(text[start : start + CHUNK])
+        yield encoder.finish()
+
+    def stream(self, text: str) -> Iterator[int]:
+        for ids in self.blocks(text):
+            yield from ids
+
+    def windows(self, text: str) -> Iterator[list]:
+        """`text` of one window after the other; a window that has no space for long is streamed."""
+        at = 0
+        while at < len(text):
+            space = ASCII_SPACE.search(text, at + CHUNK)
+            end = space.start() if space else len(text)
+            if end - at <= 2 * CHUNK:
+                yield self.text(text[at:end])
+            else:
+                yield from ([self.render(ids)] for ids in self.blocks(text[at:end]) if ids)
+            at = end
 
     def text(self, text: str) -> list:
         """What is remembered of each piece of `text`, in order."""
@@ -359,11 +385,15 @@ def digest(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         for batch in batches:
             counts, ids, decoded = [], [], []
             for value in batch.column(1):
-                found = encoder.text(value.as_py() or "")
-                joined = " ".join([x[0] for x in found])
-                counts.append(joined.count(" ") + bool(joined))
-                ids.append(hashlib.sha256(joined.encode()).hexdigest())
-                decoded.append(hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest())
+                n, of_ids, of_text, decoder = 0, hashlib.sha256(), hashlib.sha256(), SurfaceDecoder(encoder.model)
+                for found in filter(None, encoder.windows(value.as_py() or "")):
+                    joined = " " * (n > 0) + " ".join([x[0] for x in found])
+                    n += joined.count(" ") + (n == 0)
+                    of_ids.update(joined.encode())
+                    of_text.update(decoder.resume(" ".join([x[1] for x in found])).encode())
+                counts.append(n)
+                ids.append(of_ids.hexdigest())
+                decoded.append(of_text.hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
@@ -373,6 +403,29 @@ def digest(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     return map_arrow(slim, work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def decode(rows: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "ids", surface: bool = False) -> DataFrame:
+    """doc_id and text of each list of ids, a block of ids after the other.
+
+    Token bytes are put together to characters, with a space for a word's end; with
+    `surface` as the library's `decode` has it.
+    """
+    with open(tokenizer_path, "rb") as f:
+        shipped = rows.sparkSession.sparkContext.broadcast(f.read())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = BpeModel(shipped.value)
+        for batch in batches:
+            texts = []
+            for ids in batch.column(1).to_pylist():
+                decoder, ids = SurfaceDecoder(model) if surface else ByteDecoder(model), ids or []
+                parts = [decoder.feed(ids[at : at + CHUNK]) for at in range(0, len(ids), CHUNK)]
+                texts.append("".join(parts if surface else [*parts, decoder.finish()]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    slim = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
+    return map_arrow(slim, work, "doc_id long, text string")
+
+
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the list of ids of each whole text."""
     spark = docs.sparkSession

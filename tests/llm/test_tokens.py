@@ -112,6 +112,28 @@ def test_byte_decoder_round_trip(library, model):
     assert ("".join(decoder.feed([i]) for i in ids) + decoder.finish()).split() == text.split()
 
 
+def test_windows_hold_no_whole_text(library, model, monkeypatch):
+    """Ids are the same however small the windows, with spaces and without any."""
+    texts = ["", " ", "a b  c", "the quick café 日本 🙂 fox <|endoftext|> it's we'll 123 ", "nospace" * 40, "x " * 50 + "y" * 200 + " é" * 9, "日本語" * 60]
+    for chunk in (1, 7, 64, 1 << 16):
+        monkeypatch.setattr(B, "CHUNK", chunk)
+        encoder = B.PieceEncoder(model, tuple, lambda words: sum(words, ()))
+        for text in texts:
+            found = [[i for piece in window for i in piece] for window in encoder.windows(text)]
+            assert sum(found, []) == library.encode(text, add_special_tokens=False).ids
+            assert chunk > 100 or all(len(ids) <= 4 * chunk + B.LONG_PIECE for ids in found)
+
+
+def test_decode(spark, library):
+    texts = ["the quick café 日本 🙂 fox", "", "a" * 500 + " b"]
+    ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    rows = spark.createDataFrame([*enumerate(ids), (7, None)], "doc_id long, ids array<int>")
+    shown = {r.doc_id: r.text for r in B.decode(rows, PATH, surface=True).collect()}
+    assert shown == {**{i: library.decode(x, skip_special_tokens=False) for i, x in enumerate(ids)}, 7: ""}
+    plain = {r.doc_id: r.text for r in B.decode(rows, PATH).collect()}
+    assert {i: t.split() for i, t in plain.items()} == {**{i: t.split() for i, t in enumerate(texts)}, 7: []}
+
+
 def test_digest(spark, sf_dir, library):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     odd = spark.createDataFrame([(1001, None), (1002, ""), (1003, "a " * 60_000), (None, "x"), (1003, "b")], "doc_id long, text string")
