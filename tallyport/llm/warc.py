@@ -8,12 +8,17 @@ their own blocks. Record ids are derived from the response's id, so a repeated r
 the same records. `warc_text` renders records for a text writer whose line separator is the
 end of a WARC record; one file of it is a WARC file.
 
-Rows are independent: one pass, no shuffle, and a response's size is all a task holds.
+Rows are independent: one pass, no shuffle, and a response's size is all a task holds. A
+page is scanned once from left to right; what is never closed is looked for once only, so
+time grows with the page and not with its square.
 
 Defined results: a NULL or empty message gives records with empty blocks; a message without
 a header part is taken as a body; a body that does not decode has replacement characters;
-a NULL target or date leaves the header out; responses that repeat give records that
-repeat; an empty table gives no records; other columns are not read.
+a NULL target or date leaves the header out; line breaks and what follows them in header
+values, targets and dates become a space; a response without record id is named by its
+target, date and payload, and is referred to by those; comments and hidden elements that are
+not closed hide nothing; responses that repeat give records that repeat; an empty table
+gives no records; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,12 +38,15 @@ from tallyport.llm.common import map_arrow
 
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space of URLs
 RECORD_END = "\r\n\r\n"
-HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>|<head\b.*?</head\s*>")
-BREAKS = re.compile(r"(?i)</?(?:p|br|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|pre|blockquote|hr)\b[^>]*>")
-TAG = re.compile(r"(?s)<[^>]*>")
-TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-LANG = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)")
-LINK = re.compile(r"(?is)<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+# What a tag begins with, by kind. Elements that are not shown, and those that begin a line.
+OPENS_HIDDEN = re.compile(r"(?i)<(script|style|noscript|template|head)\b")
+CLOSES = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "noscript", "template", "head", "title")}
+BREAKS = re.compile(r"(?i)</?(?:p|br|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|pre|blockquote|hr)\b")
+TITLE, HTML, ANCHOR = (re.compile(rf"(?i)<{name}\b") for name in ("title", "html", "a"))
+LANG = re.compile(r"(?i)\blang\s*=\s*[\"']?([\w-]+)")
+HREF = re.compile(r"(?i)\bhref\s*=\s*")
+BARE = re.compile(r"[^\s>]+")
+LINE_BREAK = re.compile(r"[\r\n]+[ \t]*")
 CHARSET = re.compile(r"(?i)charset\s*=\s*[\"']?([\w-]+)")
 
 SCHEMA = (
@@ -73,25 +81,103 @@ def decode(body: bytes, headers: list[tuple[str, str]]) -> str:
         return body.decode("utf-8", "replace")
 
 
+class Page:
+    """A page read from left to right. What stands next is looked up once and remembered until it is passed."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.ahead: dict[object, tuple[int, int] | None] = {}
+
+    def next(self, what: str | re.Pattern, at: int) -> tuple[int, int] | None:
+        """Where the next `what` from `at` on begins and ends; None if there is none."""
+        known = self.ahead.get(what, (-1, -1))
+        if known is not None and known[0] < at:
+            if isinstance(what, str):
+                found = self.text.find(what, at)
+                known = (found, found + len(what)) if found >= 0 else None
+            else:
+                found = what.search(self.text, at)
+                known = found.span() if found else None
+            self.ahead[what] = known
+        return known
+
+    def tags(self, kind: re.Pattern) -> Iterator[tuple[int, int]]:
+        """Begin and end of each tag of a kind; the last one may lack its end."""
+        at = 0
+        while opening := kind.search(self.text, at):
+            closing = self.next(">", opening.end())
+            if closing is None:
+                return
+            yield opening.start(), closing[1]
+            at = closing[1]
+
+    def shown(self, at: int = 0, end: int | None = None) -> str:
+        """The text between tags, line ends where an element begins a line, without what is hidden."""
+        out: list[str] = []
+        end = len(self.text) if end is None else end
+        while (mark := self.text.find("<", at, end)) >= 0:
+            out.append(self.text[at:mark])
+            hidden = OPENS_HIDDEN.match(self.text, mark)
+            if self.text.startswith("<!--", mark):
+                close = self.next("-->", mark + 4)
+            else:
+                close = self.next(CLOSES[hidden[1].lower()], hidden.end()) if hidden else None
+            if close:
+                out.append(" ")
+            elif (close := self.next(">", mark + 1)) is None:
+                out.append(self.text[mark:end])
+                return "".join(out)
+            elif BREAKS.match(self.text, mark):
+                out.append("\n")
+            at = close[1]
+        return "".join([*out, self.text[at:end]])
+
+
 def flat(text: str) -> str:
-    return " ".join(html.unescape(TAG.sub("", text)).split())
+    return " ".join(html.unescape(text).split())
 
 
 def plain_text(page: str) -> str:
     """Visible text: a line for each block, entities resolved, white space collapsed."""
-    lines = (flat(line) for line in BREAKS.sub("\n", HIDDEN.sub(" ", page)).split("\n"))
-    return "\n".join(line for line in lines if line)
+    return "\n".join(filter(None, map(flat, Page(page).shown().split("\n"))))
+
+
+def title_of(page: str) -> str | None:
+    for _, after in Page(page).tags(TITLE):
+        close = CLOSES["title"].search(page, after)
+        return flat(Page(page).shown(after, close.start())) if close else None
+    return None
+
+
+def language_of(page: str) -> str | None:
+    found = (LANG.search(page, *tag) for tag in Page(page).tags(HTML))
+    return next((f[1] for f in found if f), None)
 
 
 def links(page: str) -> list[str]:
     """Targets of links in order, without repeats."""
-    found = (html.unescape("".join(m)).strip() for m in LINK.findall(page))
-    return list(dict.fromkeys("".join(x.split()) for x in found if x))
+    found, scan = [], Page(page)
+    for begin, end in scan.tags(ANCHOR):
+        named = HREF.search(page, begin, end)
+        if not named:
+            continue
+        quote = page[named.end() : named.end() + 1]
+        close = scan.next(quote, named.end() + 1) if quote in ("'", '"') else None
+        bare = BARE.match(page, named.end())
+        found.append(page[named.end() + 1 : close[0]] if close else bare[0] if bare else "")
+    clean = ("".join(html.unescape(x).split()) for x in found)
+    return list(dict.fromkeys(x for x in clean if x))
+
+
+def one_line(value: str | None) -> str | None:
+    """A header value: line breaks would end the header, or the record's head."""
+    return None if value is None else LINE_BREAK.sub(" ", value).strip()
 
 
 def record(kind: str, source: dict, content_type: str, block: bytes, payload_digest: str) -> tuple:
     """One record of `kind` that refers to `source`; headers in the order they are written."""
-    record_id = urn(f"{kind} {source['record_id']}")
+    named = source["record_id"] or f"{source['target_uri']} {source['date']} {payload_digest}"
+    record_id = urn(f"{kind} {named}")
     headers = [
         ("WARC-Type", kind), ("WARC-Record-ID", record_id), ("WARC-Refers-To", source["record_id"]),
         ("WARC-Target-URI", source["target_uri"]), ("WARC-Date", source["date"]),
@@ -102,7 +188,7 @@ def record(kind: str, source: dict, content_type: str, block: bytes, payload_dig
     ]
     return (
         kind, record_id, source["record_id"], source["target_uri"], source["date"],
-        [(k, v) for k, v in dict(headers).items() if v is not None], block,
+        [(one_line(k).replace(":", ""), one_line(v)) for k, v in dict(headers).items() if v is not None], block,
     )
 
 
@@ -110,12 +196,11 @@ def derivatives(source: dict) -> list[tuple]:
     """The metadata and the conversion record of one response."""
     headers, body = split_message(source["message"] or b"")
     page, payload = decode(body, headers), digest_of(body)
-    title, lang = TITLE.search(page), LANG.search(page)
     fields = [
-        ("title", flat(title[1]) if title else None), ("language", lang[1] if lang else None),
+        ("title", title_of(page)), ("language", language_of(page)),
         *((f"http-{k.lower()}", v) for k, v in headers), *(("outlink", x) for x in links(page)),
     ]
-    block = "".join(f"{k}: {v}\r\n" for k, v in fields if v).encode("utf-8", "replace") if body or headers else b""
+    block = "".join(f"{k}: {one_line(v)}\r\n" for k, v in fields if v).encode("utf-8", "replace") if body or headers else b""
     text = plain_text(page).encode("utf-8", "replace")
     return [
         record("metadata", source, "application/warc-fields", block, payload),
