@@ -2,9 +2,11 @@
 
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from tallyport.sources import adapters, tables
+from tallyport.registry import runs
+from tallyport.sources import adapters, raw_log, tables
 
 
 def write_events(spark, folder, rows):
@@ -25,3 +27,21 @@ def test_one_row_group_is_worked_on_by_many_tasks(spark, folder, monkeypatch):
     assert len(each) == 8 and max(each) <= 70
     assert sorted(dealt.collect()) == sorted(whole.collect())
     assert adapters.write_attempts(spark, folder, ["a"]).rdd.getNumPartitions() == 8
+
+
+def test_files_of_a_slice_grow_with_the_smallest_slice(spark, folder):
+    assert runs.files_for([]) == runs.files_for([9, 10**9]) == runs.SLICE_FILES
+    assert runs.files_for([500_000, 400_000]) == 8
+
+
+def test_a_large_file_of_the_log_is_cut_into_row_groups(spark, folder, monkeypatch):
+    monkeypatch.setattr(raw_log, "ROW_GROUP_BYTES", 64 << 10)
+    text = F.concat_ws("-", *[F.sha2(F.col("id").cast("string"), 512)] * 4)
+    rows = spark.range(4000).coalesce(1).select(
+        F.col("id").cast("string").alias("key"), text.alias("value"), F.lit("t").alias("topic"), F.lit(0).alias("partition"),
+        F.col("id").alias("offset"), F.current_timestamp().alias("timestamp"), F.lit(0).alias("replay_count"),
+    )
+    raw_log.publish_files(rows, folder)
+    (file,) = [f.removeprefix("file://").removeprefix("file:") for f in spark.read.parquet(folder).inputFiles()]
+    assert pq.ParquetFile(file).num_row_groups > 3
+    assert raw_log.read_raw(spark, folder).count() == 4000
