@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from tallyport.plans import star
 from tallyport.registry import runs
 from tallyport.sources import adapters, raw_log, tables
 
@@ -45,3 +46,13 @@ def test_a_large_file_of_the_log_is_cut_into_row_groups(spark, folder, monkeypat
     (file,) = [f.removeprefix("file://").removeprefix("file:") for f in spark.read.parquet(folder).inputFiles()]
     assert pq.ParquetFile(file).num_row_groups > 3
     assert raw_log.read_raw(spark, folder).count() == 4000
+
+
+def test_lines_are_moved_and_trips_made_of_them_where_they_are_written(spark, sf_dir):
+    lines = adapters.trip_lines(spark, sf_dir)
+    assert not {"trip_id", "event_id", "driver_id", "status"} & set(lines.columns)
+    house = star.load(spark, lines, 1, star.TRIP_LABELS, "1992-01-01", "1999-01-01", "t", adapters.trip_time(), adapters.trip_columns())
+    whole = adapters.trips(spark, sf_dir)
+    wide = house.wide.select(*whole.columns)
+    assert wide.columns == adapters.WIDE_COLUMNS and house.wide.columns[-1] == "period"
+    assert wide.exceptAll(whole).count() == whole.exceptAll(wide).count() == 0
