@@ -22,6 +22,8 @@ from tallyport.sources.schemas import RAW_SCHEMA
 
 LEDGER_SCHEMA = "_identity string, outcome string, drain_id bigint"
 WRITER = "drain"
+# Messages a task sorts at a time.
+ROWS_PER_RANGE = 50_000
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -44,7 +46,7 @@ def next_messages(messages: DataFrame, log: DataFrame, partitions: int) -> DataF
     offsets that follow all that the partition holds."""
     keyed = messages.withColumn("partition", log_partition(F.col("key"), partitions))
     ends = end_offsets(log).select("topic", "partition", "end_offset")
-    placed = numbered(keyed, ["partition", "key", "value"], "_n", first=0)
+    placed = numbered(keyed, ["partition", "key", "value"], "_n", 0, max(1, -(-messages.count() // ROWS_PER_RANGE)))
     return (
         placed.join(ends, ["topic", "partition"], "left")
         .withColumn("offset", F.coalesce("end_offset", F.lit(0)) + F.col("_n"))

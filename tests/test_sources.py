@@ -5,9 +5,10 @@ from datetime import datetime, timedelta
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from tallyport.plans import star
+from tallyport.plans import drain, star
 from tallyport.registry import runs
 from tallyport.sources import adapters, raw_log, tables
+from tallyport.sources.schemas import RAW_SCHEMA
 
 
 def write_events(spark, folder, rows):
@@ -56,3 +57,14 @@ def test_lines_are_moved_and_trips_made_of_them_where_they_are_written(spark, sf
     wide = house.wide.select(*whole.columns)
     assert wide.columns == adapters.WIDE_COLUMNS and house.wide.columns[-1] == "period"
     assert wide.exceptAll(whole).count() == whole.exceptAll(wide).count() == 0
+
+
+def test_messages_are_sorted_in_ranges_of_their_number(spark, monkeypatch):
+    monkeypatch.setattr(drain, "ROWS_PER_RANGE", 20)
+    rows = spark.range(200).select(
+        F.concat(F.lit("k"), "id").alias("key"), F.lit("v").alias("value"), F.lit("t").alias("topic"), F.lit(0).alias("replay_count")
+    )
+    placed = drain.next_messages(rows, spark.createDataFrame([], RAW_SCHEMA), 3)
+    assert len(placed.inputFiles()) >= 8
+    got = placed.orderBy("partition", "key").select("offset").collect()
+    assert [r["offset"] for r in got] == list(range(200))
