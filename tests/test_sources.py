@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from tallyport.operators import parse
 from tallyport.plans import drain, star
 from tallyport.registry import runs
 from tallyport.sources import adapters, raw_log, tables
@@ -68,3 +69,30 @@ def test_messages_are_sorted_in_ranges_of_their_number(spark, monkeypatch):
     assert len(placed.inputFiles()) >= 8
     got = placed.orderBy("partition", "key").select("offset").collect()
     assert [r["offset"] for r in got] == list(range(200))
+
+
+def test_rows_are_dealt_evenly_and_without_a_sort_whatever_their_ids(spark, folder, monkeypatch):
+    spark.range(400).selectExpr("CAST(NULL AS BIGINT) AS event_id").coalesce(1).write.parquet(folder)
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 50)
+    rows = tables.dealt(spark.read.parquet(folder))
+    assert rows.columns == ["event_id"]
+    assert "RoundRobin" not in rows._jdf.queryExecution().executedPlan().toString()
+    each = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(each) == 400 and len(each) == 8 and max(each) <= 80
+
+
+def test_a_log_is_parsed_once_for_its_cutoffs_and_its_routes(spark, folder, monkeypatch):
+    write_events(spark, folder, 20_000)
+    seen, batch_cutoffs = [], parse.batch_cutoffs
+
+    def watched(rows, lateness):
+        seen.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return batch_cutoffs(rows, lateness)
+
+    monkeypatch.setattr(parse, "batch_cutoffs", watched)
+    found = runs.classified(spark, folder)
+    assert seen and not any("from_json" in plan for plan in seen)
+    whole = parse.classify_log(runs.parsed(spark, folder))
+    assert found.columns == whole.columns
+    assert found.where("route = 'late'").count() > 0
+    assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
