@@ -145,3 +145,23 @@ def test_a_crash_delivers_only_what_has_no_outcome(spark, folder):
     assert all(told[i] == 1 for i in held) and all(told[str(i)] == 2 for i in range(40) if str(i) not in held)
     again = retry.deliver_once(events, store(True), policy, f"{folder}/ledger")
     assert again.count() == 40 and Counter(Path(calls).read_text().split()) == told
+
+
+def test_exhausted_writes_are_those_of_all_outcomes(spark):
+    df = attempts(
+        spark,
+        ("first", [], True),
+        ("third", ["TimeoutError"] * 2, True),
+        ("fifth", ["TimeoutError"] * 4, True),
+        ("never", ["TimeoutError"] * 3 + ["Unavailable"], False),
+        ("wrong", ["TimeoutError"] * 4 + ["!ValueError"], False),
+        ("short", ["TimeoutError"], False),
+        (None, ["TimeoutError"] * 4, True),
+    ).unionByName(spark.createDataFrame([("open", "t", n, None, None, None) for n in range(4)] + [("never", "u", 1, True, None, False)], SCHEMA))
+    found = retry.exhausted_writes(df)
+    whole = retry.retry_outcomes(df).where("outcome = 'exhausted'")
+    assert found.columns == whole.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    assert {r["event_id"] for r in found.collect()} == {"never", "open"}
+    nulls = df.where("event_id IS NULL AND NOT ok")
+    assert [r["attempts"] for r in retry.exhausted_writes(nulls).collect()] == [4]

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from tallyport.operators import parse
+from tallyport.operators import parse, quarantine
 from tallyport.plans import drain, star
 from tallyport.registry import runs
 from tallyport.sources import adapters, raw_log, tables
@@ -96,3 +96,24 @@ def test_a_log_is_parsed_once_for_its_cutoffs_and_its_routes(spark, folder, monk
     assert found.columns == whole.columns
     assert found.where("route = 'late'").count() > 0
     assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
+
+
+def test_only_records_of_failed_writes_are_moved_for_their_first_one(spark, folder, monkeypatch):
+    write_events(spark, folder, 20_000)
+    seen, dedup = [], parse.dedup
+
+    def watched(rows):
+        seen.append(rows.count())
+        return dedup(rows)
+
+    monkeypatch.setattr(parse, "dedup", watched)
+    sunk = runs.quarantined(spark, folder).where("failure_stage = 'cassandra_sink'")
+    failed = {r["event_id"] for r in runs.exhausted(spark, folder).collect()}
+    sound = runs.sound_events(spark, folder)
+    wanted = sound.where(F.col("event_id").isin(*failed))
+    assert failed and seen == [wanted.count()] and seen[0] < sound.count()
+    kept = dedup(sound).where(F.col("event_id").isin(*failed)).select("event_id", F.col("_offset").alias("source_offset"))
+    found = sunk.select("event_id", "source_offset")
+    assert found.exceptAll(kept).isEmpty() and kept.exceptAll(found).isEmpty()
+    monkeypatch.setattr(quarantine, "CONCERNED_ROWS", 1)
+    assert quarantine.concerned(sound, runs.exhausted(spark, folder)).count() == seen[0]
