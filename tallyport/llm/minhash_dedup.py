@@ -7,11 +7,14 @@ m * m * 2 * r. A pair at the threshold misses all tables with probability
 1 - (1 - (1 - s**r)**m)**2, at most MISS here; m follows from the threshold.
 
 Sets that are equal are one node, named by their smallest doc_id. Buckets of the tables are
-not expanded into pairs. First the node of most buckets is compared with its bucket's other
-members, on full sets; what links is drawn together by a star step, and nodes with equal
-labels, which are connected, need no comparison. In later rounds the nodes outside the
-largest group are compared, more of them from round to round, until no bucket holds two
-labels. A pair is compared only in the first bucket that both share, and only if sizes and
+not expanded into pairs. First its head, the node of most buckets, is compared with its bucket's
+other members, on full sets; what links is drawn together to components, and nodes of one
+component need no comparison. In each later round the nodes outside the head's component
+whose place in the bucket, a hash of the node, is among the next ones are compared with the
+rest: those of the head's component and those whose turn is to come. Components only grow,
+so the place alone tells who has had a turn; nothing is noted down, and after the last place
+every pair is done. Between rounds only the labels of nodes are kept, not the members of
+buckets. A pair is compared only in the first bucket that both share, and only if sizes and
 parities allow the similarity: slots in which the parities of two sets differ are a lower
 bound on the members in which the sets differ. So every pair of a
 bucket is either compared or already connected, and a group of copies costs about one
@@ -39,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyport.llm.common import free_name, map_arrow, slices, stored, with_row_key
-from tallyport.llm.components import components, star_step
+from tallyport.llm.components import components
 from tallyport.llm.hashing import GOLDEN, minhashes, mix, set_hash, shingle_sets
 
 SHINGLE = 5
@@ -47,7 +50,8 @@ PERCENT = 80
 ROWS = 3  # minima in a sub-band
 MISS = 4e-4
 PARITY_BITS = 512
-FIRST_PIVOTS, PIVOT_GROWTH = 64, 64  # pivots of a bucket in the second round, and times more in each later one
+FIRST_PIVOTS, PIVOT_GROWTH = 64, 64  # places of a bucket in the second round, and times more up to each later one
+PLACE = "shiftright((xxhash64(node) & 2147483647) * n, 31)"  # of a node among its bucket's n, by chance
 
 
 def sub_bands(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -130,25 +134,24 @@ def _confirm(percent: int):
     return work
 
 
-def _buckets(nodes: DataFrame, m: int) -> DataFrame:
-    """(key, node, size, keys) of all buckets with two nodes or more, one of each with equal content.
+def _held(nodes: DataFrame, m: int) -> DataFrame:
+    """(node, size, parity, keys) of the nodes that share a bucket, with their buckets, one of each with equal content.
 
-    `keys` are all of a node's buckets: two nodes are compared in the first they share, and
-    the text that others were copied from has the most.
+    Two nodes are compared in the first bucket they share, and the text that others were
+    copied from has the most.
     """
     keys = (
-        nodes.select("node", "size", F.explode(F.slice("subs", 1, m)).alias("a"), F.slice("subs", m + 1, m).alias("b"))
-        .select("node", "size", "a", F.explode("b").alias("b"))
-        .select(F.xxhash64("a", "b").alias("key"), "node", "size")
+        nodes.select("node", F.explode(F.slice("subs", 1, m)).alias("a"), F.slice("subs", m + 1, m).alias("b"))
+        .select("node", "a", F.explode("b").alias("b"))
+        .select(F.xxhash64("a", "b").alias("key"), "node")
     )
     found = keys.groupBy("key").agg(
         F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"),
         F.sum(F.shiftright(F.xxhash64("node"), 20)).alias("content"),
     ).filter("lo <> hi")
     distinct = found.groupBy("n", "lo", "hi", "content").agg(F.min("key").alias("key")).select("key")
-    members = stored(keys.join(distinct, "key"), "members")
-    all_keys = members.groupBy("node").agg(F.collect_set("key").alias("keys"))
-    return members.join(all_keys.join(nodes.select("node", "parity"), "node"), "node")
+    shared = keys.join(distinct, "key").groupBy("node").agg(F.collect_set("key").alias("keys"))
+    return shared.join(nodes.select("node", "size", "parity"), "node")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -172,9 +175,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     )
     links = _links(slim, nodes, m, shingle, percent)
     named_rows = signed.drop("subs", "parity").join(named, ["h1", "h2"], "left")
-    final = components(links)
     return (
-        named_rows.join(final, "node", "left")
+        named_rows.join(links, "node", "left")
         .select(
             "doc_id", "n_shingles",
             F.when((F.col("n_shingles") == 0) | F.col("doc_id").isNull(), F.col("doc_id"))
@@ -185,10 +187,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int) -> DataFrame:
-    """Confirmed links (node, label), drawn together by a star step a round."""
-    spark = slim.sparkSession
-    left = stored(_buckets(nodes, m), "buckets")
-    wanted = left.select("node").distinct().join(nodes.select("node", "h1", "h2"), "node")
+    """(node, label) of the components that confirmed links make, without the smallest node of each."""
+    held = stored(_held(nodes, m), "held")
+    wanted = held.select("node").join(nodes.select("node", "h1", "h2"), "node")
     sets = stored(
         map_arrow(
             slim.join(wanted, slim.doc_id == wanted.node).select("node", F.coalesce("text", F.lit("")), "h1", "h2"),
@@ -196,18 +197,14 @@ def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int
         ),
         "sets",
     )
-    left = left.withColumn("label", F.col("node"))
-    links = spark.createDataFrame([], "node long, label long")
-    slots = 0
     differ = " + ".join(f"bit_count(parity[{i}] ^ p_parity[{i}])" for i in range(PARITY_BITS // 64))
-    while True:
-        pivots = stored(_pivots(left, slots), "pivots")
-        if pivots.isEmpty():
-            return links
+
+    def confirmed(members: DataFrame, pivots: DataFrame, due: str) -> DataFrame:
+        """Links of pivots with members of their buckets that are `due` and have another label."""
         pairs = (
-            left.join(pivots, "key")
+            members.join(pivots, "key")
             .filter(
-                "node <> p_node AND label <> p_label"
+                f"node <> p_node AND label <> p_label AND {due}"
                 f" AND 100 * least(size, p_size) >= {percent} * greatest(size, p_size)"
                 f" AND {100 + percent} * ({differ}) <= {100 - percent} * (size + p_size)"
                 " AND key = array_min(array_intersect(keys, p_keys))"
@@ -219,31 +216,44 @@ def _links(slim: DataFrame, nodes: DataFrame, m: int, shingle: int, percent: int
             .join(sets.select(F.col("node").alias("label"), F.col("members").alias("y")), "label")
             .select("node", "label", "x", "y")
         )
-        fresh = stored(map_arrow(both, _confirm(percent), "node long, label long"), "links")
-        links = stored(star_step(links.unionByName(fresh)), "joined")
-        compared = pivots.groupBy("key").agg(F.collect_set("p_node").alias("done"))
-        label = links.groupBy("node").agg(F.min("label").alias("label"))
-        left = stored(
-            left.drop("label").join(compared, "key").filter("NOT array_contains(done, node)").drop("done")
-            .join(label, "node", "left").withColumn("label", F.coalesce("label", "node")),
-            "buckets",
+        return stored(map_arrow(both, _confirm(percent), "node long, label long"), "links")
+
+    pivot = [F.col(c).alias(f"p_{c}") for c in ("node", "label", "size", "keys", "parity")]
+    # Every node is its own label at first, and the heaviest of each bucket the pivot.
+    now = held.withColumn("label", F.col("node"))
+    heads = stored(
+        held.select("node", F.size("keys").alias("weight"), F.explode("keys").alias("key")).groupBy("key")
+        .agg(F.max(F.struct("weight", "node")).alias("head"), F.count("*").alias("n"))
+        .select("key", F.col("head.node").alias("head"), "n"),
+        "heads",
+    )
+    first = heads.select("key", F.col("head").alias("node")).join(now, "node").select("key", *pivot)
+    links = components(confirmed(_members(now), first, "true"))
+    largest = heads.agg(F.max("n")).first()[0] or 0
+    low, high = 0, FIRST_PIVOTS
+    while largest > 2:
+        now = held.join(links, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        ruled = heads.join(links.withColumnsRenamed({"node": "head", "label": "ruling"}), "head", "left")
+        ruled = ruled.withColumn("ruling", F.coalesce("ruling", "head"))
+        turns = (
+            _members(now.select("node", "label", "keys")).drop("keys").join(ruled, "key")
+            .filter(f"label <> ruling AND {PLACE} >= {low} AND {PLACE} < {high}")
+            .select("key", "node", "n", "head", "ruling")
         )
-        slots = slots * PIVOT_GROWTH or FIRST_PIVOTS
-
-
-def _pivots(left: DataFrame, slots: int) -> DataFrame:
-    """Pivots of the buckets that hold two labels: (key, p_node, p_label, p_size, p_keys, p_parity).
-
-    First the heaviest node of each bucket; in later rounds up to `slots` nodes whose label
-    is not the heaviest node's, for once those are compared the bucket has one label left.
-    """
-    heaviest = F.max(F.struct(F.size("keys").alias("weight"), "node", "label", "size", "keys", "parity")).alias("p")
-    ruling = left.groupBy("key").agg(heaviest, F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    if slots:
-        slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots)).alias("slot")
-        others = left.join(ruling.select("key", F.col("p.label").alias("ruling")), "key").filter("label <> ruling")
-        ruling = others.groupBy("key", slot).agg(heaviest)
-    return ruling.select("key", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "label", "size", "keys", "parity")))
+        pivots = turns.join(now, "node").select("key", "n", "head", "ruling", *pivot)
+        due = f"node <> head AND (label = ruling OR {PLACE} >= {high} OR {PLACE} >= {low} AND node < p_node)"
+        fresh = confirmed(_members(now), pivots, due)
+        if not fresh.isEmpty():
+            links = components(links.unionByName(fresh))
+        if high >= largest:
+            break
+        low, high = high, high * PIVOT_GROWTH
+    return links
+
+
+def _members(nodes: DataFrame) -> DataFrame:
+    """One row for each bucket of a node."""
+    return nodes.withColumn("key", F.explode("keys"))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

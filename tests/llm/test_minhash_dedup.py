@@ -63,6 +63,49 @@ def test_large_group_with_outsiders(spark):
     assert len({c for _, c in want.values()}) > 3
 
 
+def edited(n, most, seed=11):
+    """One text with up to `most` edits in each of n - 1 copies."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, n):
+        words = list(base)
+        for _ in range(rng.randint(0, most)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_rounds_carry_nodes_not_members(spark, monkeypatch):
+    """What is kept for the rounds is a row a node or a bucket, and no pair is confirmed twice."""
+    kept = []
+    stored = M.stored
+
+    def noted(df, name):
+        kept.append((name, out := stored(df, name)))
+        return out
+
+    monkeypatch.setattr(M, "stored", noted)
+    rows = edited(160, 6)
+    want = brute(rows, 3, 85)
+    assert got(M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)) == want
+    linked = [tuple(sorted(r)) for name, df in kept if name == "links" for r in df.select("node", "label").collect()]
+    assert len(linked) == len(set(linked)) > 50
+    for name, df in kept:
+        if {"node", "key"} <= set(df.columns):
+            assert df.count() <= len(rows), name
+
+
+def test_many_short_rounds(spark, monkeypatch):
+    """Places are dealt out over many rounds, and some nodes have theirs only in the last."""
+    monkeypatch.setattr(M, "FIRST_PIVOTS", 1)
+    monkeypatch.setattr(M, "PIVOT_GROWTH", 3)
+    rows = edited(90, 8, seed=5)
+    want = brute(rows, 3, 85)
+    assert got(M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)) == want
+    assert len({c for _, c in want.values()}) > 3
+
+
 def test_odd_rows(spark):
     rows = [
         (5, "A b c D", "x"), (3, "a B C d", "x"), (5, "A b c D", "x"), (7, None, "x"), (8, "", "x"), (9, " \n\t", "x"),
